@@ -1,0 +1,5 @@
+"""Intentionally empty: every model is a full-refresh batch build.
+
+The capability set this library covers has no incremental or streaming model,
+so there is no streaming operator to provide.
+"""
