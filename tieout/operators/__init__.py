@@ -1,5 +1,13 @@
 from .checks import accepted_range, accepted_values, not_null, relationships, unique
-from .dedup import first_per_key, flag_duplicates, latest_by_key, winning_ids
+from .dedup import (
+    distinct_counts,
+    first_per_key,
+    flag_duplicates,
+    flag_losers,
+    latest_by_key,
+    latest_record_per_key,
+    winning_ids,
+)
 from .joins import (
     disagree,
     flag_orphans,
@@ -18,11 +26,14 @@ __all__ = [
     "accepted_range",
     "accepted_values",
     "disagree",
+    "distinct_counts",
     "first_per_key",
     "flag_duplicates",
+    "flag_losers",
     "flag_orphans",
     "join_one_row_frames",
     "latest_by_key",
+    "latest_record_per_key",
     "left_join_all",
     "linked_ids",
     "lookup",

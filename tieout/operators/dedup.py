@@ -54,15 +54,24 @@ def flag_duplicates(
     """Add ``flag``: true on every row of a key but its first. No row is dropped.
 
     Null key values form one group, as in a window. Rows outside ``subset`` are
-    neither ranked nor flagged. The wide rows move once, hashed by their own
-    unique id and therefore evenly; ``row_id`` must be unique and not null.
+    neither ranked nor flagged. ``row_id`` must be unique and not null.
     """
-    winners = winning_ids(df, keys, order, row_id, subset).withColumn("_won", F.lit(True))
+    return flag_losers(df, winning_ids(df, keys, order, row_id, subset), row_id, flag, subset)
+
+
+def flag_losers(
+    df: DataFrame, winners: DataFrame, row_id: str, flag: str, subset: Column | None = None
+) -> DataFrame:
+    """Flag the rows whose id was not elected.
+
+    The wide rows move once, hashed by their own unique id and therefore
+    evenly, however unevenly their keys are spread.
+    """
+    won = winners.select(row_id, F.lit(True).alias("_won"))
     lost = F.col("_won").isNull()
     if subset is not None:
         lost = F.coalesce(subset, F.lit(False)) & lost
-    flagged = df.join(winners, row_id, "left").withColumn(flag, lost)
-    return flagged.select(*df.columns, flag)
+    return df.join(won, row_id, "left").withColumn(flag, lost).select(*df.columns, flag)
 
 
 def latest_by_key(
@@ -77,3 +86,28 @@ def latest_by_key(
     chosen = F.max_by(F.struct(*[F.col(c).alias(name) for name, c in picks.items()]), newest).alias("_latest")
     out = df.groupBy(*keys).agg(chosen, *aggs)
     return out.select("*", "_latest.*").drop("_latest")
+
+
+def latest_record_per_key(df: DataFrame, keys: Sequence[str], at: str, row_id: str) -> DataFrame:
+    """The whole latest row of each key: a missing ``at`` counts as latest."""
+    rest = [c for c in df.columns if c not in keys]
+    newest = F.struct(F.col(at).isNull(), F.col(at), F.col(row_id))
+    won = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), newest).alias("winner"))
+    return won.select(*[F.col(c) if c in keys else F.col(f"winner.{c}").alias(c) for c in df.columns])
+
+
+def distinct_counts(df: DataFrame, group: Sequence[str], item: str, counts: dict[str, Column | None]) -> DataFrame:
+    """Distinct non-null ``item`` per group, overall (None) or where a condition holds.
+
+    Reducing to (group, item) first means one pass for any number of counts;
+    ``count(DISTINCT ...)`` would copy every row once per condition.
+    """
+    met = {name: F.bool_or(F.coalesce(cond, F.lit(False))) for name, cond in counts.items() if cond is not None}
+    items = df.groupBy(*group, item).agg(*[flag.alias(f"_{name}") for name, flag in met.items()]) if met else (
+        df.select(*group, item).distinct()
+    )
+    out = [
+        F.count(F.col(item) if cond is None else F.when(F.col(f"_{name}"), F.col(item))).alias(name)
+        for name, cond in counts.items()
+    ]
+    return items.groupBy(*group).agg(*out)

@@ -13,7 +13,7 @@ from ..operators import (
     Chains,
     disagree,
     first_per_key,
-    flag_duplicates,
+    flag_losers,
     lookup,
     resolve_chains,
     validate_links,
@@ -158,9 +158,7 @@ class Visits(Project):
 
     @cached_property
     def int_appointments_deduped(self) -> DataFrame:
-        return flag_duplicates(
-            self.stg_appointments, SLOT, [carries_link()], "appointment_id", "is_duplicate_booking"
-        )
+        return flag_losers(self.stg_appointments, self.live_ids, "appointment_id", "is_duplicate_booking")
 
     @cached_property
     def int_appointments_canonical(self) -> DataFrame:

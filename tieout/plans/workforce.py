@@ -21,6 +21,7 @@ from ..operators import (
     disagree,
     first_per_key,
     flag_duplicates,
+    flag_losers,
     flag_orphans,
     join_one_row_frames,
     lookup,
@@ -125,7 +126,7 @@ class Workforce(Project):
 
     @cached_property
     def int_employees_deduped(self) -> DataFrame:
-        return flag_duplicates(self.stg_employees, EPISODE, [], "employee_id", "is_duplicate_record")
+        return flag_losers(self.stg_employees, self.live_ids, "employee_id", "is_duplicate_record")
 
     @cached_property
     def int_employment_records_resolved(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,10 +52,13 @@ def reliable_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the reliable folder and continue from that copy.
+    """Write the rows to the reliable folder and continue from that table.
 
-    Used only where a loop would otherwise replay its whole history. The copy
-    is in shared storage, so a lost executor costs a re-read and nothing more.
+    Used only where a loop would otherwise replay its whole history. The table
+    is in shared storage, so a lost executor costs a re-read and nothing more;
+    being columnar files, it is read pruned and with a known size.
     """
-    reliable_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{reliable_dir(spark)}/tieout/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
