@@ -13,7 +13,7 @@ from .joins import (
     flag_orphans,
     join_one_row_frames,
     left_join_all,
-    linked_ids,
+    link_hits,
     lookup,
     validate_links,
 )
@@ -35,7 +35,7 @@ __all__ = [
     "latest_by_key",
     "latest_record_per_key",
     "left_join_all",
-    "linked_ids",
+    "link_hits",
     "lookup",
     "not_null",
     "relationships",

@@ -39,28 +39,35 @@ def flag_orphans(
     return found.withColumn(flag, F.col("_live").isNull()).drop("_live")
 
 
-def linked_ids(rows: DataFrame, row_id: str, link: str, targets: DataFrame, target_id: str) -> DataFrame:
-    """Ids of the rows whose ``link`` points at an existing target.
+def link_hits(
+    refs: DataFrame, row_id: str, links: Sequence[str], targets: DataFrame, target_id: str, suffix: str = "_lives"
+) -> DataFrame:
+    """Per row id, which of its links point at an existing target.
 
-    Only (id, link) pairs that carry a link are shuffled.
+    Only (id, link) pairs that carry a link are shuffled, for all the links in
+    one join; rows with no hit at all are absent from the result.
     """
-    refs = rows.filter(F.col(link).isNotNull()).select(row_id, F.col(link).alias("_ref"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).alias("ref")) for i, c in enumerate(links)])
+    given = refs.select(row_id, F.explode(pairs).alias("p")).select(
+        row_id, F.col("p.which").alias("which"), F.col("p.ref").alias("_ref")
+    )
     known = targets.select(F.col(target_id).alias("_ref"))
-    return refs.join(known, "_ref", "left_semi").select(row_id).distinct()
+    found = given.filter(F.col("_ref").isNotNull()).join(known, "_ref", "left_semi")
+    flags = [F.bool_or(F.col("which") == i).alias(f"{c}{suffix}") for i, c in enumerate(links)]
+    return found.groupBy(row_id).agg(*flags)
 
 
 def validate_links(
-    rows: DataFrame, targets: DataFrame, row_id: str, link: str, target_id: str, valid: str, orphaned: str
+    rows: DataFrame, hits: DataFrame, row_id: str, link: str, valid: str, orphaned: str, suffix: str = "_lives"
 ) -> DataFrame:
     """Add ``valid`` / ``orphaned``: the link exists and its target survives / does not.
 
-    The wide rows join on their own unique id, so neither a popular target nor
-    a mostly-null link column concentrates them.
+    ``hits`` comes from ``link_hits``. The wide rows join on their own unique
+    id, so neither a popular target nor a mostly-null link concentrates them.
     """
-    hits = linked_ids(rows, row_id, link, targets, target_id).withColumn("_hit", F.lit(True))
-    present, hit = F.col(link).isNotNull(), F.col("_hit").isNotNull()
-    out = rows.join(hits, row_id, "left")
-    return out.withColumns({valid: present & hit, orphaned: present & ~hit}).select(*rows.columns, valid, orphaned)
+    present, lives = F.col(link).isNotNull(), F.coalesce(F.col(f"{link}{suffix}"), F.lit(False))
+    joined = rows.join(hits, row_id, "left")
+    return joined.withColumns({valid: present & lives, orphaned: present & ~lives})
 
 
 def join_one_row_frames(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -154,7 +154,7 @@ def validate_links(spark: SparkSession, folder: str) -> DataFrame:
 
 def anti_join_roots(spark: SparkSession, folder: str) -> DataFrame:
     """Slots nobody was moved into: no backward link, or one to a lost row."""
-    return visits(spark, folder).chain_nodes.filter("is_root").select(c("appointment_id").alias("root_appointment_id"))
+    return visits(spark, folder).live_slots.filter("is_root").select(c("appointment_id").alias("root_appointment_id"))
 
 
 def resolve_chains(spark: SparkSession, folder: str) -> DataFrame:

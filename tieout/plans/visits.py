@@ -14,6 +14,7 @@ from ..operators import (
     disagree,
     first_per_key,
     flag_losers,
+    link_hits,
     lookup,
     resolve_chains,
     validate_links,
@@ -39,7 +40,7 @@ def carries_link() -> Column:
     return F.when(linked, 0).otherwise(1)
 
 
-def with_outcome(rows: DataFrame, live: DataFrame) -> DataFrame:
+def with_outcome(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """Judge links against the surviving rows, then settle one status per row.
 
     Structured evidence outranks the keyed status: a cancel reason first, then
@@ -47,10 +48,9 @@ def with_outcome(rows: DataFrame, live: DataFrame) -> DataFrame:
     """
     rows = validate_links(
         rows,
-        live,
+        hits,
         row_id="appointment_id",
         link="rescheduled_to_id",
-        target_id="appointment_id",
         valid="has_validated_reschedule_link",
         orphaned="has_orphaned_reschedule_link",
     )
@@ -156,13 +156,20 @@ class Visits(Project):
         """Ids of the rows that survive double submission."""
         return winning_ids(self.stg_appointments, SLOT, [carries_link()], "appointment_id")
 
+    @cached_property
+    def link_hits(self) -> DataFrame:
+        """Per row, whether its forward and backward links reach a surviving row."""
+        links = ["rescheduled_to_id", "rescheduled_from_id"]
+        return link_hits(self.stg_appointments, "appointment_id", links, self.live_ids, "appointment_id")
+
     @cached_property
     def int_appointments_deduped(self) -> DataFrame:
         return flag_losers(self.stg_appointments, self.live_ids, "appointment_id", "is_duplicate_booking")
 
     @cached_property
     def int_appointments_canonical(self) -> DataFrame:
-        return with_outcome(self.int_appointments_deduped, self.live_ids)
+        judged = with_outcome(self.int_appointments_deduped, self.link_hits)
+        return judged.drop("rescheduled_to_id_lives", "rescheduled_from_id_lives")
 
     @cached_property
     def billing_lines_flagged(self) -> DataFrame:
@@ -183,59 +190,56 @@ class Visits(Project):
         )
 
     @cached_property
-    def int_billing_agg(self) -> DataFrame:
-        """Charges per surviving booking.
-
-        Lines are added up per booking before the survivors are looked up, so
-        a booking with very many lines is one row in the join.
-        """
+    def charges_per_booking(self) -> DataFrame:
         kind, amount = F.col("line_type"), F.col("billed_amount")
-        per_booking = self.stg_billing.groupBy("appointment_id").agg(
+        return self.stg_billing.groupBy("appointment_id").agg(
             *[F.sum(F.when(kind == k, amount).otherwise(0)).alias(f"{k}_billed") for k in BILLING_LINES],
             *[F.bool_or(F.coalesce(kind == k, F.lit(False))).alias(f"has_{k}_charge") for k in BILLING_LINES],
             F.min("service_at").alias("service_at"),
             F.max("posted_at").alias("last_posted_at"),
         )
-        return per_booking.join(self.live_ids, "appointment_id", "left_semi")
+
+    @cached_property
+    def int_billing_agg(self) -> DataFrame:
+        """Charges per surviving booking.
+
+        Lines are added up per booking before the survivors are looked up, so
+        a booking with very many lines is one row in the join.
+        """
+        return self.charges_per_booking.join(self.live_ids, "appointment_id", "left_semi")
 
     # -- intermediate: surviving rows and their chains ---------------------------
 
     @cached_property
     def live_slots(self) -> DataFrame:
-        """Surviving rows with their outcome, without ranking the repeats."""
-        kept = first_per_key(self.stg_appointments, SLOT, [carries_link()], "appointment_id")
-        return with_outcome(kept, self.live_ids)
+        """Surviving rows with their outcome and place in a chain, written once.
 
-    @cached_property
-    def chain_nodes(self) -> DataFrame:
-        """Narrow (id, outcome, valid next id, is root) copy that the walk reads."""
-        judged = validate_links(
-            self.live_slots,
-            self.live_ids,
-            row_id="appointment_id",
-            link="rescheduled_from_id",
-            target_id="appointment_id",
-            valid="_has_origin",
-            orphaned="_lost_origin",
-        )
+        Everything below reads this table, each time only the columns it needs.
+        ``next_id`` is set only by a valid forward link; a root is a row that no
+        surviving row was moved into.
+        """
+        kept = first_per_key(self.stg_appointments, SLOT, [carries_link()], "appointment_id")
         onward = F.when(F.col("has_validated_reschedule_link"), F.col("rescheduled_to_id"))
-        nodes = judged.select(
-            "appointment_id", "canonical_status", onward.alias("next_id"), (~F.col("_has_origin")).alias("is_root")
-        )
-        return cut_lineage(nodes)
+        moved_in = F.coalesce("rescheduled_from_id_lives", F.lit(False))
+        placed = with_outcome(kept, self.link_hits).withColumns({"next_id": onward, "is_root": ~moved_in})
+        return cut_lineage(placed.drop("rescheduled_to_id_lives", "rescheduled_from_id_lives"))
 
     @cached_property
     def chains(self) -> Chains:
         return resolve_chains(
-            self.chain_nodes, "appointment_id", "next_id", "is_root", self.params.max_slots_per_chain
+            self.live_slots, "appointment_id", "next_id", "is_root", self.params.max_slots_per_chain
         )
 
     @cached_property
     def int_appointment_chains(self) -> DataFrame:
-        status = self.chain_nodes.select(
-            F.col("appointment_id").alias("last"), F.col("canonical_status").alias("final_canonical_status")
+        status = self.live_slots.select(
+            "appointment_id", F.col("canonical_status").alias("final_canonical_status")
         )
-        return self.chains.terminal.join(status, "last").select(
+        alone = self.chains.alone.join(status, F.col("root") == F.col("appointment_id")).select(
+            "root", F.col("root").alias("last"), "final_canonical_status", F.lit(0).alias("hops")
+        )
+        walked = self.chains.walked.join(status, F.col("last") == F.col("appointment_id")).select(*alone.columns)
+        return alone.unionByName(walked).select(
             F.col("root").alias("logical_visit_id"),
             F.col("last").alias("final_appointment_id"),
             "final_canonical_status",
@@ -253,8 +257,8 @@ class Visits(Project):
     def coverage(self) -> DataFrame:
         """How many chain positions each surviving row fills."""
         seen = self.chain_membership.groupBy("appointment_id").agg(F.count(F.lit(1)).alias("_n"))
-        return self.chain_nodes.join(seen, "appointment_id", "left").withColumn(
-            "times_covered", F.coalesce("_n", F.lit(0))
+        return self.live_slots.join(seen, "appointment_id", "left").select(
+            "appointment_id", "canonical_status", "next_id", F.coalesce("_n", F.lit(0)).alias("times_covered")
         )
 
     @cached_property
@@ -278,34 +282,56 @@ class Visits(Project):
 
     @cached_property
     def fct_appointments(self) -> DataFrame:
-        first = self.live_slots.select(
-            F.col("appointment_id").alias("logical_visit_id"),
-            "patient_id",
-            F.col("doctor_id").alias("originating_doctor_id"),
-            F.col("location").alias("originating_location"),
-            "appointment_type",
-            F.col("scheduled_for").alias("originally_scheduled_for"),
-            "booked_at",
+        """One row per logical visit: its first row, its last row and the charges.
+
+        A visit that was never moved starts and ends on the same row and needs
+        no join for that; only walked chains look both rows up.
+        """
+        first = {
+            "logical_visit_id": "appointment_id",
+            "patient_id": "patient_id",
+            "originating_doctor_id": "doctor_id",
+            "originating_location": "location",
+            "appointment_type": "appointment_type",
+            "originally_scheduled_for": "scheduled_for",
+            "booked_at": "booked_at",
+        }
+        last = {
+            "final_appointment_id": "appointment_id",
+            "final_canonical_status": "canonical_status",
+            "final_doctor_id": "doctor_id",
+            "final_location": "location",
+            "final_scheduled_for": "scheduled_for",
+            "checked_in_at": "checked_in_at",
+            "checkout_at": "checkout_at",
+            "final_raw_status": "raw_status",
+        }
+
+        def named(columns: dict[str, str]) -> list[Column]:
+            return [F.col(source).alias(name) for name, source in columns.items()]
+
+        unmoved = self.live_slots.filter(F.col("is_root") & F.col("next_id").isNull()).select(
+            *named(first), *named(last), F.lit(0).alias("reschedule_count")
         )
-        charges = [f"has_{k}_charge" for k in BILLING_LINES] + [f"{k}_billed" for k in BILLING_LINES]
-        last = self.live_slots.join(
-            self.int_billing_agg.select("appointment_id", *charges), "appointment_id", "left"
-        ).select(
-            F.col("appointment_id").alias("final_appointment_id"),
-            F.col("doctor_id").alias("final_doctor_id"),
-            F.col("location").alias("final_location"),
-            F.col("scheduled_for").alias("final_scheduled_for"),
-            "checked_in_at",
-            "checkout_at",
-            F.col("raw_status").alias("final_raw_status"),
-            *charges,
+        moved = (
+            self.chains.walked.withColumnsRenamed(
+                {"root": "logical_visit_id", "last": "final_appointment_id", "hops": "reschedule_count"}
+            )
+            .join(self.live_slots.select(*named(first)), "logical_visit_id")
+            .join(self.live_slots.select(*named(last)), "final_appointment_id")
         )
-        visits = self.int_appointment_chains.join(first, "logical_visit_id").join(last, "final_appointment_id")
+        charges = [f"has_{k}_charge" for k in BILLING_LINES] + [f"{k}_billed" for k in BILLING_LINES]
+        billed = self.charges_per_booking.select(F.col("appointment_id").alias("final_appointment_id"), *charges)
+        visits = unmoved.unionByName(moved).join(billed, "final_appointment_id", "left")
         outcome = F.col("final_canonical_status")
         return visits.select(
-            *self.int_appointment_chains.columns,
-            *first.columns[1:],
-            *last.columns[1:],
+            "logical_visit_id",
+            "final_appointment_id",
+            "final_canonical_status",
+            "reschedule_count",
+            *list(first)[1:],
+            *list(last)[2:],
+            *charges,
             (outcome == "attended").alias("is_attended"),
             (outcome == "no_show").alias("is_true_no_show"),
             (outcome == "cancelled").alias("is_cancelled"),
@@ -424,7 +450,7 @@ class Visits(Project):
             ).alias("appointment_id")
         )
         seen = ends.groupBy("appointment_id").agg(F.count(F.lit(1)).alias("_n"))
-        counted = self.chain_nodes.join(seen, "appointment_id", "left").select(
+        counted = self.live_slots.join(seen, "appointment_id", "left").select(
             "appointment_id", F.coalesce("_n", F.lit(0)).alias("times_covered")
         )
         return counted.filter(F.col("times_covered") != 1)

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # do not walk the Python stack for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

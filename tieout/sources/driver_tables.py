@@ -9,6 +9,9 @@ skew - follows from the data and from remainders of its keys.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +27,34 @@ FRESHNESS_NOW = {
     "workforce": "2001-11-06 04:00:00",
 }
 
+# The columns of the supplied tables that the feeds use.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+FACTS = ("orders", "lineitem", "events")
+
 c = F.col
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A supplied table; one held in fewer splits than there are cores is spread.
+
+    A file of a single row group is read by one task whatever its size. Tables
+    of many files, as on a cluster, are left as they are.
+    """
+    df = spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in FACTS and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def every(column: str | Column, n: int, at: int = 0) -> Column:
@@ -41,8 +67,13 @@ def plus_days(ts: str, days: int | Column) -> Column:
     return c(ts) + F.make_dt_interval(days=n.cast("int"))
 
 
+def cents(x: Column) -> Column:
+    return F.rint(x * 100).cast("long")
+
+
 def money(x: Column) -> Column:
-    return x.cast(MONEY)
+    """A double amount as an exact decimal, by way of its cents."""
+    return (cents(x).cast("decimal(15,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def share(x: Column, part: str) -> Column:
@@ -54,8 +85,7 @@ def text(x: str) -> Column:
 
 
 def line_key() -> Column:
-    cents = F.round(c("l_extendedprice") * 100).cast("long")
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents(c("l_extendedprice")))
 
 
 def null_unless(condition: Column, value: Column) -> Column:
@@ -65,54 +95,70 @@ def null_unless(condition: Column, value: Column) -> Column:
 # -- revenue ---------------------------------------------------------------
 
 
-def revenue_feeds(spark: SparkSession, folder: str) -> Raw:
-    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+def currency() -> Column:
+    return F.when(every("o_custkey", 7), " eur").otherwise("usd ")
+
+
+def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     order_status = (
         F.when(every("o_orderkey", 9), " Cancelled ")
         .when(c("o_orderstatus") == "F", "COMPLETED")
         .when(c("o_orderstatus") == "O", "confirmed")
         .otherwise("placed")
     )
-    currency = F.when(every("o_custkey", 7), " eur").otherwise("usd ")
-    raw_orders = orders.select(
+    return table(spark, folder, "orders").select(
         text("o_orderkey").alias("order_id"),
         text("o_custkey").alias("customer_id"),
         order_status.alias("order_status"),
         money(c("o_totalprice")).alias("order_amount"),
-        currency.alias("currency"),
+        currency().alias("currency"),
         c("o_orderdate").alias("created_at"),
         F.when(every("o_orderkey", 500), plus_days("o_orderdate", -1))
         .otherwise(plus_days("o_orderdate", 3))
         .alias("updated_at"),
     )
-    of_order = lines.filter(c("l_linenumber") <= 2).join(orders, c("l_orderkey") == c("o_orderkey"))
+
+
+def early_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "lineitem").filter(c("l_linenumber") <= 2)
+    return lines.join(table(spark, folder, "orders"), c("l_orderkey") == c("o_orderkey"))
+
+
+def raw_payments(spark: SparkSession, folder: str) -> DataFrame:
     first_line = c("l_linenumber") == 1
-    raw_payments = of_order.select(
+    return early_lines(spark, folder).select(
         line_key().alias("payment_id"),
         text("l_orderkey").alias("order_id"),
         F.when(first_line, "Succeeded").otherwise(" failed").alias("payment_status"),
         money(c("o_totalprice")).alias("amount"),
-        currency.alias("currency"),
+        currency().alias("currency"),
         F.when(every("l_partkey", 2), "card").otherwise("wallet").alias("payment_method"),
         share(c("o_totalprice"), "0.02").alias("gateway_fee"),
         c("l_shipdate").alias("attempted_at"),
         null_unless(first_line, c("l_shipdate")).alias("processed_at"),
     )
+
+
+def raw_refunds(spark: SparkSession, folder: str) -> DataFrame:
     whole = c("l_returnflag") == "R"
     half = (c("l_returnflag") == "A") & every("l_partkey", 3)
-    raw_refunds = of_order.filter(first_line & (whole | half)).select(
+    refunded = early_lines(spark, folder).filter((c("l_linenumber") == 1) & (whole | half))
+    return refunded.select(
         line_key().alias("refund_id"),
         text("l_orderkey").alias("order_id"),
         line_key().alias("payment_id"),
         F.when(whole, money(c("o_totalprice"))).otherwise(share(c("o_totalprice"), "0.50")).alias("refund_amount"),
-        currency.alias("currency"),
+        currency().alias("currency"),
         F.when(whole, "returned").otherwise("damaged").alias("refund_reason"),
         F.lit("Completed ").alias("refund_status"),
         plus_days("l_shipdate", 30).alias("requested_at"),
         plus_days("l_shipdate", 40).alias("processed_at"),
     )
+
+
+def raw_shipping(spark: SparkSession, folder: str) -> DataFrame:
     done = c("l_linestatus") == "F"
-    raw_shipping = lines.filter(c("l_linenumber") == 3).select(
+    return table(spark, folder, "lineitem").filter(c("l_linenumber") == 3).select(
         line_key().alias("shipment_id"),
         text("l_orderkey").alias("order_id"),
         F.when(every("l_suppkey", 2), "post").otherwise("courier").alias("carrier"),
@@ -121,16 +167,14 @@ def revenue_feeds(spark: SparkSession, folder: str) -> Raw:
         null_unless(~every("l_suppkey", 10), c("l_shipdate")).alias("shipped_at"),
         null_unless(done, plus_days("l_shipdate", 5)).alias("delivered_at"),
     )
-    return {"orders": raw_orders, "payments": raw_payments, "refunds": raw_refunds, "shipping": raw_shipping}
 
 
 # -- lending ---------------------------------------------------------------
 
 
-def lending_feeds(spark: SparkSession, folder: str) -> Raw:
-    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+def raw_applications(spark: SparkSession, folder: str) -> DataFrame:
     declined = every("o_orderkey", 13)
-    raw_applications = orders.select(
+    return table(spark, folder, "orders").select(
         text("o_orderkey").alias("application_id"),
         text("o_custkey").alias("customer_id"),
         c("o_orderpriority").alias("product_type"),
@@ -144,6 +188,9 @@ def lending_feeds(spark: SparkSession, folder: str) -> Raw:
         .otherwise(plus_days("o_orderdate", 2))
         .alias("decided_at"),
     )
+
+
+def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
     restructured = every("o_orderkey", 5)
     loan_status = (
         F.when(c("o_orderstatus") == "F", "CLOSED")
@@ -151,7 +198,7 @@ def lending_feeds(spark: SparkSession, folder: str) -> Raw:
         .when(c("o_orderstatus") == "O", "active")
         .otherwise("delinquent")
     )
-    raw_loans = orders.select(
+    return table(spark, folder, "orders").select(
         text("o_orderkey").alias("loan_id"),
         text("o_orderkey").alias("application_id"),
         text("o_custkey").alias("customer_id"),
@@ -165,9 +212,12 @@ def lending_feeds(spark: SparkSession, folder: str) -> Raw:
         F.date_add(c("o_orderdate").cast("date"), 30).alias("first_due_date"),
         null_unless(restructured, plus_days("o_orderdate", 200)).alias("restructured_at"),
     )
+
+
+def raw_repayments(spark: SparkSession, folder: str) -> DataFrame:
     missed = every("l_partkey", 4) & (c("l_shipdate") > F.lit("1999-01-01").cast("timestamp_ntz"))
     short = c("l_returnflag") == "N"
-    raw_repayments = lines.select(
+    return table(spark, folder, "lineitem").select(
         line_key().alias("repayment_id"),
         text("l_orderkey").alias("loan_id"),
         c("l_linenumber").alias("instalment_no"),
@@ -181,11 +231,15 @@ def lending_feeds(spark: SparkSession, folder: str) -> Raw:
         c("l_shipdate").cast("date").alias("due_date"),
         null_unless(~missed, plus_days("l_shipdate", 2)).alias("paid_at"),
     )
+
+
+def raw_defaults(spark: SparkSession, folder: str) -> DataFrame:
     copies = F.when(every("o_orderkey", 60), F.array(F.lit("D"), F.lit("E"))).otherwise(F.array(F.lit("D")))
     second = c("entry") == "E"
     kind = F.pmod("o_orderkey", F.lit(36))
-    raw_defaults = (
-        orders.filter(every("o_orderkey", 12))
+    return (
+        table(spark, folder, "orders")
+        .filter(every("o_orderkey", 12))
         .withColumn("entry", F.explode(copies))
         .select(
             F.concat(c("entry"), text("o_orderkey")).alias("default_id"),
@@ -197,12 +251,6 @@ def lending_feeds(spark: SparkSession, folder: str) -> Raw:
             F.when(second, plus_days("o_orderdate", 400)).otherwise(plus_days("o_orderdate", 300)).alias("flagged_at"),
         )
     )
-    return {
-        "applications": raw_applications,
-        "loans": raw_loans,
-        "repayments": raw_repayments,
-        "defaults": raw_defaults,
-    }
 
 
 # -- visits ----------------------------------------------------------------
@@ -214,8 +262,7 @@ BACKWARD_40 = (2, 6, 7, 11, 12, 13, 14, 15, 16, 26)
 LONG_CHAIN_2000 = (1000, 1013)  # forward from 1000..1012, back from 1001..1013
 
 
-def visits_feeds(spark: SparkSession, folder: str) -> Raw:
-    events = table(spark, folder, "events")
+def raw_appointments(spark: SparkSession, folder: str) -> DataFrame:
     kind, event = c("event_type"), c("event_id")
     by40, by2000 = F.pmod(event, F.lit(40)), F.pmod(event, F.lit(2000))
     first, last = LONG_CHAIN_2000
@@ -240,7 +287,7 @@ def visits_feeds(spark: SparkSession, folder: str) -> Raw:
         (kind == "purchase") | ((kind == "click") & every(event, 6)) | ((kind == "signup") & every(event, 70)), "Patient "
     )
     attended = kind == "view"
-    raw_appointments = events.select(
+    return table(spark, folder, "events").select(
         text("event_id").alias("appointment_id"),
         text("user_id").alias("patient_id"),
         F.pmod(event, F.lit(4)).cast("string").alias("doctor_id"),
@@ -255,6 +302,10 @@ def visits_feeds(spark: SparkSession, folder: str) -> Raw:
         forward.cast("string").alias("rescheduled_to_id"),
         backward.cast("string").alias("rescheduled_from_id"),
     )
+
+
+def raw_billing(spark: SparkSession, folder: str) -> DataFrame:
+    kind, event = c("event_type"), c("event_id")
     line_type = (
         F.when(kind == "view", "Office_Visit")
         .when(kind == "purchase", " late_cancel_fee")
@@ -262,7 +313,7 @@ def visits_feeds(spark: SparkSession, folder: str) -> Raw:
         .otherwise("no_show_fee ")
     )
     billed_to = F.when(every(event, 97), -event - 1).when(every(event, 11, 1), event - 1).otherwise(event)
-    raw_billing = events.select(
+    return table(spark, folder, "events").select(
         F.concat(F.lit("B"), event).alias("billing_id"),
         billed_to.cast("string").alias("appointment_id"),
         text("user_id").alias("patient_id"),
@@ -273,9 +324,13 @@ def visits_feeds(spark: SparkSession, folder: str) -> Raw:
         c("ts").alias("service_at"),
         plus_days("ts", F.pmod(event, F.lit(45))).alias("posted_at"),
     )
+
+
+def raw_patients(spark: SparkSession, folder: str) -> DataFrame:
     user = c("user_id")
-    raw_patients = (
-        events.groupBy("user_id")
+    return (
+        table(spark, folder, "events")
+        .groupBy("user_id")
         .agg(F.min("ts").alias("seen"))
         .select(
             text("user_id").alias("patient_id"),
@@ -286,9 +341,13 @@ def visits_feeds(spark: SparkSession, folder: str) -> Raw:
             c("seen").alias("registered_at"),
         )
     )
+
+
+def raw_doctors(spark: SparkSession, folder: str) -> DataFrame:
     doctor = c("doctor")
-    raw_doctors = (
-        events.groupBy(F.pmod(event, F.lit(4)).alias("doctor"))
+    return (
+        table(spark, folder, "events")
+        .groupBy(F.pmod("event_id", F.lit(4)).alias("doctor"))
         .agg(F.min("ts").alias("seen"))
         .select(
             text("doctor").alias("doctor_id"),
@@ -299,26 +358,14 @@ def visits_feeds(spark: SparkSession, folder: str) -> Raw:
             (doctor != 3).alias("is_active"),
         )
     )
-    return {
-        "patients": raw_patients,
-        "doctors": raw_doctors,
-        "appointments": raw_appointments,
-        "billing": raw_billing,
-    }
 
 
 # -- workforce -------------------------------------------------------------
 
 
-def workforce_feeds(spark: SparkSession, folder: str) -> Raw:
-    """Four consecutive orders are one person's employment records.
-
-    A move follows another record without a gap, a rehire after 45 days. One
-    person in four has three stints and a double-loaded copy of the last.
-    """
-    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+def raw_departments(spark: SparkSession, folder: str) -> DataFrame:
     regions, nations = table(spark, folder, "region"), table(spark, folder, "nation")
-    raw_departments = nations.join(regions, c("n_regionkey") == c("r_regionkey"), "left").select(
+    return nations.join(regions, c("n_regionkey") == c("r_regionkey"), "left").select(
         text("n_nationkey").alias("department_id"),
         F.concat(F.lit("D"), c("n_nationkey")).alias("department_code"),
         c("n_name").alias("department_name"),
@@ -326,6 +373,13 @@ def workforce_feeds(spark: SparkSession, folder: str) -> Raw:
         F.concat(F.lit("CC"), c("n_regionkey")).alias("cost_center"),
     )
 
+
+def raw_employees(spark: SparkSession, folder: str) -> DataFrame:
+    """Four consecutive orders are one person's employment records.
+
+    A move follows another record without a gap, a rehire after 45 days. One
+    person in four has three stints and a double-loaded copy of the last.
+    """
     key = c("o_orderkey")
     person = F.floor(key / 4).cast("long")
     p = c("p")
@@ -349,8 +403,9 @@ def workforce_feeds(spark: SparkSession, folder: str) -> Raw:
         .when(leaves | every(p, 10, 3), "terminated")
         .otherwise("Active")
     )
-    raw_employees = (
-        orders.withColumn("p", person)
+    return (
+        table(spark, folder, "orders")
+        .withColumn("p", person)
         .withColumn("e", stint)
         .select(
             text("o_orderkey").alias("employee_id"),
@@ -366,47 +421,88 @@ def workforce_feeds(spark: SparkSession, folder: str) -> Raw:
             F.when(e >= 1, p * 4 + e - 1).cast("string").alias("prior_employee_id"),
         )
     )
-    employee = F.when(every("l_suppkey", 50), -c("l_orderkey") - 1).otherwise(c("l_orderkey"))
-    owner = F.floor(c("l_orderkey") / 4).cast("long").cast("string")
+
+
+def paid_employee() -> Column:
+    unknown = -c("l_orderkey") - 1
+    return F.when(every("l_suppkey", 50), unknown).otherwise(c("l_orderkey")).cast("string")
+
+
+def line_person() -> Column:
+    return F.floor(c("l_orderkey") / 4).cast("long").cast("string")
+
+
+def raw_payroll(spark: SparkSession, folder: str) -> DataFrame:
     pay_in = F.pmod("l_suppkey", F.lit(4))
-    raw_payroll = lines.select(
+    return table(spark, folder, "lineitem").select(
         line_key().alias("payroll_id"),
-        employee.cast("string").alias("employee_id"),
-        owner.alias("person_id"),
+        paid_employee().alias("employee_id"),
+        line_person().alias("person_id"),
         F.concat(F.lit("2001-0"), c("l_linenumber")).alias("pay_period"),
         money(c("l_extendedprice")).alias("gross_pay"),
         F.when(pay_in == 0, "usd ").when(pay_in == 1, " gbp").when(pay_in == 2, "eur").otherwise("sgd").alias("currency"),
         (c("l_quantity") < 5).alias("is_partial_period"),
         c("l_shipdate").alias("paid_at"),
     )
+
+
+def raw_performance_reviews(spark: SparkSession, folder: str) -> DataFrame:
     quantity = c("l_quantity")
     graded = F.when(quantity > 37, "Outstanding ").when(quantity > 25, "exceeds").when(quantity > 12, " Meets")
     score = F.when(quantity > 37, "4.50").when(quantity > 25, "3.75").when(quantity > 12, "3.00").otherwise("1.50")
-    raw_reviews = lines.select(
+    return table(spark, folder, "lineitem").select(
         line_key().alias("review_id"),
-        employee.cast("string").alias("employee_id"),
-        owner.alias("person_id"),
+        paid_employee().alias("employee_id"),
+        line_person().alias("person_id"),
         F.concat(F.lit("H"), F.pmod("l_linenumber", F.lit(3))).alias("review_period"),
         graded.otherwise("below").alias("rating"),
         score.cast("decimal(4,2)").alias("review_score"),
         F.concat(F.lit("R"), F.pmod("l_suppkey", F.lit(20))).alias("reviewer_id"),
         null_unless(~every("l_suppkey", 10), c("l_shipdate").cast("date")).alias("review_date"),
     )
-    return {
+
+
+FEEDS = {
+    "revenue": {"orders": raw_orders, "payments": raw_payments, "refunds": raw_refunds, "shipping": raw_shipping},
+    "lending": {
+        "applications": raw_applications,
+        "loans": raw_loans,
+        "repayments": raw_repayments,
+        "defaults": raw_defaults,
+    },
+    "visits": {
+        "patients": raw_patients,
+        "doctors": raw_doctors,
+        "appointments": raw_appointments,
+        "billing": raw_billing,
+    },
+    "workforce": {
         "departments": raw_departments,
         "employees": raw_employees,
         "payroll": raw_payroll,
-        "performance_reviews": raw_reviews,
-    }
+        "performance_reviews": raw_performance_reviews,
+    },
+}
 
 
-FEEDS = {
-    "revenue": revenue_feeds,
-    "lending": lending_feeds,
-    "visits": visits_feeds,
-    "workforce": workforce_feeds,
-}
+class Feeds(Mapping):
+    """The feeds of one project, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str, project: str) -> None:
+        self.spark, self.folder, self.makers = spark, folder, FEEDS[project]
+        self.built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.built:
+            self.built[name] = self.makers[name](self.spark, self.folder)
+        return self.built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.makers)
+
+    def __len__(self) -> int:
+        return len(self.makers)
 
 
 def feeds(spark: SparkSession, folder: str, project: str) -> Raw:
-    return FEEDS[project](spark, folder)
+    return Feeds(spark, folder, project)
