@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the plans rely on. All are Spark defaults except the time zone;
-# they are spelled out so that a cluster profile which turns one off is seen.
+# Settings the plans were tuned with. The adaptive ones are Spark's defaults,
+# spelled out so that a cluster profile which turns one off is seen.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a wide side is hashed, not sorted, against a side this small per partition
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -29,7 +31,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
-        .config("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        # local tables are small enough for most sides to pass the default 10 MB
+        # by estimate; keep the shuffle joins that a cluster would run
+        .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         .getOrCreate()
     )
 

@@ -39,7 +39,11 @@ TABLES = {
     "l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
-FACTS = ("orders", "lineitem", "events")
+SPREAD_BY = {
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_partkey"),
+    "events": ("event_id",),
+}
 
 c = F.col
 
@@ -52,8 +56,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """
     df = spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in FACTS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *SPREAD_BY[name])
     return df
 
 
