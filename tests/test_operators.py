@@ -1,6 +1,7 @@
 """Operators against brute force, including hot keys."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tieout.operators import (
     totals_last,
 )
 from tieout.operators import checks
+from tieout.plans.operator_queries import workforce
 
 
 def skewed(n=4000, seed=7):
@@ -99,6 +101,25 @@ def test_lookup_keeps_every_row_and_spreads_missing_links(spark, df, rows):
     want = {r[0]: {"hot": 1, "k1": 2}.get(r[1]) for r in rows}
     assert {r.id: r.x for r in got.collect()} == want
     assert got.columns == [*df.columns, "x"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lookup(df, parent, "k", "pk", "id", {"x": "x"})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+    assert re.search(r"hashpartitioning\(k#\d+, _slot", plan)  # rows without a link are spread by their id
+
+
+def test_payroll_rows_move_once(spark, tiny):
+    """Both flags join the wide rows on the same id: one exchange of all columns."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = workforce(spark, tiny).int_payroll_deduped
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+    wide = [line for line in plan.splitlines() if "SortMergeJoin [payroll_id" in line]
+    assert len(wide) == 2 and "Window" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(payroll_id", plan)) == 3
 
 
 def test_flag_orphans(spark, df, rows):

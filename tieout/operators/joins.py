@@ -16,27 +16,35 @@ def lookup(
     """Left join ``rows.link`` to ``parent.parent_id`` (unique), adding ``take``.
 
     ``take`` maps output names to parent columns. A link that is mostly null
-    would send all those rows to one reducer, so a row without a link is hashed
-    by its own id instead; it cannot match anyway.
+    would send all those rows to one reducer, so the join has a second key, the
+    slot: 0 for a linked row and the hash of its own id for one without a link,
+    which cannot match anyway. The parent's slot is always 0, but written so
+    that the optimizer does not fold it into a filter and drop the key.
     """
     right = parent.select(
         F.col(parent_id).alias("_ref"),
-        F.lit(0).cast("long").alias("_slot"),
+        F.pmod(F.xxhash64(parent_id), F.lit(1)).alias("_zero"),
         *[F.col(c).alias(name) for name, c in take.items()],
     )
-    slot = F.when(F.col(link).isNull(), F.xxhash64(row_id)).otherwise(F.lit(0))
-    left = rows.withColumn("_slot", slot)
-    joined = left.join(right, (F.col(link) == right["_ref"]) & (left["_slot"] == right["_slot"]), "left")
-    return joined.select(*[rows[c] for c in rows.columns], *take)
+    left = rows.withColumn("_slot", F.when(F.col(link).isNull(), F.xxhash64(row_id)).otherwise(F.lit(0)))
+    joined = left.join(right, (F.col(link) == F.col("_ref")) & (F.col("_slot") == F.col("_zero")), "left")
+    return joined.select(*[left[c] for c in rows.columns], *take)
 
 
 def flag_orphans(
     child: DataFrame, live_ids: DataFrame, link: str, live_id: str, row_id: str, flag: str
 ) -> DataFrame:
-    """Add ``flag``: true where the child's parent is missing or was deduplicated away."""
-    live = live_ids.withColumn("_live", F.lit(True))
-    found = lookup(child, live, link, live_id, row_id, {"_live": "_live"})
-    return found.withColumn(flag, F.col("_live").isNull()).drop("_live")
+    """Add ``flag``: true where the child's parent is missing or was deduplicated away.
+
+    The parent is looked up with (id, link) pairs only; the wide child rows
+    join the outcome on their own unique id, the same key that duplicate flags
+    use, so both together move them once.
+    """
+    live = live_ids.select(F.col(live_id).alias("_ref"))
+    pairs = child.select(row_id, F.col(link).alias("_ref")).filter(F.col("_ref").isNotNull())
+    found = pairs.join(live, "_ref", "left_semi").groupBy(row_id).agg(F.lit(True).alias("_live"))
+    out = child.join(found, row_id, "left").withColumn(flag, F.col("_live").isNull())
+    return out.select(*child.columns, flag)
 
 
 def link_hits(
