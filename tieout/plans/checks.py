@@ -19,6 +19,7 @@ UNIQUE, NOT_NULL = "unique", "not_null"
 ACCEPTED_VALUES, RELATIONSHIPS, ACCEPTED_RANGE = "accepted_values", "relationships", "accepted_range"
 BUSINESS_RULE = "business_rule"
 GENERIC_KINDS = (UNIQUE, NOT_NULL, ACCEPTED_VALUES, RELATIONSHIPS, ACCEPTED_RANGE)
+ALL_KINDS = (*GENERIC_KINDS, BUSINESS_RULE)
 
 
 @dataclass(frozen=True)
@@ -230,7 +231,7 @@ def _outcomes(project: Project, checks: list[Check]) -> list[DataFrame]:
     return frames
 
 
-def check_outcomes(project: Project, kinds: tuple[str, ...] = (*GENERIC_KINDS, BUSINESS_RULE)) -> DataFrame:
+def check_outcomes(project: Project, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
     """Name, kind, severity, failures and status of every check of the given kinds."""
     wanted = [check for check in CHECKS[project.name] if check.kind in kinds]
     rows = reduce(DataFrame.unionByName, _outcomes(project, wanted)).select(F.explode("o").alias("o"))
