@@ -307,3 +307,45 @@ def test_empty_book_has_a_zero_total(spark):
     lending = Lending(fx.feeds(spark, "lending", {}))
     (row,) = lending.fct_par_reconciliation_bridge.collect()
     assert (row.product_type, row.active_loan_count, row.true_par30_rate) == ("ALL", 0, None)
+
+
+def test_risk_segments(spark):
+    rows, i = [], 0
+    plan = {"steady": "a" * 3, "one_of_three": "aan", "one_of_two": "an", "twice": "nnaaaaaa", "none": "c"}
+    for patient, visits in plan.items():
+        for day, kind in enumerate(visits, 1):
+            i += 1
+            status = {"a": "attended", "n": "missed", "c": "cancelled"}[kind]
+            rows.append(fx.slot(i, patient, day, status))
+    out = by(Visits(fx.feeds(spark, "visits", {"appointments": rows})).fct_patient_engagement, "patient_id")
+    assert {p: r["no_show_risk_segment"] for p, r in out.items()} == {
+        "steady": "low_risk",
+        "one_of_three": "moderate_risk",
+        "one_of_two": "high_risk",
+        "twice": "high_risk",
+        "none": "no_kept_intent_history",
+    }
+    assert out["none"]["true_no_show_rate"] is None and out["none"]["cancellation_rate"] == 1.0
+
+
+def test_ties_and_missing_times_end_with_the_id(spark):
+    pays = [fx.payment("b", 1, 10), fx.payment("a", 1, 20), fx.payment("0", 1, 30, at=None)]
+    pays[2]["attempted_at"] = None
+    project = Revenue(fx.feeds(spark, "revenue", {"orders": [fx.order(1, 10, "completed")], "payments": pays}))
+    flags = {r.payment_id: r.is_duplicate_settlement for r in project.int_payments_deduped.collect()}
+    assert flags == {"a": False, "b": True, "0": True}
+    (row,) = project.int_order_financials.collect()
+    assert (row.settlement_payment_id, row.settled_amount, row.duplicate_payment_amount) == ("a", 20, 40)
+
+
+def test_latest_record_tie_and_dangling_transfer(spark):
+    records = [
+        fx.record(1, "P", "D1", "2024-01-01", "2024-06-01", "transferred"),
+        fx.record(2, "P", "D2", "2024-01-01", "2024-07-01", "transferred"),
+        fx.record(3, "Q", "D9", "2024-01-01", None, None),
+    ]
+    project = Workforce(fx.feeds(spark, "workforce", {"employees": records}))
+    assert [(r.person_id, r.current_employee_id) for r in project.dangling_transfer.collect()] == [("P", "2")]
+    people = by(project.fct_workforce, "person_id")
+    assert people["P"]["tenure_since_first_hire_days"] is None
+    assert people["Q"]["department_name"] is None and people["Q"]["is_currently_active"]

@@ -317,8 +317,9 @@ class Visits(Project):
             self.chains.walked.withColumnsRenamed(
                 {"root": "logical_visit_id", "last": "final_appointment_id", "hops": "reschedule_count"}
             )
-            .join(self.live_slots.select(*named(first)), "logical_visit_id")
+            # many chains may end on one row: that join comes first, while rows are narrow
             .join(self.live_slots.select(*named(last)), "final_appointment_id")
+            .join(self.live_slots.select(*named(first)), "logical_visit_id")
         )
         charges = [f"has_{k}_charge" for k in BILLING_LINES] + [f"{k}_billed" for k in BILLING_LINES]
         billed = self.charges_per_booking.select(F.col("appointment_id").alias("final_appointment_id"), *charges)

@@ -47,8 +47,6 @@ def reliable_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local"):

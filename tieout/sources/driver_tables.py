@@ -21,9 +21,9 @@ from .raw import Raw
 LENDING_AS_OF = "2001-11-30"
 WORKFORCE_AS_OF, WORKFORCE_WINDOW_START = "2001-12-31", "2001-01-01"
 FRESHNESS_NOW = {
-    "revenue": "2001-12-15 06:00:00",
-    "lending": "2001-08-05 05:30:00",
-    "visits": "2024-02-01 05:00:00",
+    "revenue": "2001-08-05 20:00:00",
+    "lending": "2001-08-02 14:30:00",
+    "visits": "2024-01-25 05:00:00",
     "workforce": "2001-11-06 04:00:00",
 }
 
