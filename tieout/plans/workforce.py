@@ -293,16 +293,15 @@ class Workforce(Project):
             F.count("person_id").alias("_heads"),
             F.round(F.avg("tenure_time_in_seat_years"), 2).alias("avg_tenure_time_in_seat_years"),
         )
-        state, closed = F.col("resolved_state"), self.closed_in_window()
+        # "hired by then" is part of each count, not a filter: pushed below the
+        # deduplication a filter would make this a second pass over the feed
+        state, known = F.col("resolved_state"), F.col("hire_date") <= self.as_of
+        closed = known & self.closed_in_window()
         arrived = F.col("is_transfer_successor") & in_window("hire_date", self.window_start, self.as_of)
-        flows = (
-            self.int_employment_chain_classified.filter(F.col("hire_date") <= self.as_of)
-            .groupBy("department_id")
-            .agg(
-                F.count(F.when(arrived, 1)).alias("_in"),
-                F.count(F.when(closed & (state == "transferred_out"), 1)).alias("_out"),
-                F.count(F.when(closed & (state == "terminated"), 1)).alias("_exits"),
-            )
+        flows = self.int_employment_chain_classified.groupBy("department_id").agg(
+            F.count(F.when(arrived, 1)).alias("_in"),
+            F.count(F.when(closed & (state == "transferred_out"), 1)).alias("_out"),
+            F.count(F.when(closed & (state == "terminated"), 1)).alias("_exits"),
         )
         zero = F.lit(0)
         units = (
