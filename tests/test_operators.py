@@ -13,11 +13,13 @@ from tieout.operators import (
     flag_duplicates,
     flag_orphans,
     latest_record_per_key,
+    link_hits,
     lookup,
     rows_where,
     segment_rollup,
     total_of,
     totals_last,
+    winning_ids,
 )
 from tieout.operators import checks
 from tieout.plans.operator_queries import workforce
@@ -161,3 +163,40 @@ def test_checks_return_violations(spark):
     assert [tuple(r) for r in checks.relationships(df, "n", parent, "p").collect()] == [(3, 1)]
     assert checks.accepted_range(df, "n", 1).count() == 0
     assert checks.accepted_range(df, "n", 1, inclusive=False).count() == 2
+
+
+HOT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.mark.parametrize("operator", ["link_hits", "flag_orphans", "lookup"])
+def test_hot_links_can_be_split(spark, operator):
+    """A third of the links point at one row: AQE must be able to split that join."""
+    before = {k: spark.conf.get(k, None) for k in HOT}
+    for k, v in HOT.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.sha1(F.col("id").cast("string")).alias("id"),
+            F.col("id").cast("string").alias("slot"),
+            F.when(F.col("id") % 3 == 0, "7").otherwise(F.col("id").cast("string")).alias("link"),
+        )
+        live = winning_ids(rows.select(F.col("slot").alias("pk"), F.pmod(F.hash("slot"), F.lit(30000)).alias("k")), ["k"], [], "pk")
+        if operator == "link_hits":
+            out = link_hits(rows, "id", ["link"], live, "pk")
+        elif operator == "flag_orphans":
+            out = flag_orphans(rows, live, "link", "pk", "id", "orphan")
+        else:
+            out = lookup(rows, live.withColumn("x", F.lit(1)), "link", "pk", "id", {"x": "x"})
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan

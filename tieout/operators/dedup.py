@@ -37,10 +37,14 @@ def first_per_key(
 def winning_ids(
     df: DataFrame, keys: Sequence[str], order: OrderBy, row_id: str, subset: Column | None = None
 ) -> DataFrame:
-    """Distinct ids of the rows that come first within their key."""
+    """Ids of the rows that come first within their key.
+
+    Left as they come: a distinct here would sit between the shuffle and a later
+    join on the id, and AQE splits a hot partition only of a bare shuffle.
+    """
     candidates = df if subset is None else df.filter(subset)
     best = candidates.groupBy(*keys).agg(F.min(nulls_last(*order, row_id)).alias("best"))
-    return best.select(F.col(f"best.v{len(order)}").alias(row_id)).distinct()
+    return best.select(F.col(f"best.v{len(order)}").alias(row_id))
 
 
 def flag_duplicates(
@@ -67,7 +71,7 @@ def flag_losers(
     The wide rows move once, hashed by their own unique id and therefore
     evenly, however unevenly their keys are spread.
     """
-    won = winners.select(row_id, F.lit(True).alias("_won"))
+    won = winners.select(row_id).distinct().withColumn("_won", F.lit(True))
     lost = F.col("_won").isNull()
     if subset is not None:
         lost = F.coalesce(subset, F.lit(False)) & lost
