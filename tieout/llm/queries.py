@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, exact_topk, mixing, personal_data, pieces, token_counts
+from . import exact_dedup, exact_topk, mixing, ngram_join, pages, personal_data, pieces, quality, substring_dedup, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,26 @@ def vocabulary(path: str | None = None) -> pieces.Pieces:
     return pieces.Pieces.load(path)
 
 
+def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(table(spark, sf_dir, "documents"), personal_data.labelled_table(spark))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,7 +63,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_mil": op1_quality_mil,
     "op2_pii_crf": op2_pii_crf,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_host_paths": op4_host_paths,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup_tree": op6_exact_dedup_tree,
     "op7_exact_topk": op7_exact_topk,
     "op8_token_counts": op8_token_counts,

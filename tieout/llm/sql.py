@@ -92,7 +92,47 @@ SELECT doc_id, size, source_size, target,
 FROM words w JOIN target t ON w.source IS NOT DISTINCT FROM t.source
 """
 
+WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(text=LOWER)} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g
+  FROM w
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM both_have JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+),
+reach AS (SELECT a AS doc_id, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(w.doc_id, min(r.b)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach r ON r.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
+REPEATED_WORDS = f"""
+WITH w AS (SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+v AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, unnest(list_transform(range(1, len(ws) - 11), lambda i: array_to_string(ws[i:i + 12], ' '))) AS g
+  FROM w WHERE len(ws) >= 13
+),
+hit AS (SELECT doc_id, i FROM v JOIN (SELECT g, min(doc_id) AS least FROM v GROUP BY g) USING (g) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM hit),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS t, count(*) AS k
+  FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard": NEAR_DUPLICATES,
+    "op5_substring_dedup": REPEATED_WORDS,
     "op6_exact_dedup_tree": EXACT_DEDUP,
     "op7_exact_topk": TOP_K,
     "op10_mixing": MIXING,
