@@ -42,6 +42,7 @@ CLOSES = {
     "option": ("option",), "thead": ("tr",), "tbody": ("tr", "thead"),
 }
 SCOPES = frozenset(("table", "ul", "ol", "dl", "article", "section", "main", "div", "body", "td", "blockquote", "aside", "form"))
+CLOSE_SCOPES = {name: SCOPES - {name, *ended} for name, ended in CLOSES.items()}
 ENDS_PARAGRAPH = frozenset(
     "p div article section main ul ol dl table h1 h2 h3 h4 h5 h6 blockquote pre form header footer nav aside figure hr address "
     "fieldset details".split()
@@ -61,6 +62,7 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+DIGITS = re.compile(r"\d+")
 NEAR = 4
 LITTLE = 0.25
 
@@ -174,7 +176,7 @@ def parse(source: str) -> Page:
             if name in HEADINGS:
                 close(tuple(HEADINGS), SCOPES)
         if name in CLOSES:
-            close(CLOSES[name], SCOPES - {name, *CLOSES[name]})
+            close(CLOSES[name], CLOSE_SCOPES[name])
         if name not in INLINE:
             flush()
         if name in VOID:
@@ -192,11 +194,11 @@ def parse(source: str) -> Page:
             dropped = attrs.get("role", "").lower() in DROPPED_ROLES or bool(HIDDEN.search(attrs.get("style", "")))
         if names and not dropped and name not in ("html", "body", "main"):
             dropped = bool(DROPPED_NAMES.search(names))
-        inside = any(x.name in ("article", "main") for x in stack)
-        if name == "header" and not inside:
+        if name == "header" and not any(x.name in ("article", "main") for x in stack):
             dropped = True
-        first = re.sub(r"\d+", "", (attrs.get("class", "").split() or [""])[0].lower())
-        step = f"{name}.{first}" if first else name
+        step = name
+        if "class" in attrs and (first := DIGITS.sub("", (attrs["class"].split() or [""])[0].lower())):
+            step = f"{name}.{first}"
         container = -1
         if not dropped and (name in CONTAINERS or attrs.get("role") == "main"):
             worth = 1.3 if name == "article" or attrs.get("itemprop") == "articleBody" else 1.15 if name == "main" else 1.0
