@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: The splitmix64 finaliser and two odd multipliers for sequences.
@@ -20,7 +19,7 @@ MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP, STEP_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
 #: Characters of text that a task turns into arrays at a time.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +48,7 @@ def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch
         return
     start, size, each = 0, 0, max(1, batch.nbytes // max(1, batch.num_rows))
-    i = batch.schema.get_field_index("text")
+    i = max(batch.schema.get_field_index(c) for c in ("text", "html", "body"))
     sizes = pc.binary_length(batch.column(i)).to_pylist() if i >= 0 else [each] * batch.num_rows
     for at, n in enumerate(sizes):
         if size and size + (n or 0) > CHUNK_CHARS:
@@ -65,21 +64,54 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes:
-    """64-bit hashes of words; frequent words are looked up, not hashed again."""
+class Words:
+    """Hashes of all words of a column of texts, from its bytes at once.
 
-    def __init__(self, limit: int = 300_000):
-        self.limit, self.known = limit, {}
+    A word's hash is a polynomial over pseudo-random numbers of its bytes: one
+    running sum over the column gives every word as a difference. With ``lower``
+    A-Z count as a-z.
+    """
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        new = set(words).difference(known)
-        if len(known) + len(new) > self.limit:
-            known.clear()
-            new = set(words)
-        digest = xxhash.xxh3_64_intdigest
-        known.update({w: digest(w) for w in new})
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, lower: bool):
+        self.number = mix(np.arange(1, 257, dtype=np.uint64))
+        if lower:
+            self.number[65:91] = self.number[97:123]
+        self.gap = np.zeros(256, bool)
+        self.gap[[9, 10, 11, 12, 13, 32]] = True
+        self.power, self.inverse = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.power) < n:
+            size = max(n, 2 * CHUNK_CHARS)
+            for name, base in (("power", self.BASE), ("inverse", pow(self.BASE, -1, 2**64))):
+                steps = np.full(size, base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+        return self.power[:n], self.inverse
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of the words, bounds): the words of text i are bounds[i] to bounds[i + 1]."""
+        if column.null_count:
+            column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")
+        wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+        _, ends, data = column.buffers()
+        at = np.frombuffer(ends, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
+        at = at - at[0]
+        if not len(raw):
+            return np.empty(0, np.uint64), np.zeros(len(at), np.int64)
+        word = ~self.gap[raw]
+        border = np.zeros(len(raw) + 1, bool)  # a text begins here
+        border[at] = True
+        before = np.concatenate(([False], word[:-1]))
+        after = np.concatenate((word[1:], [False]))
+        starts = np.flatnonzero(word & (~before | border[:-1]))
+        stops = np.flatnonzero(word & (~after | border[1:])) + 1
+        power, inverse = self.powers(len(raw))
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.number[raw] * power)))
+        return mix((total[stops] - total[starts]) * inverse[starts]), np.searchsorted(starts, at)
 
 
 def sequences(h: np.ndarray, k: int, step: np.uint64 = STEP) -> np.ndarray:

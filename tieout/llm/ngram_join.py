@@ -31,25 +31,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import STEP_2, WordHashes, bounded, by_batch, mix, sequences, texts_of
+from .common import STEP_2, Words, bounded, by_batch, mix, sequences, texts_of
 from .graph import components
 
 SHINGLE = 5
 #: Linked if 100 * shared >= PERCENT * union. The prefixes below assume 75.
 PERCENT = 75
 CLASSES = 1 << 16
+BITS = 1 << 10
 LEADER_ROUNDS = 4
 
 
-def shingles(text: str, hashes: WordHashes) -> np.ndarray:
-    """The set of a text, sorted: 5-word shingles, or the whole of a shorter sequence."""
-    words = text.encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = hashes(words)
-    if len(h) < SHINGLE:
-        return mix(sequences(h, len(h)) + np.full(1, len(h), np.uint64) * STEP_2)
-    return np.unique(sequences(h, SHINGLE))
+def shingle_sets(column: pa.Array, words: Words) -> list[np.ndarray]:
+    """The set of each text, sorted: 5-word shingles, or the whole of a shorter sequence."""
+    h, bounds = words(column)
+    runs = sequences(h, SHINGLE)
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        n = b - a
+        if n >= SHINGLE:
+            s = np.sort(runs[a : b - SHINGLE + 1])
+            out.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
+        else:
+            out.append(mix(sequences(h[a:b], n) + np.full(1, n, np.uint64) * STEP_2) if n else h[:0])
+    return out
+
+
+EMPTY = np.empty(0, np.uint64)
+
+
+def class_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & np.uint64(CLASSES - 1)).astype(np.int64)
+
+
+def parity_bits(s: np.ndarray) -> np.ndarray:
+    """BITS parities of a set, as 64-bit numbers: a token that only one set has turns one bit."""
+    odd = np.bincount((s >> np.uint64(64 - 10)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -62,21 +80,19 @@ def first_pass(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, amounts = WordHashes(), np.zeros(CLASSES, np.int64)
+        words, amounts = Words(lower=True), np.zeros(CLASSES, np.int64)
         names = ["doc_id", "n", "set_key", "class", "amount"]
         id_type = None
         for whole in batches:
             for batch in bounded(whole):
-                sizes, keys = [], []
-                for text in texts_of(batch):
-                    s = shingles(text, hashes)
-                    sizes.append(len(s))
-                    keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                    np.add.at(amounts, (s & np.uint64(CLASSES - 1)).astype(np.int64), 1)
+                sets = shingle_sets(batch.column("text"), words)
+                keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                amounts += np.bincount(class_of(np.concatenate([EMPTY, *sets])), minlength=CLASSES)
                 ids = batch.column("doc_id")
                 id_type = ids.type
                 gap = pa.nulls(len(ids), pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), gap, gap], names)
+                sizes = pa.array(map(len, sets), pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, sizes, pa.array(keys, pa.binary()), gap, gap], names)
         at = np.flatnonzero(amounts)
         if len(at):
             gap = [pa.nulls(len(at), t) for t in (id_type, pa.int64(), pa.binary())]
@@ -99,17 +115,16 @@ class Signer:
     def __call__(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(single tokens, token pairs)"""
         n = len(s)
-        none = np.empty(0, np.uint64)
         if not n:
-            return none, none
-        count = self.amounts[(s & np.uint64(CLASSES - 1)).astype(np.int64)]
-        order = np.lexsort((s, count))
+            return EMPTY, EMPTY
+        count = self.amounts[class_of(s)]
+        order = np.argsort(count, kind="stable")  # the set is sorted: ties go by token
         s, count = s[order], count[order]
         prefix = n // 4 + 1  # n - ceil(0.75 n) + 1
         rare = int(np.searchsorted(count, self.rare_up_to, side="right"))
         singles = s[: min(prefix, rare)]
         if rare >= prefix:
-            return singles, none
+            return singles, EMPTY
         step = int(np.searchsorted(self.steps, n, side="right"))
         made = [self.pairs(s, rare, prefix, j) for j in (step, step - 1) if j >= 0]
         return singles, np.concatenate(made)
@@ -120,7 +135,7 @@ class Signer:
         of = (mix(tokens) % np.uint64(groups)).astype(np.int64)
         order = np.lexsort((tokens, of))
         tokens, of = tokens[order], of[order]
-        made, gap = [np.empty(0, np.uint64)], 1
+        made, gap = [EMPTY], 1
         while gap < len(tokens):
             same = of[gap:] == of[:-gap]
             if not same.any():
@@ -131,27 +146,45 @@ class Signer:
 
 
 def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
-    """(doc_id, singles, pairs): the signatures of every text, as arrays."""
+    """(node, n, bits, singles, pairs): size, parities and signatures of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(amounts)  # CLASSES numbers
 
     def lists(arrays: list[np.ndarray]) -> pa.Array:
         ends = np.cumsum([0, *map(len, arrays)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.uint64), *arrays]).view(np.int64)))
+        values = np.concatenate(arrays) if arrays else EMPTY
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
 
-    def work(batch: pa.RecordBatch, own: tuple[WordHashes, Signer]) -> pa.RecordBatch:
-        hashes, signer = own
-        made = [signer(shingles(t, hashes)) for t in texts_of(batch)]
+    def work(batch: pa.RecordBatch, own: tuple[Words, Signer]) -> pa.RecordBatch:
+        words, signer = own
+        sets = shingle_sets(batch.column("text"), words)
+        made = [signer(s) for s in sets]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), lists([a for a, _ in made]), lists([b for _, b in made])], ["doc_id", "singles", "pairs"]
+            [
+                batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), lists([parity_bits(s) for s in sets]),
+                lists([a for a, _ in made]), lists([b for _, b in made]),
+            ],
+            ["node", "n", "bits", "singles", "pairs"],
         )
 
-    kind = dict(docs.dtypes)["doc_id"]
     return by_batch(
-        docs.select("doc_id", "text"), work, f"doc_id {kind}, singles array<long>, pairs array<long>",
-        lambda: (WordHashes(), Signer(shared.value)),
+        docs.select("doc_id", "text"), work, "node long, n long, bits array<long>, singles array<long>, pairs array<long>",
+        lambda: (Words(lower=True), Signer(shared.value)),
     )
 
 
+def plausible(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and parities do not rule out. ``marks``: (node, n, bits), a written table.
+
+    Sets that differ in d tokens differ in at most d parities, and linked sets
+    differ in at most a seventh of both sizes; nothing linked is lost.
+    """
+    side = lambda c: marks.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
+    differ = F.expr("aggregate(zip_with(bitsa, bitsb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+    both = pairs.join(side("b"), "b").filter("nb > 0").join(side("a"), "a")
+    sizes = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (F.col("na") + F.col("nb") >= 7 * differ)
+    return both.filter(sizes).select("a", "b").distinct()
+
+
 def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(sig, node, leader) for signatures of two nodes or more, from rows sorted by (sig, node)."""
     rest_sig, rest_node = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -179,32 +212,30 @@ def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(rest_sig, rest_node)
 
 
-def verified(pairs: DataFrame, packed: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are linked. ``packed``: (doc_id, body), a written table."""
+def verified(pairs: DataFrame, docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole texts are linked."""
+    pairs = cut_lineage(plausible(pairs, marks))
+    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    packed = cut_lineage(packed_texts(docs).join(cut_lineage(nodes), "doc_id", "left_semi"))
     side = lambda c: packed.select(F.col("doc_id").alias(c), F.col("body").alias(f"{c}_body"))
     rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_body", "b_body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
+        words, unpack = Words(lower=True), zstandard.ZstdDecompressor()
         known: dict[bytes, np.ndarray] = {}
         held = 0
-
-        def of(body: bytes) -> np.ndarray:
-            nonlocal held
-            got = known.get(body)
-            if got is None:
-                got = shingles(unpack.decompress(body).decode(), hashes)
-                if held + len(got) > 1_000_000:
-                    known.clear()
-                    held = 0
-                known[body] = got
-                held += len(got)
-            return got
-
-        for batch in batches:
-            a, b = batch.column("a_body").to_pylist(), batch.column("b_body").to_pylist()
-            yes = pa.array([linked(of(x), of(y)) for x, y in zip(a, b)], pa.bool_())
-            yield batch.select(["a", "b"]).filter(yes)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 64):
+                batch = whole.slice(start, 64)
+                a, b = batch.column("a_body").to_pylist(), batch.column("b_body").to_pylist()
+                if held > 1_000_000:  # tokens; texts come again where one is linked to many
+                    known, held = {}, 0
+                new = list({x for x in (*a, *b) if x not in known})
+                for body, s in zip(new, shingle_sets(pa.array(map(unpack.decompress, new), pa.binary()), words)):
+                    known[body] = s
+                    held += len(s)
+                yes = pa.array([linked(known[x], known[y]) for x, y in zip(a, b)], pa.bool_())
+                yield batch.select(["a", "b"]).filter(yes)
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -227,29 +258,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     known = sets.filter("set_key is not null and doc_id is not null")
     reps = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
-    signed = signatures(docs.filter("doc_id is not null"), amounts).join(
-        reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
+    signed = cut_lineage(
+        signatures(docs.filter("doc_id is not null"), amounts).join(
+            reps.select(F.col("rep").alias("node")).distinct(), "node", "left_semi"
+        )
     )
-    signed = signed.withColumnRenamed("doc_id", "node")
     single = signed.select(F.explode("singles").alias("sig"), "node")
     lists = single.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(meetings, "sig long, node long, leader long")
-    paired = cut_lineage(signed.filter(F.size("pairs") > 0).select(F.explode("pairs").alias("sig"), "node").distinct())
+    paired = signed.filter(F.size("pairs") > 0).select(F.explode("pairs").alias("sig"), "node").distinct()
     met = cut_lineage(
         paired.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").select("sig", "leader")
     )
     group = cut_lineage(lists.unionByName(paired.join(met, "sig").select("sig", "node", "leader")))
-
-    nodes = cut_lineage(group.select(F.col("node").alias("doc_id")).distinct())
-    packed = cut_lineage(packed_texts(docs).join(nodes, "doc_id"))
+    marks = cut_lineage(signed.select("node", "n", "bits").join(group.select("node").distinct(), "node", "left_semi"))
 
     # rows of one id with different texts
     tagged = known.join(reps, "set_key").select("doc_id", "rep")
     versions = cut_lineage(tagged.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("doc_id", "a"))
     several = tagged.join(versions, "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
     pairs = cut_lineage(group.filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    links = cut_lineage(verified(pairs, packed).union(several))
+    tried, links = [pairs], cut_lineage(verified(pairs, docs, marks).union(several))
     comps = components(links)
-    tried = [pairs]
     for turn in range(LEADER_ROUNDS + 1):
         open_ = still_open(group, comps)
         if open_.isEmpty():
@@ -260,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs)
         tried.append(pairs)
-        links = cut_lineage(links.union(verified(pairs, packed)))
+        links = cut_lineage(links.union(verified(pairs, docs, marks)))
         comps = components(links)
         if every:
             break

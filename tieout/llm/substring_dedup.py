@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import STEP_2, WordHashes, by_batch, sequences, texts_of
+from .common import STEP, STEP_2, Words, by_batch, sequences, texts_of
 
 WINDOW, SEED = 13, 5
 
@@ -33,16 +33,16 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().split()
 
 
-def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the anchors of a sequence of word hashes."""
-    if len(h) < WINDOW:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    seeds = sequences(h, SEED)
+def anchors(seeds: np.ndarray) -> np.ndarray:
+    """Places of the anchors among the seed hashes of a text of WINDOW words or more."""
     span = WINDOW - SEED + 1
-    views = np.lib.stride_tricks.sliding_window_view(seeds, span)
-    places = np.arange(len(views)) + views.argmin(1)
-    places = places[np.concatenate(([True], places[1:] != places[:-1]))]  # they never go back
-    return seeds[places], places
+    # the least of each run of seeds, the first of equal ones, by halves: 8 = 4 + 4, then one more
+    best = np.arange(len(seeds))
+    for gap in (1, 2, 4, 1):
+        left, right = best[:-gap], best[gap:]
+        best = np.where(seeds[right] < seeds[left], right, left)
+    assert len(best) == len(seeds) - span + 1
+    return best[np.concatenate(([True], best[1:] != best[:-1]))]  # they never go back
 
 
 def first_pass(docs: DataFrame) -> DataFrame:
@@ -74,32 +74,37 @@ def version(joined: bytes) -> int:
 def seed_places(docs: DataFrame, places: bool) -> DataFrame:
     """(h, doc) of the different anchors of each text, or (h, doc, at) of all their places."""
 
-    def work(batch: pa.RecordBatch, hashes: WordHashes) -> pa.RecordBatch:
-        hs, ds, ats = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for d, t in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-            h, at = anchors(hashes(words_of(t)))
-            if not places:
-                h = np.unique(h)
-            hs.append(h)
-            ds.append(np.full(len(h), d, np.int64))
-            ats.append(at)
-        out = [np.concatenate(hs).view(np.int64), np.concatenate(ds)]
+    def work(batch: pa.RecordBatch, words: Words) -> pa.RecordBatch:
+        h, bounds = words(batch.column("text"))
+        runs = sequences(h, SEED)
+        hs, ats, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            at = np.empty(0, np.int64)
+            if b - a >= WINDOW:
+                seeds = runs[a : b - SEED + 1]
+                at = anchors(seeds)
+                hs.append(seeds[at] if places else np.unique(seeds[at]))
+                ats.append(at)
+            sizes.append(len(hs[-1]) if len(at) else 0)
+        ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), sizes)
+        out = [np.concatenate(hs).view(np.int64), ids]
         if places:
             out.append(np.concatenate(ats).astype(np.int32))
         return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["h", "doc", "at"][: len(out)])
 
-    return by_batch(docs, work, "h long, doc long" + ", at int" * places, WordHashes)
+    return by_batch(docs, work, "h long, doc long" + ", at int" * places, lambda: Words(lower=False))
 
 
 def extended(texts: DataFrame) -> DataFrame:
     """(w1, w2, doc, ver, at): the windows around the places ``ats`` of each text."""
 
-    def work(batch: pa.RecordBatch, own: tuple[WordHashes, zstandard.ZstdDecompressor]) -> pa.RecordBatch:
-        hashes, unpack = own
+    def work(batch: pa.RecordBatch, own: tuple[Words, zstandard.ZstdDecompressor]) -> pa.RecordBatch:
+        words, unpack = own
         out: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(5)]
-        for d, v, body, ats in zip(*(batch.column(c).to_pylist() for c in ("doc", "ver", "body", "ats"))):
-            h = hashes(unpack.decompress(body).split())
-            n = len(h) - WINDOW + 1
+        h, bounds = words(pa.array(map(unpack.decompress, batch.column("body").to_pylist()), pa.binary()))
+        one, two = (sequences(h, WINDOW, step).view(np.int64) for step in (STEP, STEP_2))
+        for i, (d, v, ats) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc", "ver", "ats")))):
+            n = int(bounds[i + 1] - bounds[i]) - WINDOW + 1
             if n <= 0:
                 continue
             around = np.zeros(n + 1, np.int64)
@@ -107,15 +112,15 @@ def extended(texts: DataFrame) -> DataFrame:
             np.add.at(around, np.minimum(np.maximum(ats - (WINDOW - SEED), 0), n), 1)
             np.add.at(around, np.minimum(ats + 1, n), -1)
             at = np.flatnonzero(np.cumsum(around)[:n] > 0)
-            one, two = sequences(h, WINDOW)[at].view(np.int64), sequences(h, WINDOW, STEP_2)[at].view(np.int64)
-            for column, values in zip(out, (one, two, np.full(len(at), d), np.full(len(at), v), at)):
+            here = at + bounds[i]
+            for column, values in zip(out, (one[here], two[here], np.full(len(at), d), np.full(len(at), v), at)):
                 column.append(values)
         arrays = [pa.array(np.concatenate(c)) for c in out]
         arrays[3:] = [c.cast(pa.int32()) for c in arrays[3:]]
         return pa.RecordBatch.from_arrays(arrays, ["w1", "w2", "doc", "ver", "at"])
 
     schema = "w1 long, w2 long, doc long, ver int, at int"
-    return by_batch(texts, work, schema, lambda: (WordHashes(), zstandard.ZstdDecompressor()))
+    return by_batch(texts, work, schema, lambda: (Words(lower=False), zstandard.ZstdDecompressor()))
 
 
 def repeats(ats: np.ndarray) -> list[tuple[int, int]]:
