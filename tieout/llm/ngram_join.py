@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -37,9 +37,10 @@ from .graph import components
 SHINGLE = 5
 #: Linked if 100 * shared >= PERCENT * union. The prefixes below assume 75.
 PERCENT = 75
-CLASSES = 1 << 16
+CLASSES = 1 << 20
+#: Class counts travel as arrays of this many.
+CHUNK = 1 << 12
 BITS = 1 << 10
-LEADER_ROUNDS = 4
 
 
 def shingle_sets(column: pa.Array, words: Words) -> list[np.ndarray]:
@@ -70,38 +71,63 @@ def parity_bits(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return shared > 0 and 100 * shared >= PERCENT * (len(a) + len(b) - shared)
-
-
 def first_pass(docs: DataFrame) -> DataFrame:
-    """Rows of documents (doc_id, n, set_key) and, per task, rows of classes (class, amount)."""
-    kind = dict(docs.dtypes)["doc_id"]
+    """Rows of documents (doc_id, n, set_key) and, per task, rows of class counts (chunk, amounts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, amounts = Words(lower=True), np.zeros(CLASSES, np.int64)
-        names = ["doc_id", "n", "set_key", "class", "amount"]
-        id_type = None
+        names = ["doc_id", "n", "set_key", "chunk", "amounts"]
         for whole in batches:
             for batch in bounded(whole):
                 sets = shingle_sets(batch.column("text"), words)
                 keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                amounts += np.bincount(class_of(np.concatenate([EMPTY, *sets])), minlength=CLASSES)
+                np.add.at(amounts, class_of(np.concatenate([EMPTY, *sets])), 1)
                 ids = batch.column("doc_id")
-                id_type = ids.type
-                gap = pa.nulls(len(ids), pa.int64())
+                gaps = pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())
                 sizes = pa.array(map(len, sets), pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, sizes, pa.array(keys, pa.binary()), gap, gap], names)
-        at = np.flatnonzero(amounts)
-        if len(at):
-            gap = [pa.nulls(len(at), t) for t in (id_type, pa.int64(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*gap, pa.array(at, pa.int64()), pa.array(amounts[at])], names)
+                yield pa.RecordBatch.from_arrays([ids, sizes, pa.array(keys, pa.binary()), *gaps], names)
+        if amounts.any():
+            chunks = [x.tobytes() for x in amounts.reshape(-1, CHUNK)]
+            gaps = [pa.nulls(len(chunks), t) for t in (pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*gaps, pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())], names)
 
-    schema = f"doc_id {kind}, n long, set_key binary, class long, amount long"
+    schema = "doc_id long, n long, set_key binary, chunk int, amounts binary"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def summed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The sums of ``amounts`` per key, held one at a time as sorted rows come in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
+
+        def out() -> pa.RecordBatch:
+            values = [pa.array([k], pa.int32()) for k in at]
+            return pa.RecordBatch.from_arrays([*values, pa.array([total.tobytes()], pa.binary())], [*keys, "amounts"])
+
+        for batch in batches:
+            for *key, raw in zip(*(batch.column(c).to_pylist() for c in (*keys, "amounts"))):
+                if key != at:
+                    if total is not None:
+                        yield out()
+                    at, total = key, np.zeros(CHUNK, np.int64)
+                total += np.frombuffer(raw, np.int64)
+        if total is not None:
+            yield out()
+
+    schema = ", ".join(f"{k} int" for k in keys) + ", amounts binary"
+    return rows.select(*keys, "amounts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def class_counts(counted: DataFrame) -> np.ndarray:
+    """How many tokens each class has: a table of fixed size, whatever the corpus."""
+    rows = counted.filter("chunk is not null").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64)))
+    out = np.zeros(CLASSES, np.int64)
+    for r in summed(summed(rows, ["chunk", "salt"]), ["chunk"]).collect():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["amounts"], np.int64)
+    return out
+
+
 class Signer:
     """Signatures of a set, given the counts of the classes."""
 
@@ -172,17 +198,18 @@ def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
     )
 
 
-def plausible(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and parities do not rule out. ``marks``: (node, n, bits), a written table.
+def bounded_pairs(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(a, b, total, most): the sizes of both sets and a bound of what they share.
 
-    Sets that differ in d tokens differ in at most d parities, and linked sets
-    differ in at most a seventh of both sizes; nothing linked is lost.
+    ``marks``: (node, n, bits), a written table. Sets that differ in d tokens differ
+    in at most d parities, so the bound loses no link.
     """
     side = lambda c: marks.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
     differ = F.expr("aggregate(zip_with(bitsa, bitsb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    both = pairs.join(side("b"), "b").filter("nb > 0").join(side("a"), "a")
-    sizes = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (F.col("na") + F.col("nb") >= 7 * differ)
-    return both.filter(sizes).select("a", "b").distinct()
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    total = F.col("na") + F.col("nb")
+    most = F.least("na", "nb", F.floor((total - differ) / 2))
+    return both.select("a", "b", total.alias("total"), most.cast("long").alias("most"))
 
 
 def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,9 +239,33 @@ def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(rest_sig, rest_node)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole texts are linked."""
-    pairs = cut_lineage(plausible(pairs, marks))
+def tested(pairs: DataFrame, docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(a, b, least, most, linked): bounds of the Jaccard distance of each pair, and whether it is a link.
+
+    Pairs that sizes and parities leave open are verified on the whole texts; their
+    bounds are exact.
+    """
+    bounds = cut_lineage(bounded_pairs(pairs, marks))
+    maybe = (100 + PERCENT) * F.col("most") >= PERCENT * F.col("total")
+    far = bounds.filter(~maybe).select("a", "b", F.col("most").alias("shared"), "total", F.lit(False).alias("exact"))
+    near = bounds.filter(maybe).select("a", "b").distinct()
+    shared = F.col("shared")
+    link = F.col("exact") & (shared > 0) & (100 * shared >= PERCENT * (F.col("total") - shared))
+    distance = 1 - shared / (F.col("total") - shared)
+    rows = far.unionByName(verified(near, docs).withColumn("exact", F.lit(True)))
+    # several rows only where one id has several texts
+    return cut_lineage(
+        rows.groupBy("a", "b").agg(
+            F.min(distance).alias("least"),
+            F.max(F.when(F.col("exact"), distance).otherwise(1.0)).alias("most"),
+            F.max(link).alias("linked"),
+        )
+    )
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, shared, total) of the pairs, counted on their whole texts."""
+    pairs = cut_lineage(pairs)
     nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     packed = cut_lineage(packed_texts(docs).join(cut_lineage(nodes), "doc_id", "left_semi"))
     side = lambda c: packed.select(F.col("doc_id").alias(c), F.col("body").alias(f"{c}_body"))
@@ -234,10 +285,14 @@ def verified(pairs: DataFrame, docs: DataFrame, marks: DataFrame) -> DataFrame:
                 for body, s in zip(new, shingle_sets(pa.array(map(unpack.decompress, new), pa.binary()), words)):
                     known[body] = s
                     held += len(s)
-                yes = pa.array([linked(known[x], known[y]) for x, y in zip(a, b)], pa.bool_())
-                yield batch.select(["a", "b"]).filter(yes)
+                shared = [len(np.intersect1d(known[x], known[y], assume_unique=True)) for x, y in zip(a, b)]
+                total = [len(known[x]) + len(known[y]) for x, y in zip(a, b)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(total, pa.int64())],
+                    ["a", "b", "shared", "total"],
+                )
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long, shared long, total long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -252,9 +307,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counted = cut_lineage(first_pass(docs))
     sets = counted.filter("n is not null").select("doc_id", "n", "set_key")
-    amounts = np.zeros(CLASSES, np.int64)
-    for r in counted.filter("class is not null").groupBy("class").agg(F.sum("amount").alias("amount")).collect():
-        amounts[r["class"]] = r["amount"]  # a table of fixed size, whatever the corpus
+    amounts = class_counts(counted)
 
     known = sets.filter("set_key is not null and doc_id is not null")
     reps = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
@@ -276,23 +329,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tagged = known.join(reps, "set_key").select("doc_id", "rep")
     versions = cut_lineage(tagged.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("doc_id", "a"))
     several = tagged.join(versions, "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
-    pairs = cut_lineage(group.filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    tried, links = [pairs], cut_lineage(verified(pairs, docs, marks).union(several))
+    seen = tested(led_pairs(group), docs, marks)
+    links = cut_lineage(seen.filter("linked").select("a", "b").union(several))
     comps = components(links)
-    for turn in range(LEADER_ROUNDS + 1):
-        open_ = still_open(group, comps)
-        if open_.isEmpty():
-            break
-        every = turn == LEADER_ROUNDS or crossing(open_) <= 4 * open_.count()
-        pairs = all_pairs(open_) if every else led_pairs(open_, turn)
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        tried.append(pairs)
-        links = cut_lineage(links.union(verified(pairs, docs, marks)))
-        comps = components(links)
-        if every:
-            break
+    rows = still_open(group, seen, comps)
+    if not rows.isEmpty():
+        pairs = all_pairs(rows, marks).join(seen, ["a", "b"], "left_anti")
+        more = tested(cut_lineage(pairs), docs, marks)
+        comps = components(cut_lineage(links.union(more.filter("linked").select("a", "b"))))
 
     rep_comp = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("comp", "rep").alias("comp")
@@ -315,39 +359,48 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return by_batch(rows, work, f"doc_id {kind}, body binary", lambda: zstandard.ZstdCompressor(level=1))
 
 
-def still_open(group: DataFrame, comps: DataFrame) -> DataFrame:
-    """The rows (sig, node, comp) of signatures of three nodes or more that span several components."""
-    rows = group.join(comps, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
-    spans = rows.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n"))
-    return cut_lineage(rows.join(spans.filter("x < y and n > 2").select("sig"), "sig"))
-
+def ordered(a: str, b: str) -> tuple[Column, Column]:
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
-def crossing(rows: DataFrame) -> int:
-    """How many pairs of nodes share a signature and are in different components."""
-    each = rows.groupBy("sig", "comp").agg(F.count("*").alias("n")).groupBy("sig").agg(
-        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
-    )
-    return int(each.agg(F.sum("pairs")).first()[0] or 0)
 
+def led_pairs(group: DataFrame) -> DataFrame:
+    """The pairs (a, b) of each signature's leader with its other nodes."""
+    return cut_lineage(group.filter("leader <> node").select(*ordered("leader", "node")).distinct())
 
-def ordered(a: str, b: str):
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
+NEAR, BETWEEN, FAR = 0, 1, 2
 
-def led_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Of each signature, a member of its largest component with all nodes of the others."""
-    draw = F.xxhash64(F.lit(turn), "node")
-    lead = rows.groupBy("sig", "comp").agg(F.count("*").alias("n"), F.min_by("node", draw).alias("leader")).groupBy("sig").agg(
-        F.max(F.struct("n", F.col("comp").alias("lead_comp"), "leader")).alias("lead")
-    )
-    lead = cut_lineage(lead.select("sig", "lead.lead_comp", "lead.leader"))
-    return rows.join(lead, "sig").filter("comp <> lead_comp").select(*ordered("leader", "node")).distinct()
 
+def still_open(group: DataFrame, seen: DataFrame, comps: DataFrame) -> DataFrame:
+    """(sig, node, comp, kind): what is left to compare once all leaders were.
 
-def all_pairs(rows: DataFrame) -> DataFrame:
-    """The pairs that are left: of one signature, in different components."""
-    other = rows.select("sig", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-    return rows.join(other, "sig").filter("node < other and comp <> other_comp").select(
+    A leader is done. ``kind`` is a node's distance from it: linked, further than 0.5,
+    or between. The Jaccard distance is a metric, so a linked node is further than
+    0.25 from every far one. Signatures whose rows are in one component are done.
+    """
+    pair = group.filter("leader <> node").select("sig", "node", *ordered("leader", "node")).join(seen, ["a", "b"])
+    near, far = F.col("most") <= 1 - PERCENT / 100, F.col("least") > 2 * (1 - PERCENT / 100) + 1e-9
+    kind = F.when(near, NEAR).when(far, FAR).otherwise(BETWEEN)
+    marked = pair.select("sig", "node", kind.alias("kind")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    rows = cut_lineage(marked.select("sig", "node", "comp", "kind"))
+    spans = rows.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.col("kind") == BETWEEN).alias("between"))
+    # linked nodes have only those in between left to meet
+    done = spans.select("sig", "between", (F.col("x") < F.col("y")).alias("open")).filter("open")
+    return cut_lineage(rows.join(done.select("sig", "between"), "sig").filter(f"between or kind <> {NEAR}").drop("between"))
+
+
+def all_pairs(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are left: of one signature, in different components, of like size."""
+    # steps a little wider than the sizes of linked sets can differ
+    step = F.floor(F.log("n") / F.log(F.lit(1.34))).cast("int")
+    sized = cut_lineage(rows.join(marks.select("node", step.alias("step")).distinct(), "node"))
+    near = F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))
+    meets = F.when(F.col("kind") == NEAR, F.array(F.lit(BETWEEN))).when(
+        F.col("kind") == BETWEEN, F.array(F.lit(NEAR), F.lit(BETWEEN), F.lit(FAR))
+    ).otherwise(F.array(F.lit(BETWEEN), F.lit(FAR)))
+    other = sized.select("sig", near.alias("step"), "kind", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
+    other = other.withColumn("kind", F.explode(meets))
+    return sized.join(other, ["sig", "step", "kind"]).filter("node < other and comp <> other_comp").select(
         F.col("node").alias("a"), F.col("other").alias("b")
     ).distinct()
 
