@@ -22,6 +22,7 @@ several components, among the rest: no group is expanded into all its pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -198,18 +199,23 @@ def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
     )
 
 
-def bounded_pairs(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(a, b, total, most): the sizes of both sets and a bound of what they share.
+def marks_of(signed: DataFrame) -> DataFrame:
+    """(node, n, p0, p1, ...): sizes and parities, the latter as plain columns, which joins compile."""
+    return signed.select("node", "n", *[F.col("bits")[i].alias(f"p{i}") for i in range(BITS // 64)])
 
-    ``marks``: (node, n, bits), a written table. Sets that differ in d tokens differ
-    in at most d parities, so the bound loses no link.
-    """
-    side = lambda c: marks.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
-    differ = F.expr("aggregate(zip_with(bitsa, bitsb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+
+def shared_at_most(na: Column, nb: Column, a: str, b: str) -> Column:
+    """A bound of what two sets share. Sets that differ in d tokens differ in at most d parities."""
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(BITS // 64)])
+    return F.least(na, nb, F.floor((na + nb - differ) / 2)).cast("long")
+
+
+def bounded_pairs(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(a, b, total, most): the sizes of both sets and a bound of what they share."""
+    side = lambda c: marks.select(F.col("node").alias(c), *[F.col(x).alias(c + x) for x in marks.columns[1:]])
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-    total = F.col("na") + F.col("nb")
-    most = F.least("na", "nb", F.floor((total - differ) / 2))
-    return both.select("a", "b", total.alias("total"), most.cast("long").alias("most"))
+    most = shared_at_most(F.col("an"), F.col("bn"), "a", "b")
+    return both.select("a", "b", (F.col("an") + F.col("bn")).alias("total"), most.alias("most"))
 
 
 def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,12 +329,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         paired.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").select("sig", "leader")
     )
     group = cut_lineage(lists.unionByName(paired.join(met, "sig").select("sig", "node", "leader")))
-    marks = cut_lineage(signed.select("node", "n", "bits").join(group.select("node").distinct(), "node", "left_semi"))
+    marks = cut_lineage(marks_of(signed).join(group.select("node").distinct(), "node", "left_semi"))
 
     # rows of one id with different texts
     tagged = known.join(reps, "set_key").select("doc_id", "rep")
     versions = cut_lineage(tagged.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("doc_id", "a"))
     several = tagged.join(versions, "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    group = cut_lineage(led(group))
     seen = tested(led_pairs(group), docs, marks)
     links = cut_lineage(seen.filter("linked").select("a", "b").union(several))
     comps = components(links)
@@ -363,6 +370,19 @@ def ordered(a: str, b: str) -> tuple[Column, Column]:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def led(group: DataFrame) -> DataFrame:
+    """``group`` with the leader of each signature: the node that meets most others.
+
+    Of noisy copies that is the one nearest to all, since it has most tokens in common.
+    """
+    rows = group.select("sig", "node")
+    sizes = cut_lineage(rows.groupBy("sig").agg(F.count("*").alias("size")))
+    meets = cut_lineage(rows.join(sizes, "sig").groupBy("node").agg(F.sum("size").alias("meets")))
+    lead = rows.join(meets, "node").groupBy("sig").agg(F.max(F.struct("meets", -F.col("node"))).alias("top"))
+    lead = cut_lineage(lead.select("sig", (-F.col("top.col2")).alias("leader")))
+    return rows.join(lead, "sig")
+
+
 def led_pairs(group: DataFrame) -> DataFrame:
     """The pairs (a, b) of each signature's leader with its other nodes."""
     return cut_lineage(group.filter("leader <> node").select(*ordered("leader", "node")).distinct())
@@ -393,16 +413,19 @@ def all_pairs(rows: DataFrame, marks: DataFrame) -> DataFrame:
     """The pairs (a, b) that are left: of one signature, in different components, of like size."""
     # steps a little wider than the sizes of linked sets can differ
     step = F.floor(F.log("n") / F.log(F.lit(1.34))).cast("int")
-    sized = cut_lineage(rows.join(marks.select("node", step.alias("step")).distinct(), "node"))
+    sized = cut_lineage(rows.join(marks.withColumn("step", step), "node"))
     near = F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))
     meets = F.when(F.col("kind") == NEAR, F.array(F.lit(BETWEEN))).when(
         F.col("kind") == BETWEEN, F.array(F.lit(NEAR), F.lit(BETWEEN), F.lit(FAR))
     ).otherwise(F.array(F.lit(BETWEEN), F.lit(FAR)))
-    other = sized.select("sig", near.alias("step"), "kind", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
+    own = [c for c in sized.columns if c not in ("sig", "step", "kind")]
+    other = sized.select("sig", near.alias("step"), "kind", *[F.col(c).alias(f"o{c}") for c in own])
     other = other.withColumn("kind", F.explode(meets))
-    return sized.join(other, ["sig", "step", "kind"]).filter("node < other and comp <> other_comp").select(
-        F.col("node").alias("a"), F.col("other").alias("b")
-    ).distinct()
+    # the bound is part of the join's condition: pairs that it rules out are never rows
+    most, total = shared_at_most(F.col("n"), F.col("on"), "", "o"), F.col("n") + F.col("on")
+    return sized.join(other, ["sig", "step", "kind"]).filter(
+        (F.col("node") < F.col("onode")) & (F.col("comp") != F.col("ocomp")) & ((100 + PERCENT) * most >= PERCENT * total)
+    ).select(F.col("node").alias("a"), F.col("onode").alias("b")).distinct()
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
