@@ -42,6 +42,8 @@ CLASSES = 1 << 20
 #: Class counts travel as arrays of this many.
 CHUNK = 1 << 12
 BITS = 1 << 10
+#: 64-bit columns that the join of what is left folds them to.
+JOIN_COLUMNS = 4
 
 
 def shingle_sets(column: pa.Array, words: Words) -> list[np.ndarray]:
@@ -204,9 +206,15 @@ def marks_of(signed: DataFrame) -> DataFrame:
     return signed.select("node", "n", *[F.col("bits")[i].alias(f"p{i}") for i in range(BITS // 64)])
 
 
-def shared_at_most(na: Column, nb: Column, a: str, b: str) -> Column:
+def folded(marks: DataFrame, columns: int) -> DataFrame:
+    """``marks`` with fewer, coarser parities: the sums of several are parities too."""
+    sums = [[F.col(f"p{i}") for i in range(j, BITS // 64, columns)] for j in range(columns)]
+    return marks.select("node", "n", *[reduce(Column.bitwiseXOR, x).alias(f"p{j}") for j, x in enumerate(sums)])
+
+
+def shared_at_most(na: Column, nb: Column, a: str, b: str, columns: int = BITS // 64) -> Column:
     """A bound of what two sets share. Sets that differ in d tokens differ in at most d parities."""
-    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(BITS // 64)])
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(columns)])
     return F.least(na, nb, F.floor((na + nb - differ) / 2)).cast("long")
 
 
@@ -411,21 +419,23 @@ def still_open(group: DataFrame, seen: DataFrame, comps: DataFrame) -> DataFrame
 
 def all_pairs(rows: DataFrame, marks: DataFrame) -> DataFrame:
     """The pairs (a, b) that are left: of one signature, in different components, of like size."""
-    # steps a little wider than the sizes of linked sets can differ
+    # steps a little wider than the sizes of linked sets can differ: one row meets
+    # its own step, the other its own and the one below
     step = F.floor(F.log("n") / F.log(F.lit(1.34))).cast("int")
-    sized = cut_lineage(rows.join(marks.withColumn("step", step), "node"))
-    near = F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))
+    sized = cut_lineage(rows.join(folded(marks, JOIN_COLUMNS).withColumn("step", step), "node"))
+    below = F.explode(F.array(F.col("step"), F.col("step") - 1))
     meets = F.when(F.col("kind") == NEAR, F.array(F.lit(BETWEEN))).when(
         F.col("kind") == BETWEEN, F.array(F.lit(NEAR), F.lit(BETWEEN), F.lit(FAR))
     ).otherwise(F.array(F.lit(BETWEEN), F.lit(FAR)))
-    own = [c for c in sized.columns if c not in ("sig", "step", "kind")]
-    other = sized.select("sig", near.alias("step"), "kind", *[F.col(c).alias(f"o{c}") for c in own])
+    own = [c for c in sized.columns if c not in ("sig", "kind")]
+    other = sized.select("sig", "kind", *[F.col(c).alias(f"o{c}") for c in own], below.alias("step"))
     other = other.withColumn("kind", F.explode(meets))
     # the bound is part of the join's condition: pairs that it rules out are never rows
-    most, total = shared_at_most(F.col("n"), F.col("on"), "", "o"), F.col("n") + F.col("on")
+    most, total = shared_at_most(F.col("n"), F.col("on"), "", "o", JOIN_COLUMNS), F.col("n") + F.col("on")
+    once = (F.col("step") < F.col("ostep")) | (F.col("node") < F.col("onode"))
     return sized.join(other, ["sig", "step", "kind"]).filter(
-        (F.col("node") < F.col("onode")) & (F.col("comp") != F.col("ocomp")) & ((100 + PERCENT) * most >= PERCENT * total)
-    ).select(F.col("node").alias("a"), F.col("onode").alias("b")).distinct()
+        once & (F.col("comp") != F.col("ocomp")) & ((100 + PERCENT) * most >= PERCENT * total)
+    ).select(*ordered("node", "onode")).distinct()
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
