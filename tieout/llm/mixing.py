@@ -45,13 +45,13 @@ def fill_level(weight: Column, room: Column, total: Column, own: W, ties: list[C
     when all before it are; the level is the one at the first that is not. Null
     when all are full.
     """
-    order = own.orderBy((room / weight).asc_nulls_first(), *ties)
+    order = own.orderBy(F.try_divide(room, weight).asc_nulls_first(), *ties)
     before = order.rowsBetween(W.unboundedPreceding, -1)
     left = total - F.coalesce(F.sum(room).over(before), F.lit(0))
     weight_left = F.sum(weight).over(own) - F.coalesce(F.sum(weight).over(before), F.lit(0))
     level = F.when(weight_left > 0, left / weight_left)
     full = (room < level * weight) | (weight <= 0)
-    return F.when(~full, F.struct((room / weight).alias("at"), level.alias("level"))), level
+    return F.when(~full, F.struct(F.try_divide(room, weight).alias("at"), level.alias("level"))), level
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:

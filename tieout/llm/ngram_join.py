@@ -41,9 +41,9 @@ PERCENT = 75
 CLASSES = 1 << 20
 #: Class counts travel as arrays of this many.
 CHUNK = 1 << 12
-BITS = 1 << 10
+BITS = 1 << 12
 #: 64-bit columns that the join of what is left folds them to.
-JOIN_COLUMNS = 4
+JOIN_COLUMNS = 16
 
 
 def shingle_sets(column: pa.Array, words: Words) -> list[np.ndarray]:
@@ -70,7 +70,7 @@ def class_of(tokens: np.ndarray) -> np.ndarray:
 
 def parity_bits(s: np.ndarray) -> np.ndarray:
     """BITS parities of a set, as 64-bit numbers: a token that only one set has turns one bit."""
-    odd = np.bincount((s >> np.uint64(64 - 10)).astype(np.int64), minlength=BITS) & 1
+    odd = np.bincount((s >> np.uint64(64 - 12)).astype(np.int64), minlength=BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
