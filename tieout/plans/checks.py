@@ -47,8 +47,8 @@ def filled(relation: str, *columns: str) -> list[Check]:
     return [Check(relation, c, NOT_NULL) for c in columns]
 
 
-def listed(relation: str, column: str, values: str) -> list[Check]:
-    return [Check(relation, column, ACCEPTED_VALUES, values=tuple(values.split()))]
+def listed(relation: str, column: str, *values: str) -> list[Check]:
+    return [Check(relation, column, ACCEPTED_VALUES, values=values)]
 
 
 def refers(relation: str, column: str, parent: str, parent_column: str = "") -> list[Check]:
@@ -67,22 +67,23 @@ def rules(*names: str, severity: str = "error") -> list[Check]:
     return [Check(name, "", BUSINESS_RULE, severity=severity) for name in names]
 
 
+# Relations, columns and accepted values of the checks.
 CHECKS: dict[str, list[Check]] = {
     "revenue": [
         *key("stg_orders", "order_id"),
-        *listed("stg_orders", "order_status", "completed confirmed cancelled placed"),
+        *listed("stg_orders", "order_status", "completed", "confirmed", "cancelled", "placed"),
         *positive("stg_orders", "order_amount"),
         *key("stg_payments", "payment_id"),
         *filled("stg_payments", "order_id"),
         *refers("stg_payments", "order_id", "stg_orders"),
-        *listed("stg_payments", "payment_status", "succeeded failed"),
+        *listed("stg_payments", "payment_status", "succeeded", "failed"),
         *key("stg_refunds", "refund_id"),
         *refers("stg_refunds", "order_id", "stg_orders"),
         *refers("stg_refunds", "payment_id", "stg_payments"),
         *listed("stg_refunds", "refund_status", "completed"),
         *key("stg_shipping", "shipment_id"),
         *refers("stg_shipping", "order_id", "stg_orders"),
-        *listed("stg_shipping", "shipment_status", "delivered in_transit"),
+        *listed("stg_shipping", "shipment_status", "delivered", "in_transit"),
         *key("fct_revenue", "order_id"),
         *at_least_zero("fct_revenue", "net_revenue", "cancellation_leakage_amount"),
         *key("fct_revenue_monthly", "report_month"),
@@ -97,19 +98,19 @@ CHECKS: dict[str, list[Check]] = {
     ],
     "lending": [
         *key("stg_applications", "application_id"),
-        *listed("stg_applications", "decision", "approved declined pending"),
+        *listed("stg_applications", "decision", "approved", "declined", "pending"),
         *key("stg_loans", "loan_id"),
         *filled("stg_loans", "application_id"),
         *refers("stg_loans", "application_id", "stg_applications"),
-        *listed("stg_loans", "loan_status", "active delinquent restructured closed"),
+        *listed("stg_loans", "loan_status", "active", "delinquent", "restructured", "closed"),
         *positive("stg_loans", "principal_amount"),
         *key("stg_repayments", "repayment_id"),
         *filled("stg_repayments", "loan_id"),
         *refers("stg_repayments", "loan_id", "stg_loans"),
-        *listed("stg_repayments", "payment_status", "posted partial missed"),
+        *listed("stg_repayments", "payment_status", "posted", "partial", "missed"),
         *key("stg_defaults", "default_id"),
         *refers("stg_defaults", "loan_id", "stg_loans"),
-        *listed("stg_defaults", "default_status", "open in_recovery written_off"),
+        *listed("stg_defaults", "default_status", "open", "in_recovery", "written_off"),
         *key("fct_loan_performance", "loan_id"),
         *at_least_zero("fct_loan_performance", "true_dpd", "outstanding_balance_estimate"),
         *key("fct_portfolio_metrics", "product_type"),
@@ -123,23 +124,35 @@ CHECKS: dict[str, list[Check]] = {
     ],
     "visits": [
         *key("stg_patients", "patient_id"),
-        *listed("stg_patients", "sex", "F M X"),
+        *listed("stg_patients", "sex", "F", "M", "X"),
         *key("stg_doctors", "doctor_id"),
         *key("stg_appointments", "appointment_id"),
         *filled("stg_appointments", "patient_id", "doctor_id"),
         *refers("stg_appointments", "patient_id", "stg_patients"),
         *refers("stg_appointments", "doctor_id", "stg_doctors"),
-        *listed("stg_appointments", "raw_status", "attended no_show missed no-show cancelled rescheduled"),
+        *listed(
+            "stg_appointments",
+            "raw_status",
+            "attended",
+            "no_show",
+            "missed",
+            "no-show",
+            "cancelled",
+            "rescheduled",
+        ),
         *key("stg_billing", "billing_id"),
         *filled("stg_billing", "appointment_id"),
-        *listed("stg_billing", "line_type", "office_visit no_show_fee late_cancel_fee"),
+        *listed("stg_billing", "line_type", "office_visit", "no_show_fee", "late_cancel_fee"),
         *key("fct_appointments", "logical_visit_id"),
-        *listed("fct_appointments", "final_canonical_status", "attended no_show cancelled unresolved"),
+        *listed("fct_appointments", "final_canonical_status", "attended", "no_show", "cancelled", "unresolved"),
         *key("fct_patient_engagement", "patient_id"),
         *listed(
             "fct_patient_engagement",
             "no_show_risk_segment",
-            "high_risk moderate_risk low_risk no_kept_intent_history",
+            "high_risk",
+            "moderate_risk",
+            "low_risk",
+            "no_kept_intent_history",
         ),
         *key("fct_noshow_reconciliation_bridge", "location"),
         *rules(
@@ -154,13 +167,13 @@ CHECKS: dict[str, list[Check]] = {
         *key("stg_employees", "employee_id"),
         *filled("stg_employees", "person_id"),
         *refers("stg_employees", "department_id", "stg_departments"),
-        *listed("stg_employees", "raw_employment_status", "active terminated transferred"),
+        *listed("stg_employees", "raw_employment_status", "active", "terminated", "transferred"),
         *key("stg_performance_reviews", "review_id"),
         *filled("stg_performance_reviews", "employee_id"),
-        *listed("stg_performance_reviews", "rating", "outstanding exceeds meets below"),
+        *listed("stg_performance_reviews", "rating", "outstanding", "exceeds", "meets", "below"),
         *key("stg_payroll", "payroll_id"),
         *filled("stg_payroll", "employee_id"),
-        *listed("stg_payroll", "currency_code", "USD GBP EUR SGD"),
+        *listed("stg_payroll", "currency_code", "USD", "GBP", "EUR", "SGD"),
         *key("fct_workforce", "person_id"),
         *at_least_zero("fct_workforce", "tenure_time_in_seat_days"),
         *key("fct_department_workforce", "department_name"),
