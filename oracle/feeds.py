@@ -35,22 +35,22 @@ FEEDS = {
                if(l_partkey % 2 = 0, 'card', 'wallet') AS payment_method,
                {share('o_totalprice', '0.02')} AS gateway_fee, l_shipdate AS attempted_at,
                if(l_linenumber = 1, l_shipdate, NULL) AS processed_at
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber <= 2""",
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
     "raw_refunds": f"""
         SELECT {LK} AS refund_id, {text('l_orderkey')} AS order_id, {LK} AS payment_id,
                if(l_returnflag = 'R', {money('o_totalprice')}, {share('o_totalprice', '0.50')}) AS refund_amount,
                {CCY} AS currency, if(l_returnflag = 'R', 'returned', 'damaged') AS refund_reason,
-               'Completed ' AS refund_status, l_shipdate + INTERVAL 30 DAY AS requested_at,
-               l_shipdate + INTERVAL 40 DAY AS processed_at
-        FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-        WHERE l_linenumber = 1 AND (l_returnflag = 'R' OR (l_returnflag = 'A' AND l_partkey % 3 = 0))""",
+               if(done, 'Completed ', ' pending') AS refund_status, l_shipdate + INTERVAL 30 DAY AS requested_at,
+               if(done, l_shipdate + INTERVAL 40 DAY, NULL) AS processed_at
+        FROM (SELECT *, l_linenumber = 1 AND (l_returnflag = 'R' OR (l_returnflag = 'A' AND l_partkey % 3 = 0)) AS done
+              FROM lineitem) JOIN orders ON o_orderkey = l_orderkey""",
     "raw_shipping": f"""
         SELECT {LK} AS shipment_id, {text('l_orderkey')} AS order_id,
                if(l_suppkey % 2 = 0, 'post', 'courier') AS carrier, {share('l_extendedprice', '0.01')} AS shipping_cost,
                if(l_linestatus = 'F', ' Delivered', 'in_transit') AS status,
                if(l_suppkey % 10 = 0, NULL, l_shipdate) AS shipped_at,
                if(l_linestatus = 'F', l_shipdate + INTERVAL 5 DAY, NULL) AS delivered_at
-        FROM lineitem WHERE l_linenumber = 3""",
+        FROM lineitem""",
     "raw_applications": f"""
         SELECT {text('o_orderkey')} AS application_id, {text('o_custkey')} AS customer_id,
                o_orderpriority AS product_type, if(o_custkey % 2 = 0, 'web', 'branch') AS channel,
@@ -82,14 +82,14 @@ FEEDS = {
                      CAST(l_shipdate AS DATE) AS due_date, l_returnflag = 'N' AS short,
                      l_partkey % 4 = 0 AND l_shipdate > TIMESTAMP '1999-01-01' AS miss FROM lineitem)""",
     "raw_defaults": f"""
-        SELECT 'D' || o_orderkey AS default_id, {text('o_orderkey')} AS loan_id,
+        SELECT 'D' || o_orderkey AS default_id, {text('o_orderkey // 12 * 12')} AS loan_id,
                CASE o_orderkey % 36 WHEN 0 THEN 'fraud' WHEN 12 THEN 'arrears' ELSE 'deceased' END AS default_reason,
                {share('o_totalprice', '0.50')} AS outstanding_at_default, 'usd' AS currency,
                CASE o_orderkey % 36 WHEN 0 THEN ' open' WHEN 12 THEN 'IN_RECOVERY' ELSE 'open' END AS default_status,
                o_orderdate + INTERVAL 300 DAY AS flagged_at
-        FROM orders WHERE o_orderkey % 12 = 0
+        FROM orders
         UNION ALL
-        SELECT 'E' || o_orderkey, {text('o_orderkey')}, 'arrears', {share('o_totalprice', '0.40')}, 'usd',
+        SELECT 'E' || o_orderkey, {text('o_orderkey // 12 * 12')}, 'arrears', {share('o_totalprice', '0.40')}, 'usd',
                'Written_Off', o_orderdate + INTERVAL 400 DAY
         FROM orders WHERE o_orderkey % 60 = 0""",
     "raw_patients": f"""

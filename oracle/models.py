@@ -289,13 +289,16 @@ VISITS = {
     "live_rows": "SELECT * FROM int_appointments_canonical WHERE NOT is_duplicate_booking",
     "walked": """
         SELECT appointment_id AS root, appointment_id AS node, 1 AS hop,
-               if(has_validated_reschedule_link, rescheduled_to_id, NULL) AS onward, canonical_status
+               if(has_validated_reschedule_link, rescheduled_to_id, NULL) AS onward, canonical_status,
+               [appointment_id] AS path
         FROM live_rows l
         WHERE NOT EXISTS (FROM live_rows o WHERE o.appointment_id = l.rescheduled_from_id)
         UNION ALL
         SELECT w.root, l.appointment_id, w.hop + 1,
-               if(l.has_validated_reschedule_link, l.rescheduled_to_id, NULL), l.canonical_status
-        FROM walked w JOIN live_rows l ON l.appointment_id = w.onward WHERE w.hop < 10""",
+               if(l.has_validated_reschedule_link, l.rescheduled_to_id, NULL), l.canonical_status,
+               list_append(w.path, l.appointment_id)
+        FROM walked w JOIN live_rows l ON l.appointment_id = w.onward
+        WHERE NOT list_contains(w.path, w.onward)""",
     "int_appointment_chains": """
         SELECT root AS logical_visit_id, arg_max(node, hop) AS final_appointment_id,
                arg_max(canonical_status, hop) AS final_canonical_status, max(hop) - 1 AS reschedule_count
@@ -309,7 +312,7 @@ VISITS = {
         WHERE canonical_status = 'rescheduled' AND NOT has_validated_reschedule_link
         UNION ALL SELECT appointment_id, 'not_in_any_chain' FROM covered WHERE times_covered = 0
         UNION ALL SELECT appointment_id, 'in_several_positions' FROM covered WHERE times_covered > 1
-        UNION ALL SELECT root, 'chain_capped' FROM walked WHERE hop = 10 AND onward IS NOT NULL""",
+        UNION ALL SELECT root, 'chain_ends_in_loop' FROM walked WHERE list_contains(path, onward)""",
     "billing_lines_flagged": """
         SELECT b.*, a.appointment_id IS NULL AS is_unmatched_billing,
                a.appointment_id IS NOT NULL AND a.is_duplicate_booking AS is_orphaned_billing

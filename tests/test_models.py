@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tests import fixtures as fx
-from tieout.params import VisitParams
+from tieout.operators import resolve_chains
 from tieout.plans import Lending, Revenue, Visits, Workforce
 
 D = Decimal
@@ -197,17 +197,17 @@ def chain_of(n, first=1, patient="p9"):
     ]
 
 
-@pytest.mark.parametrize("n", [1, 2, 4, 5, 9, 10])
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 10, 14, 1000])
 def test_chains_of_every_length(spark, n):
-    visits = Visits(fx.feeds(spark, "visits", {"appointments": chain_of(n, 100)}))
+    visits = Visits(fx.feeds(spark, "visits", {"appointments": chain_of(n, 1000)}))
     (row,) = visits.int_appointment_chains.collect()
-    assert (row.logical_visit_id, row.final_appointment_id) == ("100", str(99 + n))
+    assert (row.logical_visit_id, row.final_appointment_id) == ("1000", str(999 + n))
     assert (row.reschedule_count, row.final_canonical_status) == (n - 1, "attended")
     slots = sorted((r.hop_number, r.appointment_id) for r in visits.chain_membership.collect())
-    assert slots == [(i + 1, str(100 + i)) for i in range(n)]
+    assert slots == [(i + 1, str(1000 + i)) for i in range(n)]
     assert visits.no_double_counted_visit_intent.isEmpty()
     literal = {r.appointment_id for r in visits.no_double_counted_visit_intent_literal.collect()}
-    assert literal == {str(100 + i) for i in range(1, n - 1)}  # only middle rows
+    assert literal == {str(1000 + i) for i in range(1, n - 1)}  # only middle rows
 
 
 def test_chain_anomalies(spark):
@@ -216,23 +216,36 @@ def test_chain_anomalies(spark):
     rows += [fx.slot(3, "pc", 1, "rescheduled")]
     rows += [fx.slot(4, "pd", 1, "rescheduled", to="6"), fx.slot(5, "pd", 2, "rescheduled", to="6")]
     rows += [fx.slot(6, "pd", 3, "attended", back="4")]
+    rows += [fx.slot(7, "pe", 1, "rescheduled", to="8"), fx.slot(8, "pe", 2, "rescheduled", to="9", back="9")]
+    rows += [fx.slot(9, "pe", 3, "rescheduled", to="10", back="8"), fx.slot(10, "pe", 4, "rescheduled", to="8", back="9")]
     visits = Visits(fx.feeds(spark, "visits", {"appointments": rows}))
     found = {(r.appointment_id, r.anomaly) for r in visits.chain_anomalies.collect()}
     assert found == {
-        ("100", "chain_capped"),
-        ("110", "not_in_any_chain"),
-        ("111", "not_in_any_chain"),
+        ("7", "chain_ends_in_loop"),
         ("1", "not_in_any_chain"),
         ("2", "not_in_any_chain"),
         ("3", "unlinked_rescheduled"),
         ("6", "in_several_positions"),
     }
-
-
-def test_cap_is_a_parameter(spark):
-    visits = Visits(fx.feeds(spark, "visits", {"appointments": chain_of(6, 100)}), VisitParams(3))
-    (row,) = visits.int_appointment_chains.collect()
-    assert (row.final_appointment_id, row.reschedule_count, row.final_canonical_status) == ("102", 2, "rescheduled")
+    places = {r.id: r.slot for r in visits.chains.members.collect() if r.root == "7"}
+    assert places == {"7": 1, "8": 2, "9": 3, "10": 4}
+    ends = {r.logical_visit_id: (r.final_appointment_id, r.reschedule_count) for r in visits.int_appointment_chains.collect()}
+    assert (ends["7"], ends["100"]) == (("10", 3), ("111", 11))
+
+
+def test_loops_entered_at_any_row(spark):
+    """Two ways into one loop, a root that is part of a loop, a row that follows itself."""
+    links = {"a": "c", "b": "e", "c": "d", "d": "e", "e": "c", "r": "s", "s": "r", "x": "x", "z": None}
+    roots = {"a", "b", "r", "x", "z"}
+    nodes = spark.createDataFrame([(k, v, k in roots) for k, v in links.items()], "id string, to string, root boolean")
+    chains = resolve_chains(nodes, "id", "to", "root")
+    paths = {}
+    for r in sorted(chains.members.collect(), key=lambda r: r.slot):
+        paths.setdefault(r.root, []).append(r.id)
+    assert paths == {"a": list("acde"), "b": list("becd"), "r": list("rs"), "x": ["x"], "z": ["z"]}
+    last = {r.root: (r.last, r.hops) for r in chains.terminal.collect()}
+    assert last == {k: (p[-1], len(p) - 1) for k, p in paths.items()}
+    assert {r.root for r in chains.looped.collect()} == {"a", "b", "r", "x"}
 
 
 def test_linked_copy_wins_its_slot(spark):

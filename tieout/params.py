@@ -21,11 +21,6 @@ class LendingParams:
     par90_days: int = 90
 
 
-@dataclass(frozen=True)
-class VisitParams:
-    max_slots_per_chain: int = 10
-
-
 @dataclass(frozen=True)
 class WorkforceParams:
     as_of: str = "2025-12-31"

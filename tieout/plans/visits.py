@@ -21,7 +21,6 @@ from ..operators import (
     walk,
     winning_ids,
 )
-from ..params import VisitParams
 from ..session import cut_lineage
 from ..sources.raw import Raw
 from .base import Project
@@ -30,6 +29,7 @@ from .base import Project
 MISSED_SPELLINGS = ("no_show", "missed", "no-show")
 OUTCOMES = ("attended", "no_show", "cancelled", "rescheduled", "unresolved")
 BILLING_LINES = ("office_visit", "no_show_fee", "late_cancel_fee")
+CHARGES = [f"has_{k}_charge" for k in BILLING_LINES] + [f"{k}_billed" for k in BILLING_LINES]
 
 SLOT = ["patient_id", "doctor_id", "scheduled_for"]
 
@@ -89,10 +89,6 @@ class Visits(Project):
     )
     marts = ("fct_appointments", "fct_patient_engagement", "fct_noshow_reconciliation_bridge")
 
-    def __init__(self, raw: Raw, params: VisitParams = VisitParams()) -> None:
-        super().__init__(raw)
-        self.params = params
-
     # -- staging ---------------------------------------------------------
 
     @cached_property
@@ -212,9 +208,11 @@ class Visits(Project):
 
     @cached_property
     def live_slots(self) -> DataFrame:
-        """Surviving rows with their outcome and place in a chain, written once.
+        """Surviving rows with their outcome, place in a chain and charges, written once.
 
         Everything below reads this table, each time only the columns it needs.
+        Charges are joined here, on the row's own id: many chains may end on one
+        row, so the lookup of last rows has to be the only join on that key.
         ``next_id`` is set only by a valid forward link; a root is a row that no
         surviving row was moved into.
         """
@@ -222,13 +220,14 @@ class Visits(Project):
         onward = F.when(F.col("has_validated_reschedule_link"), F.col("rescheduled_to_id"))
         moved_in = F.coalesce("rescheduled_from_id_lives", F.lit(False))
         placed = with_outcome(kept, self.link_hits).withColumns({"next_id": onward, "is_root": ~moved_in})
-        return cut_lineage(placed.drop("rescheduled_to_id_lives", "rescheduled_from_id_lives"))
+        billed = self.charges_per_booking.select("appointment_id", *CHARGES)
+        return cut_lineage(
+            placed.drop("rescheduled_to_id_lives", "rescheduled_from_id_lives").join(billed, "appointment_id", "left")
+        )
 
     @cached_property
     def chains(self) -> Chains:
-        return resolve_chains(
-            self.live_slots, "appointment_id", "next_id", "is_root", self.params.max_slots_per_chain
-        )
+        return resolve_chains(self.live_slots, "appointment_id", "next_id", "is_root")
 
     @cached_property
     def int_appointment_chains(self) -> DataFrame:
@@ -271,12 +270,10 @@ class Visits(Project):
         per_row = self.coverage.select(
             "appointment_id", F.explode(F.array_compact(F.array(loose, place))).alias("anomaly")
         )
-        capped = self.chains.members.filter(
-            F.col("may_continue") & (F.col("slot") >= self.params.max_slots_per_chain)
-        )
-        return per_row.unionByName(
-            capped.select(F.col("root").alias("appointment_id"), F.lit("chain_capped").alias("anomaly"))
+        looped = self.chains.looped.select(
+            F.col("root").alias("appointment_id"), F.lit("chain_ends_in_loop").alias("anomaly")
         )
+        return per_row.unionByName(looped)
 
     # -- marts -----------------------------------------------------------
 
@@ -311,19 +308,17 @@ class Visits(Project):
             return [F.col(source).alias(name) for name, source in columns.items()]
 
         unmoved = self.live_slots.filter(F.col("is_root") & F.col("next_id").isNull()).select(
-            *named(first), *named(last), F.lit(0).alias("reschedule_count")
+            *named(first), *named(last), *CHARGES, F.lit(0).alias("reschedule_count")
         )
         moved = (
             self.chains.walked.withColumnsRenamed(
                 {"root": "logical_visit_id", "last": "final_appointment_id", "hops": "reschedule_count"}
             )
             # many chains may end on one row: that join comes first, while rows are narrow
-            .join(self.live_slots.select(*named(last)), "final_appointment_id")
+            .join(self.live_slots.select(*named(last), *CHARGES), "final_appointment_id")
             .join(self.live_slots.select(*named(first)), "logical_visit_id")
         )
-        charges = [f"has_{k}_charge" for k in BILLING_LINES] + [f"{k}_billed" for k in BILLING_LINES]
-        billed = self.charges_per_booking.select(F.col("appointment_id").alias("final_appointment_id"), *charges)
-        visits = unmoved.unionByName(moved).join(billed, "final_appointment_id", "left")
+        visits = unmoved.unionByName(moved)
         outcome = F.col("final_canonical_status")
         return visits.select(
             "logical_visit_id",
@@ -332,7 +327,7 @@ class Visits(Project):
             "reschedule_count",
             *list(first)[1:],
             *list(last)[2:],
-            *charges,
+            *CHARGES,
             (outcome == "attended").alias("is_attended"),
             (outcome == "no_show").alias("is_true_no_show"),
             (outcome == "cancelled").alias("is_cancelled"),
