@@ -21,7 +21,7 @@ from tieout.operators import (
     totals_last,
     winning_ids,
 )
-from tieout.operators import checks
+from tieout.operators import checks, dedup
 from tieout.plans.operator_queries import workforce
 
 
@@ -68,6 +68,30 @@ def test_flag_duplicates_in_a_subset(df, rows):
     assert got == {r[0]: r[3] == "ok" and r[0] not in winners for r in rows}
 
 
+def test_copies_with_one_id_are_flagged_but_one(spark):
+    rows = [("p1", "o1", 1)] * 4 + [("p2", "o1", 2), ("p3", "o2", 1), ("p3", "o2", 3), ("p4", None, 1), ("p4", None, 1)]
+    rows += [("p5", "o3", 1), ("p6", "o4", None), ("p6", "o4", None)]
+    df = spark.createDataFrame(rows, "id string, k string, v int").repartition(3)
+    got = sorted((r.id, r.v or 0, r.dup) for r in flag_duplicates(df, ["k"], [], "id", "dup").collect())
+    want = [("p1", 1, False)] + [("p1", 1, True)] * 3 + [("p2", 2, True), ("p3", 1, False), ("p3", 3, True)]
+    want += [("p4", 1, False), ("p4", 1, True), ("p5", 1, False), ("p6", 0, False), ("p6", 0, True)]
+    assert got == want
+
+
+def test_copies_outside_the_subset_stay(spark):
+    rows = [("a", "k", 1, "ok"), ("a", "k", 1, "ok"), ("a", "k", 1, "bad"), ("a", "k", 1, None)]
+    df = spark.createDataFrame(rows, "id string, k string, v int, status string")
+    got = flag_duplicates(df, ["k"], ["v"], "id", "dup", subset=F.col("status") == "ok").collect()
+    assert sorted((r.status or "", r.dup) for r in got) == [("", False), ("bad", False), ("ok", False), ("ok", True)]
+
+
+def test_a_written_out_stretch_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "STRETCH", 7)
+    df = spark.createDataFrame([("a", "k")] * 50 + [("b", "k")] * 3, "id string, k string")
+    got = flag_duplicates(df, ["k"], [], "id", "dup").groupBy("id", "dup").count().collect()
+    assert {(r.id, r.dup): r["count"] for r in got} == {("a", False): 1, ("a", True): 49, ("b", True): 3}
+
+
 def test_no_window_gathers_a_key(df):
     plan = flag_duplicates(df, ["k"], ["at"], "id", "dup")._jdf.queryExecution().toString()
     assert "Window" not in plan and "partial_min" in plan
@@ -111,8 +135,8 @@ def test_lookup_keeps_every_row_and_spreads_missing_links(spark, df, rows):
     assert re.search(r"hashpartitioning\(k#\d+, _slot", plan)  # rows without a link are spread by their id
 
 
-def test_payroll_rows_move_once(spark, tiny):
-    """Both flags join the wide rows on the same id: one exchange of all columns."""
+def test_payroll_rows_are_not_moved_for_orphans_twice(spark, tiny):
+    """One join of the rows on their own id, whatever the two branches of the duplicate flag do."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = workforce(spark, tiny).int_payroll_deduped
@@ -120,7 +144,7 @@ def test_payroll_rows_move_once(spark, tiny):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
     wide = [line for line in plan.splitlines() if "SortMergeJoin [payroll_id" in line]
-    assert len(wide) == 2 and "Window" not in plan
+    assert len(wide) == 1 and "Window" not in plan
     assert len(re.findall(r"Exchange hashpartitioning\(payroll_id", plan)) == 3
 
 
@@ -175,7 +199,7 @@ HOT = {
 }
 
 
-@pytest.mark.parametrize("operator", ["link_hits", "flag_orphans", "lookup"])
+@pytest.mark.parametrize("operator", ["link_hits", "flag_orphans", "lookup", "flag_duplicates"])
 def test_hot_links_can_be_split(spark, operator):
     """A third of the links point at one row: AQE must be able to split that join."""
     before = {k: spark.conf.get(k, None) for k in HOT}
@@ -192,6 +216,8 @@ def test_hot_links_can_be_split(spark, operator):
             out = link_hits(rows, "id", ["link"], live, "pk")
         elif operator == "flag_orphans":
             out = flag_orphans(rows, live, "link", "pk", "id", "orphan")
+        elif operator == "flag_duplicates":
+            out = flag_duplicates(rows, ["link"], [], "id", "dup")
         else:
             out = lookup(rows, live.withColumn("x", F.lit(1)), "link", "pk", "id", {"x": "x"})
         out.collect()

@@ -3,7 +3,6 @@ from .dedup import (
     distinct_counts,
     first_per_key,
     flag_duplicates,
-    flag_losers,
     latest_by_key,
     latest_record_per_key,
     winning_ids,
@@ -29,7 +28,6 @@ __all__ = [
     "distinct_counts",
     "first_per_key",
     "flag_duplicates",
-    "flag_losers",
     "flag_orphans",
     "join_one_row_frames",
     "latest_by_key",

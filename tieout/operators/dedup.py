@@ -17,6 +17,9 @@ from ..functions import nulls_last
 
 OrderBy = Sequence[Column | str]
 
+#: Copies of one row that a task writes out at a time.
+STRETCH = 1 << 16
+
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: OrderBy, row_id: str, sums: dict[str, Column] | None = None
@@ -57,25 +60,64 @@ def flag_duplicates(
 ) -> DataFrame:
     """Add ``flag``: true on every row of a key but its first. No row is dropped.
 
-    Null key values form one group, as in a window. Rows outside ``subset`` are
-    neither ranked nor flagged. ``row_id`` must be unique and not null.
+    Exactly rows - 1 are flagged per key, also where a feed was loaded twice and
+    rows share an id or are alike in every column. Null key values form one
+    group, as in a window. Rows outside ``subset`` are neither ranked nor flagged.
+
+    Only the keys with more than one row come back to the rows. They join on a
+    hash beside the key columns: the aggregate is not partitioned by that hash,
+    so beyond broadcast size both sides are bare shuffles and AQE splits a hot key.
     """
-    return flag_losers(df, winning_ids(df, keys, order, row_id, subset), row_id, flag, subset)
+    rank = nulls_last(*order, row_id)
+    ranked = df if subset is None else df.filter(subset)
+    copies = ranked.select(*keys, rank.alias("_rank")).groupBy(*keys, "_rank").agg(F.count(F.lit(1)).alias("_copies"))
+    elected = copies.groupBy(*keys).agg(
+        F.min(F.struct("_rank", "_copies")).alias("_first"), F.sum("_copies").alias("_rows")
+    )
+    repeated = _renamed(elected.filter(F.col("_rows") > 1), keys, "_first._rank", "_first._copies")
 
+    inside = F.lit(True) if subset is None else F.coalesce(subset, F.lit(False))
+    rows = df.withColumns({"_hash": F.xxhash64(*keys), "_mine": F.when(inside, rank)})
+    leads = F.col("_mine").eqNullSafe(F.col("_rank"))
+    alike = F.col("_mine").isNotNull() & leads & (F.col("_copies") > 1)
 
-def flag_losers(
-    df: DataFrame, winners: DataFrame, row_id: str, flag: str, subset: Column | None = None
-) -> DataFrame:
-    """Flag the rows whose id was not elected.
+    once = rows.join(repeated, _same_key(keys), "left").filter(~F.coalesce(alike, F.lit(False)))
+    lost = F.col("_mine").isNotNull() & F.col("_copies").isNotNull() & ~leads
+    many = rows.join(repeated.filter(F.col("_copies") > 1), _same_key(keys)).filter(alike)
+    return once.select(*df.columns, lost.alias(flag)).unionByName(_all_but_one(many.select(*df.columns), keys, flag))
+
+
+def _renamed(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    return df.select(F.xxhash64(*keys).alias("_key_hash"), *named, *others)
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    same = F.col("_hash") == F.col("_key_hash")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return same
+
+
+def _all_but_one(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """Flag all rows of a key but one: one copy of its smallest row.
 
-    The wide rows move once, hashed by their own unique id and therefore
-    evenly, however unevenly their keys are spread.
+    Rows alike in every column cannot be told apart, so they are counted and
+    written out again, in stretches that spread over tasks.
     """
-    won = winners.select(row_id).distinct().withColumn("_won", F.lit(True))
-    lost = F.col("_won").isNull()
-    if subset is not None:
-        lost = F.coalesce(subset, F.lit(False)) & lost
-    return df.join(won, row_id, "left").withColumn(flag, lost).select(*df.columns, flag)
+    whole = F.struct(*df.columns)
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    smallest = _renamed(counted.groupBy(*keys).agg(F.min(whole).alias("_smallest")), keys, "_smallest")
+    marked = counted.withColumn("_hash", F.xxhash64(*keys)).join(smallest, _same_key(keys))
+    stretches = marked.select(
+        *df.columns,
+        "_copies",
+        whole.eqNullSafe(F.col("_smallest")).alias("_leads"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(STRETCH).cast("long"))).alias("_from"),
+    ).repartition("_from", *keys)
+    upto = F.least(F.col("_from") + STRETCH, F.col("_copies")) - 1
+    again = stretches.select(*df.columns, "_leads", F.explode(F.sequence("_from", upto)).alias("_copy"))
+    return again.select(*df.columns, (~(F.col("_leads") & (F.col("_copy") == 0))).alias(flag))
 
 
 def latest_by_key(

@@ -32,16 +32,23 @@ def lookup(
 
 
 def flag_orphans(
-    child: DataFrame, live_ids: DataFrame, link: str, live_id: str, row_id: str, flag: str
+    child: DataFrame,
+    live_ids: DataFrame,
+    link: str,
+    live_id: str,
+    row_id: str,
+    flag: str,
+    links_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``flag``: true where the child's parent is missing or was deduplicated away.
 
     The parent is looked up with (id, link) pairs only; the wide child rows
-    join the outcome on their own unique id, the same key that duplicate flags
-    use, so both together move them once.
+    join the outcome on their own id. ``links_from`` may name a cheaper frame
+    with the same ids and links, such as the rows before other flags were added.
     """
     live = live_ids.select(F.col(live_id).alias("_ref"))
-    pairs = child.select(row_id, F.col(link).alias("_ref")).filter(F.col("_ref").isNotNull())
+    source = child if links_from is None else links_from
+    pairs = source.select(row_id, F.col(link).alias("_ref")).filter(F.col("_ref").isNotNull())
     found = pairs.join(live, "_ref", "left_semi").groupBy(row_id).agg(F.lit(True).alias("_live"))
     out = child.join(found, row_id, "left").withColumn(flag, F.col("_live").isNull())
     return out.select(*child.columns, flag)

@@ -13,7 +13,7 @@ from ..operators import (
     Chains,
     disagree,
     first_per_key,
-    flag_losers,
+    flag_duplicates,
     link_hits,
     lookup,
     resolve_chains,
@@ -160,7 +160,9 @@ class Visits(Project):
 
     @cached_property
     def int_appointments_deduped(self) -> DataFrame:
-        return flag_losers(self.stg_appointments, self.live_ids, "appointment_id", "is_duplicate_booking")
+        return flag_duplicates(
+            self.stg_appointments, SLOT, [carries_link()], "appointment_id", "is_duplicate_booking"
+        )
 
     @cached_property
     def int_appointments_canonical(self) -> DataFrame:

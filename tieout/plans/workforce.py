@@ -21,7 +21,6 @@ from ..operators import (
     disagree,
     first_per_key,
     flag_duplicates,
-    flag_losers,
     flag_orphans,
     join_one_row_frames,
     lookup,
@@ -126,7 +125,7 @@ class Workforce(Project):
 
     @cached_property
     def int_employees_deduped(self) -> DataFrame:
-        return flag_losers(self.stg_employees, self.live_ids, "employee_id", "is_duplicate_record")
+        return flag_duplicates(self.stg_employees, EPISODE, [], "employee_id", "is_duplicate_record")
 
     @cached_property
     def int_employment_records_resolved(self) -> DataFrame:
@@ -213,32 +212,22 @@ class Workforce(Project):
     @cached_property
     def int_payroll_deduped(self) -> DataFrame:
         """Every payroll line; repeats per period and lines of lost records flagged."""
-        known = flag_orphans(
-            self.stg_payroll, self.live_ids, "employee_id", "employee_id", "payroll_id", "is_orphaned_payroll"
-        )
         flagged = flag_duplicates(
-            known, ["employee_id", "pay_period"], [], "payroll_id", "is_duplicate_period"
+            self.stg_payroll, ["employee_id", "pay_period"], [], "payroll_id", "is_duplicate_period"
+        )
+        return flag_orphans(
+            flagged, self.live_ids, "employee_id", "employee_id", "payroll_id", "is_orphaned_payroll", self.stg_payroll
         )
-        return flagged.select(*self.stg_payroll.columns, "is_duplicate_period", "is_orphaned_payroll")
 
     @cached_property
     def int_reviews_deduped(self) -> DataFrame:
-        known = flag_orphans(
-            self.stg_performance_reviews,
-            self.live_ids,
-            "employee_id",
-            "employee_id",
-            "review_id",
-            "is_orphaned_review",
-        )
+        reviews = self.stg_performance_reviews
         same = ["employee_id", "review_period", "rating", "review_score"]
-        flagged = flag_duplicates(known, same, [], "review_id", "is_duplicate_review")
-        return flagged.select(
-            *self.stg_performance_reviews.columns,
-            "is_duplicate_review",
-            "is_orphaned_review",
-            F.col("review_date").isNull().alias("is_missing_review_date"),
+        flagged = flag_duplicates(reviews, same, [], "review_id", "is_duplicate_review")
+        known = flag_orphans(
+            flagged, self.live_ids, "employee_id", "employee_id", "review_id", "is_orphaned_review", reviews
         )
+        return known.withColumn("is_missing_review_date", F.col("review_date").isNull())
 
     # -- marts -----------------------------------------------------------
 
@@ -440,8 +429,9 @@ class Workforce(Project):
 
     @cached_property
     def company_row(self) -> DataFrame:
+        """One row whatever the departments are called: the last total of that name."""
         total = self.fct_department_workforce.filter(F.col("department_name") == TOTAL)
-        return total.select(F.col("active_headcount").alias("company_headcount"))
+        return total.agg(F.max("active_headcount").alias("company_headcount"))
 
     @cached_property
     def transfers_net_to_zero_across_departments(self) -> DataFrame:
