@@ -35,9 +35,19 @@ def test_encoding_and_decoding_equal_the_library(words):
         assert np.frombuffer(ids, "<u4").tolist() == want
         assert encoder.decode(ids) == library.decode(want)
     rng = random.Random(2)
-    for _ in range(500):  # any ids, also broken bytes
-        ids = [rng.choice([rng.randint(0, 260), rng.randint(0, 31_999)]) for _ in range(rng.randint(0, 9))]
-        assert encoder.decode(np.array(ids, "<u4").tobytes()) == library.decode(ids)
+    drawn = [[rng.choice([rng.randint(0, 260), rng.randint(0, 31_999)]) for _ in range(rng.randint(0, 9))] for _ in range(500)]
+    packed = [np.array(ids, "<u4").tobytes() for ids in drawn]
+    for ids, x, spelled in zip(drawn, packed, encoder.decode_all(packed)):  # any ids, also broken bytes
+        assert encoder.decode(x) == library.decode(ids) == spelled.decode()
+
+
+def test_an_encoder_that_forgets_gives_the_same_ids(words):
+    texts = samples(3)
+    small, large = pieces.Encoder(words, remembered=50), pieces.Encoder(words)
+    got = [x for i in range(0, len(texts), 40) for x in small.encode(texts[i : i + 40])]
+    assert got == large.encode(texts)
+    assert [x.decode() for x in large.decode_all(got)] == [large.decode(x) for x in got]
+    assert large.decode_all([]) == [] and large.encode([]) == []
 
 
 def test_token_counts_equal_a_unigram_tokenizer(words):

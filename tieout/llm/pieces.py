@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -59,14 +60,25 @@ class Pieces:
         return cls(text, [sp.get_score(i) for i in range(len(text))], kinds, sp.bos_id(), sp.eos_id())
 
 
+class Slots(dict[str, int]):
+    """A number for each word, given out when it is first looked up."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = slot = len(self)
+        return slot
+
+
 @dataclass
 class Encoder:
     pieces: Pieces
     remembered: int = REMEMBERED
-    known: dict[str, bytes] = field(default_factory=dict)
+    known: Slots = field(default_factory=Slots)
 
     def __post_init__(self) -> None:
         p = self.pieces
+        # the ids of word i: flat[start[i] : start[i] + length[i]]
+        self.flat, self.used = np.empty(1 << 16, "<u4"), 0
+        self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
         ids = {t: i for i, (t, k) in enumerate(zip(p.text, p.kind)) if k == "normal"}
         # best score first; equal scores are one rank and go from the left
         rank_of = {s: r for r, s in enumerate(sorted({p.score[i] for i in ids.values()}, reverse=True))}
@@ -101,8 +113,13 @@ class Encoder:
         lines = any("\n" in t for t in ids if t != "\n")
         self.cut = (WORDS if lines else WORDS_AND_LINES).findall
         self.byte_id = {int(p.text[i][3:5], 16): i for i, k in enumerate(p.kind) if k == "byte"}
-        self.plain = np.array([t.replace(SPACE, " ") if k == "normal" else "" for t, k in zip(p.text, p.kind)], object)
+        plain = [t.replace(SPACE, " ") if k == "normal" else "" for t, k in zip(p.text, p.kind)]
+        self.plain = np.array(plain, object)
         self.byte_of = np.array([int(t[3:5], 16) if k == "byte" else -1 for t, k in zip(p.text, p.kind)], np.int16)
+        # an ASCII byte is a character whatever is beside it; other bytes hang on their neighbours
+        ascii_bytes = (self.byte_of >= 0) & (self.byte_of < 128) & (self.byte_of != 32)
+        self.spelled = pa.array([chr(b) if a else t for t, b, a in zip(plain, self.byte_of, ascii_bytes)], pa.large_string())
+        self.odd = np.array([k in ("byte", "unknown") for k in p.kind]) & ~ascii_bytes
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The id of the piece that two neighbours make, or -1."""
@@ -172,21 +189,45 @@ class Encoder:
             got[w] = np.array(ids, "<u4").tobytes()
         return got
 
+    def learn(self, fresh: list[str], first: int) -> None:
+        """Encode words and remember their ids; the slots of ``fresh`` are first, first + 1, ..."""
+        slots = first + len(fresh)
+        if slots > len(self.start):
+            self.start, self.length = (np.concatenate((x, np.empty(slots, np.int64))) for x in (self.start, self.length))
+        # words of like length end in like rounds
+        order = sorted(range(len(fresh)), key=lambda i: len(fresh[i]))
+        for i in range(0, len(order), 100_000):
+            part = order[i : i + 100_000]
+            got = self.merge([fresh[j].replace(" ", SPACE) for j in part])
+            ids = np.frombuffer(b"".join(got), "<u4")
+            if self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate((self.flat[: self.used], np.empty(self.used + len(ids), "<u4")))
+            length = np.fromiter((len(x) // 4 for x in got), np.int64, len(got))
+            at = first + np.array(part)
+            self.length[at] = length
+            self.start[at] = self.used + np.cumsum(length) - length
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts with begin and end ids. The empty text has no other ids."""
-        split = [self.cut(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
-        known = self.known
-        new = set().union(*split).difference(known)
-        if len(known) + len(new) > self.remembered:
-            known.clear()
-            new = set().union(*split)
-        if new:
-            fresh = sorted(new, key=len)  # words of like length end in like rounds
-            for i in range(0, len(fresh), 100_000):
-                part = fresh[i : i + 100_000]
-                known.update(zip(part, self.merge([w.replace(" ", SPACE) for w in part])))
+        if len(self.known) > self.remembered:
+            self.known.clear()
+            self.used = 0
+        first, slot = len(self.known), self.known.__getitem__
+        split = (self.cut(" " + t.replace(SPACE, " ")) if t else [] for t in texts)
+        slots = [np.fromiter(map(slot, words), np.int64, len(words)) for words in split]
+        if len(self.known) > first:
+            self.learn(list(islice(self.known, first, None)), first)
         head, tail = np.array([self.pieces.begin], "<u4").tobytes(), np.array([self.pieces.end], "<u4").tobytes()
-        return [head + b"".join(map(known.__getitem__, words)) + tail for words in split]
+        return [head + self.ids_of(x).tobytes() + tail for x in slots]
+
+    def ids_of(self, slots: np.ndarray) -> np.ndarray:
+        """The ids of remembered words, one after the other."""
+        length = self.length[slots]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.start[slots] - ends + length, length) + np.arange(total)]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: control pieces vanish, byte pieces are read as UTF-8, one space in front goes."""
@@ -206,6 +247,21 @@ class Encoder:
         return out[1:] if self.pieces.kind[first] == "normal" and out.startswith(" ") else out
 
 
+    def decode_all(self, ids: list[bytes]) -> list[bytes]:
+        """``decode`` of each, as UTF-8. All texts without unknown pieces and non-ASCII bytes are spelled together."""
+        at = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        bounds = np.cumsum([0, *(len(x) // 4 for x in ids)])
+        _, ends, data = self.spelled.take(pa.array(at)).buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(at) + 1] if len(at) else np.zeros(1, np.int64)
+        data = memoryview(data) if data is not None else memoryview(b"")
+        odd = np.concatenate(([0], np.cumsum(self.odd[at])))[bounds]
+        out = []
+        for x, a, b, c, d in zip(ids, ends[bounds[:-1]].tolist(), ends[bounds[1:]].tolist(), odd[:-1].tolist(), odd[1:].tolist()):
+            # the mark in front of a first word is no part of the text
+            out.append(bytes(data[a + (data[a:b][:1] == b" ") : b]) if c == d else self.decode(x).encode())
+        return out
+
+
 def loose_utf8(raw: bytes) -> str:
     """Bytes as UTF-8; each byte that is no part of a character becomes U+FFFD."""
     try:
@@ -225,7 +281,7 @@ def encoded(docs: DataFrame, pieces: Pieces) -> DataFrame:
     def work(batch: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
         ids = encoder.encode(texts_of(batch))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(encoder.decode, ids), pa.string())],
+            [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(encoder.decode_all(ids), pa.binary()).cast(pa.string())],
             ["doc_id", "ids", "decoded"],
         )
 
@@ -247,7 +303,7 @@ def digests(docs: DataFrame, pieces: Pieces) -> DataFrame:
                 batch.column("doc_id"),
                 pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array([sha(x) for x in ids], pa.string()),
-                pa.array([sha(encoder.decode(x).encode()) for x in ids], pa.string()),
+                pa.array([sha(x) for x in encoder.decode_all(ids)], pa.string()),
             ],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
