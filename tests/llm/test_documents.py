@@ -85,6 +85,22 @@ def test_mixing_awkward_rows(rows):
     assert mixing.mixture(rows.limit(0)).count() == 0
 
 
+def test_small_sources_of_short_texts_reach_their_target(spark):
+    """Shards of about one short document: the words below a block count, exactly once more where the source is not full."""
+    docs = [(i, "w " * 10, "a") for i in range(800)] + [(1_000 + i, "w " * 5, "b") for i in range(500)]
+    docs += [(2_000 + i, "w " * 200, "c") for i in range(1_000)]
+    got = mixing.mixture(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    by = {s: [r for r in got if lo <= r.doc_id < hi] for s, lo, hi in (("a", 0, 1_000), ("b", 1_000, 2_000), ("c", 2_000, 9_000))}
+    assert all(r.taken == 30 for r in by["a"]) and all(r.taken == 15 for r in by["b"])
+    assert abs(sum(r.taken for r in by["c"]) - by["c"][0].target) <= 16
+    # between its whole blocks and three times its size
+    near = [(i, "w " * 10, "a") for i in range(400)] + [(1_000 + i, "w " * 10, "b") for i in range(350)]
+    got = mixing.mixture(spark.createDataFrame(near, "doc_id long, text string, source string")).collect()
+    for lo in (0, 1_000):
+        own = [r for r in got if lo <= r.doc_id < lo + 1_000]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 16 and all(0 <= r.taken <= 30 for r in own)
+
+
 def test_top_k_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     data = [

@@ -5,7 +5,8 @@ have. Blocks of equal size are allocated by highest quotients twice: to the
 sources, and within each source to its shards, so the quotas are integers. A
 shard then lays its documents out in a seeded order, as a ring, and takes as
 many consecutive blocks as its quota says from a seeded start; going round the
-ring more than once repeats documents.
+ring more than once repeats documents. A source that needs more than the whole
+blocks of its shards also takes the words left below a block.
 
 DataFrame operations only. Highest quotients need no list of all blocks: seats
 that are certain follow from a division, and only the seats around the last
@@ -51,7 +52,8 @@ def fill_level(weight: Column, room: Column, total: Column, own: W, ties: list[C
     weight_left = F.sum(weight).over(own) - F.coalesce(F.sum(weight).over(before), F.lit(0))
     level = F.when(weight_left > 0, left / weight_left)
     full = (room < level * weight) | (weight <= 0)
-    return F.when(~full, F.struct(F.try_divide(room, weight).alias("at"), level.alias("level"))), level
+    # of equal ones the first has the highest level
+    return F.when(~full, F.struct(F.try_divide(room, weight).alias("at"), (-level).alias("down"), level.alias("level"))), level
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -114,21 +116,34 @@ def apportion(parties: DataFrame, house: list[str], party: list[str], votes: str
 
 
 def quotas(sizes: DataFrame, targets: DataFrame, block: int = BLOCK, most: int = MOST) -> DataFrame:
-    """(source, shard, shard_size, blocks) from (source, shard, size) rows."""
+    """(source, shard, shard_size, words) from (source, shard, size) rows.
+
+    A shard takes whole blocks. Where the whole blocks of all shards of a source
+    are less than the source is to take, the shards in order also take what is
+    left of them below a block; a source at ``most`` times its size takes all.
+    """
     shards = sizes.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")).withColumn(
         "room", F.floor(F.col("shard_size") * most / block)
     )
-    rooms = shards.groupBy("source").agg(F.sum("room").alias("source_room"))
-    sources = targets.join(rooms, targets["source"].eqNullSafe(rooms["source"])).select(
-        targets["source"], "source_size", "target", F.least("source_room", F.floor(F.col("source_size") * most / block)).alias("source_room")
+    house = targets.withColumn("seats", F.floor(F.sum("source_size").over(W.partitionBy()) / block + 0.5)).withColumn(
+        "source_room", F.floor(F.col("source_size") * most / block)
     )
-    house = sources.withColumn("seats", F.floor(F.sum("source_size").over(W.partitionBy()) / block + 0.5))
+    full = F.col("source_size") * most
     by_source = apportion(house, [], ["source"], "target", "seats", "source_room").select(
-        F.col("source").alias("__source"), F.col("quota").alias("seats")
+        F.col("source").alias("__source"),
+        F.when(F.col("target") >= full, full).otherwise(F.col("quota") * block).cast("long").alias("source_words"),
+    )
+    own = W.partitionBy("source")
+    joined = shards.join(by_source, F.col("source").eqNullSafe(F.col("__source"))).drop("__source").withColumn(
+        "seats", F.least(F.floor(F.col("source_words") / block), F.sum("room").over(own))
     )
-    joined = shards.join(by_source, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     out = apportion(joined, ["source"], ["shard"], "shard_size", "seats", "room")
-    return out.select("source", "shard", "shard_size", F.col("quota").alias("blocks"))
+    # words are left only if every shard has all its blocks
+    left = F.when(F.sum("quota").over(own) == F.sum("room").over(own), F.col("source_words") - F.sum("room").over(own) * block)
+    below = F.col("shard_size") * most - F.col("room") * block
+    before = F.coalesce(F.sum(below).over(own.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rest = F.greatest(F.least(below, F.coalesce(left, F.lit(0)) - before), F.lit(0))
+    return out.select("source", "shard", "shard_size", (F.col("quota") * block + rest).cast("long").alias("words"))
 
 
 def mix_rows(docs: DataFrame, seed: str = "mix-1", block: int = BLOCK, shards: int = SHARDS, most: int = MOST) -> DataFrame:
@@ -153,16 +168,16 @@ def mix_rows(docs: DataFrame, seed: str = "mix-1", block: int = BLOCK, shards: i
     # a key that is never null: the join and the window then share one exchange
     key = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit(""))
     plan = plan.join(t, F.col("q.source").eqNullSafe(F.col("t.source"))).select(
-        key(F.col("q.source")).alias("__key"), F.col("shard").alias("__shard"), "shard_size", "blocks", "source_size", "target"
+        key(F.col("q.source")).alias("__key"), F.col("shard").alias("__shard"), "shard_size", "words", "source_size", "target"
     )
     plan = cut_lineage(
-        plan.select("__key", "__shard", *[F.col(c).alias(f"__{c}") for c in ("shard_size", "blocks", "source_size", "target")])
+        plan.select("__key", "__shard", *[F.col(c).alias(f"__{c}") for c in ("shard_size", "words", "source_size", "target")])
     )
     rows = wide.withColumn("__key", key(F.col("__source"))).join(plan, ["__key", "__shard"])
     ring = W.partitionBy("__key", "__shard").orderBy("__draw", F.col("doc_id").asc_nulls_last(), "__size")
     size, total = F.col("__size"), F.col("__shard_size")
     start = F.sum(size).over(ring.rowsBetween(W.unboundedPreceding, W.currentRow)) - size
-    words = F.col("__blocks") * block
+    words = F.col("__words")
     rounds = F.when(total > 0, F.floor(words / total)).otherwise(F.lit(0)).cast("long")
     part = (words - rounds * total).cast("long")
     begin = F.when(total > 0, F.pmod(draw(seed, F.lit("start"), F.col("__source"), F.col("__shard")), total)).otherwise(F.lit(0))
