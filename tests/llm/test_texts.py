@@ -138,6 +138,24 @@ def test_pages_follow_their_host(spark):
     assert pages.main_texts(df.limit(0)).count() == 0
 
 
+def test_pages_keep_articles_in_wrappers_with_names_of_other_things():
+    story = " ".join(f"story{i}" for i in range(60))
+    side = "<div class=sidebar><p>About us, at some length.</p></div>"
+    for names in ("content-sidebar-wrap", "has-sidebar", "layout with-sidebar", "search-results", "post comments-open"):
+        for inner in (f"<article><p>{story}</p></article>", f"<div class=x><p>{story}</p></div>", f"<main><p>{story}</p></main>", f"<p>{story}</p>"):
+            page = pages.parse(f"<body><p>Home</p><div class='{names}'>{inner}{side}</div></body>")
+            winner = max(pages.votes(page), key=lambda v: v[1])[0]
+            assert pages.extract(page, winner) == story, (names, inner)
+    assert pages.extract(pages.parse(f"<body><article class='post no-comments share-post'><p>{story}</p></article></body>"), None) == story
+    # what is set apart stays out of the text around it, also where it is long or inline
+    talk = "<div class=comments>" + "<article><p>" + "reader " * 400 + "</p></article></div>"
+    for inner in (f"<article><p>{story}</p></article>{side}{talk}", f"<div class=x><p>{story}</p>{side}{talk}</div>"):
+        page = pages.parse(f"<body>{inner}</body>")
+        assert pages.extract(page, max(pages.votes(page), key=lambda v: v[1])[0]) == story
+    page = pages.parse("<body><article><p><span class=share>Share!</span>One<span class=share>Share!</span>, two.<span class=share>Share!</span></p></article></body>")
+    assert pages.extract(page, None) == "One, two."
+
+
 def test_quality_on_held_out_documents(spark, tiny):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = {r.doc_id: r for r in quality.quality(docs, labels).collect()}

@@ -6,6 +6,11 @@ no article by tag, role or class. Each page votes for the generalised tag-class
 of its containers; votes are summed per host in Spark; each host's winning path is
 then joined to its pages, which are extracted again with it.
 
+An element whose class or id only sounds like something else than the article is not
+dropped but set apart: its text counts for the containers inside it alone, with a lower
+score, so a page whose article lies in "content-sidebar-wrap" is still found and a real
+sidebar stays out of the text around it.
+
 A page where the winning path holds little of what the page's own best container
 holds keeps its own: one host may have several layouts.
 """
@@ -54,6 +59,9 @@ DROPPED_NAMES = re.compile(
     r"recommend\w*|newsletter\w*|subscribe\w*|subscription|signup|login|menu\w*|nav\w*|breadcrumbs?|footer\w*|masthead|toolbar|"
     r"pagination|pager|skip-link|search\w*|outbrain|taboola)(?:$|[\s_-])"
 )
+#: Names that tell of a neighbour or a state ("has-sidebar", "comments-open"), not of the element.
+STATES = re.compile(r"(?:^|(?<=\s))(?:(?:has|with|no|without|hide|show)[_-]\S+|\S+[_-](?:open|closed|enabled|disabled|on|off))(?=\s|$)")
+TALK = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus\w*|respond|repl(?:y|ies))(?:$|[\s_-])")
 GOOD_NAMES = re.compile(r"(?:article|post|entry|story|content|main|body|text)")
 
 TAG = re.compile(
@@ -65,6 +73,8 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 DIGITS = re.compile(r"\d+")
 NEAR = 4
 LITTLE = 0.25
+#: What containers set apart by a name count, and those of readers' talk.
+APART, TALKED = 0.25, 0.02
 
 
 @dataclass
@@ -75,6 +85,8 @@ class Node:
     link: bool
     heads: bool
     container: int  # index into the containers, or -1
+    part: int  # index into the parts: 0 is the page, others are elements set apart by name
+    around: tuple[list[str], list[int]] | None = None  # the open block that an inline element set apart interrupts
 
 
 @dataclass
@@ -85,15 +97,18 @@ class Container:
     end: int = -1
     chars: int = 0
     linked: int = 0
+    part: int = 0
+    article: bool = False
 
 
 @dataclass
 class Page:
     blocks: list[str] = field(default_factory=list)
+    parts: list[int] = field(default_factory=list)  # the part of each block
     containers: list[Container] = field(default_factory=list)
 
-    def text(self, parts: list[tuple[int, int]]) -> str:
-        return " ".join(b for s, e in parts for b in self.blocks[s:e])
+    def text(self, found: list[Container]) -> str:
+        return " ".join(self.blocks[i] for c in found for i in range(c.start, c.end) if self.parts[i] == c.part)
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -108,7 +123,8 @@ def parse(source: str) -> Page:
     page = Page()
     root = Container("", 0.5, 0)
     page.containers.append(root)
-    stack = [Node("", "", False, False, False, 0)]
+    stack = [Node("", "", False, False, False, 0, 0)]
+    marks = [1.0]  # what each part counts
     words: list[str] = []  # text of the open block
     held = [0, 0]  # its characters, and those in links
 
@@ -118,8 +134,10 @@ def parse(source: str) -> Page:
             words.clear()
             if block:
                 page.blocks.append(block)
+                part = stack[-1].part
+                page.parts.append(part)
                 for node in stack:
-                    if node.container >= 0:
+                    if node.container >= 0 and node.part == part:
                         page.containers[node.container].chars += held[0]
                         page.containers[node.container].linked += held[1]
             held[0] = held[1] = 0
@@ -137,8 +155,10 @@ def parse(source: str) -> Page:
 
     def pop() -> None:
         node = stack[-1]
-        if node.name not in INLINE:
+        if node.name not in INLINE or node.around:
             flush()
+        if node.around:
+            words[:], held[:] = node.around
         stack.pop()
         if node.container >= 0:
             page.containers[node.container].end = len(page.blocks)
@@ -192,28 +212,43 @@ def parse(source: str) -> Page:
         dropped = top.dropped or name in DROPPED or "hidden" in attrs or attrs.get("aria-hidden") == "true"
         if attrs and not dropped:
             dropped = attrs.get("role", "").lower() in DROPPED_ROLES or bool(HIDDEN.search(attrs.get("style", "")))
-        if names and not dropped and name not in ("html", "body", "main"):
-            dropped = bool(DROPPED_NAMES.search(names))
+        part = top.part
+        if names and not dropped and name not in ("html", "body", "main") and DROPPED_NAMES.search(told := STATES.sub("", names)):
+            part = len(marks)
+            marks.append(marks[top.part] * (TALKED if TALK.search(told) else APART))
         if name == "header" and not any(x.name in ("article", "main") for x in stack):
             dropped = True
         step = name
         if "class" in attrs and (first := DIGITS.sub("", (attrs["class"].split() or [""])[0].lower())):
             step = f"{name}.{first}"
         container = -1
-        if not dropped and (name in CONTAINERS or attrs.get("role") == "main"):
+        if not dropped and (name in CONTAINERS or attrs.get("role") == "main" or part != top.part):
             worth = 1.3 if name == "article" or attrs.get("itemprop") == "articleBody" else 1.15 if name == "main" else 1.0
             if name in ("body", "td"):
                 worth = 0.8
             elif names and GOOD_NAMES.search(names):
                 worth += 0.1
             path = ">".join([*[x.step for x in stack[1:]][-NEAR:], step])
+            if part:
+                path = "~" + path  # never the path of a container that is not set apart
             container = len(page.containers)
-            page.containers.append(Container(path, worth, len(page.blocks)))
-        stack.append(Node(name, step, dropped, top.link or name == "a", top.heads or name in HEADINGS, container))
+            article = name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
+            page.containers.append(Container(path, worth, len(page.blocks), part=part, article=article))
+        stack.append(Node(name, step, dropped, top.link or name == "a", top.heads or name in HEADINGS, container, part))
+        if part != top.part:
+            stack[-1].around = (words[:], held[:])
+            words.clear()
+            held[:] = 0, 0
     while len(stack) > 1:
         pop()
     flush()
     root.end = len(page.blocks)
+    if len(marks) > 1:
+        # without an article elsewhere, articles that lie in a part set apart count in full, but for readers' talk
+        alone = not any(c.article and c.chars > c.linked and not c.part for c in page.containers)
+        for c in page.containers:
+            mark = marks[c.part]
+            c.worth *= 1.0 if alone and c.article and mark >= APART else mark
     return page
 
 
@@ -244,7 +279,7 @@ def extract(page: Page, winner: str | None) -> str:
     chosen = outermost([c for c in page.containers if c.path == winner]) if winner is not None else []
     if sum(map(score, chosen)) < LITTLE * score(own) or not chosen:
         chosen = [own]
-    return page.text([(c.start, c.end) for c in chosen if c.chars])
+    return page.text([c for c in chosen if c.chars])
 
 
 def host(url: Column) -> Column:
