@@ -2,9 +2,9 @@
 
 The field is a linear chain over word shapes, trained from a small table of
 labelled sentences by gradient ascent on its likelihood (forward-backward in
-numpy), and decoded by Viterbi in batches of equal length. Words that are plain
-by themselves and among plain words are outside by definition; they cut the chain
-exactly, so only the stretches around other words are decoded.
+numpy). Every word of a text has its scores. Words for which the weights prove that
+the best path is outside there cut the chain exactly; the stretches between them are
+decoded by Viterbi, all stretches of a batch at once.
 
 Base spans always stay. Spans of the field that touch a base span are dropped.
 """
@@ -15,6 +15,7 @@ import hashlib
 import random
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -91,9 +92,10 @@ def base_spans(text: str) -> dict[str, list[Span]]:
 # Words and their features
 
 TOKEN = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-#: A word that may belong to a span: it has a digit or one of these signs.
-ODD = re.compile(r"[0-9=@_]")
 SHAPES = 4096
+#: Classes of ASCII characters, as in ``shape``.
+CLASSES = {i: "A" if chr(i).isupper() else "9" if chr(i).isdigit() else "a" for i in range(128) if chr(i).isalnum()}
+RUNS = re.compile(r"(.)\1+", re.S)
 
 
 def shape(word: str) -> str:
@@ -106,24 +108,45 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
+def number(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little") % SHAPES
+
+
+@lru_cache(20_000)
+def numbers(*names: str) -> list[int]:
+    return [number(n) for n in names]
+
+
 def features(word: str) -> list[int]:
     """Feature numbers of one word; the same in training and decoding, on any machine."""
-    digits = sum(c in "0123456789" for c in word)
-    letters = sum(c.isalpha() for c in word)
-    switches = sum((a in "0123456789") != (b in "0123456789") for a, b in zip(word[:64], word[1:65]))
+    if word.isascii():
+        classes = word.translate(CLASSES)
+        looks = RUNS.sub(r"\1", classes[:64])
+        digits = classes.count("9")
+        letters = classes.count("a") + classes.count("A")
+    else:
+        looks = shape(word)
+        digits = sum(c in "0123456789" for c in word)
+        letters = sum(map(str.isalpha, word))
+    switches = sum((a in "0123456789") != (b in "0123456789") for a, b in zip(word[:64], word[1:65])) if digits else 0
     core = word.strip(".,;:!?()[]{}\"'").lower()
-    names = [
-        "shape=" + shape(word)[:6],
-        f"length={min(len(word), 40) // 4}",
-        f"digits={min(digits, 12)}",
-        f"share={(4 * digits) // max(1, digits + letters)}",
-        f"switches={min(switches, 8)}",
-        f"upper={word.isupper()}",
-        "word=" + core if len(core) <= 10 and not digits else "word=",
-        "head=" + re.split(r"[=:]", core)[0] if "=" in word else "head=",
-        "sign=" + word if len(word) == 1 and not word.isalnum() else "sign=",
+    return [
+        *numbers(
+            "shape=" + looks[:6],
+            f"length={min(len(word), 40) // 4}",
+            f"digits={min(digits, 12)}",
+            f"share={(4 * digits) // max(1, digits + letters)}",
+            f"switches={min(switches, 8)}",
+            f"upper={word.isupper()}",
+        ),
+        number("word=" + core if len(core) <= 10 and not digits else "word="),
+        number("head=" + re.split(r"[=:]", core)[0]) if "=" in word else NO_HEAD,
+        number("sign=" + word) if len(word) == 1 and not word.isalnum() else NO_SIGN,
+        number("begin=" + word[:4]) if len(word) >= 16 and word.isalnum() and word.isupper() else NO_BEGIN,
     ]
-    return [int.from_bytes(hashlib.blake2b(n.encode(), digest_size=4).digest(), "little") % SHAPES for n in names]
+
+
+NO_HEAD, NO_SIGN, NO_BEGIN = number("head="), number("sign="), number("begin=")
 
 
 @dataclass(frozen=True)
@@ -135,7 +158,7 @@ class Field:
     start: np.ndarray
 
 
-WIDTH = 9
+WIDTH = 10
 
 
 def emissions(field: Field, feats: np.ndarray) -> np.ndarray:
@@ -163,6 +186,30 @@ def viterbi(field: Field, scores: np.ndarray) -> np.ndarray:
     return out
 
 
+def viterbi_runs(move: np.ndarray, scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, tags: np.ndarray) -> None:
+    """Write the best tags of runs of any lengths to ``tags``; scores (words, tags) have the start and the end added.
+
+    All runs go forward together, the longest first, so those still going are the first ones.
+    """
+    order = np.argsort(-lengths, kind="stable")
+    starts, lengths = starts[order], lengths[order]
+    steps = int(lengths.max(initial=0))
+    going = np.searchsorted(-lengths, -np.arange(steps), side="left")
+    best = scores[starts]
+    back = np.zeros(scores.shape, np.int8)
+    for t in range(1, steps):
+        n = going[t]
+        paths = best[:n, :, None] + move
+        back[starts[:n] + t] = paths.argmax(1)
+        best[:n] = paths.max(1) + scores[starts[:n] + t]
+    now = best.argmax(1)
+    for t in range(steps - 1, -1, -1):
+        n = going[t]
+        tags[starts[:n] + t] = now[:n]
+        if t:
+            now[:n] = back[starts[:n] + t, now[:n]]
+
+
 def logsum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
@@ -230,9 +277,12 @@ def example_sentences(rows: int = 400, seed: int = 7) -> list[tuple[list[str], l
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     low, hexa, caps = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+    names = ("password", "passwd", "secret", "token", "key", "api_key", "pwd")
+
     def plain() -> str:
         word = pick(low, rng.randint(2, 11))
-        return rng.choice((word, word, word, word.capitalize(), word + ",", word + ".", word.upper()))
+        long = pick(low, rng.randint(12, 24))
+        return rng.choice((word, word, word, word.capitalize(), word + ",", word + ".", word.upper(), word + ":", long, long.capitalize(), long.upper()))
 
     def number() -> list[str]:
         return rng.choice((
@@ -240,13 +290,14 @@ def example_sentences(rows: int = 400, seed: int = 7) -> list[tuple[list[str], l
             [f"{rng.randint(1, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}"],
             [pick("0123456789", 16)], [f"{pick(low, 4)}.{rng.randint(1, 99)}@{pick(low, 5)}.example.com"], [f"{plain()[:4]}-{rng.randint(1, 20)}"],
             ["+1", f"({pick('23456789', 3)})", f"555-{pick('0123456789', 4)}"], [f"{rng.randint(1900, 2040)}"], [f"{pick(low, 3)}={pick(low, 4)}"],
-            [f"{rng.randint(1, 9)},{pick('0123456789', 3)}"], ["="], [f"{pick(low, 4)}_{pick(low, 5)}"], [f"{pick(low, 1)}{rng.randint(1, 99)}"],
+            [f"{rng.randint(1, 9)},{pick('0123456789', 3)}"], ["="], [rng.choice(names)], [f"{pick(low, 4)}_{pick(low, 5)}"], [f"{pick(low, 1)}{rng.randint(1, 99)}"],
         ))
 
     def secret() -> list[str]:
-        name = rng.choice(("password", "passwd", "secret", "token", "key", "api_key", "pwd"))
-        value = pick(hexa, rng.randint(12, 44))
-        return rng.choice(([f"{name}={value}"], [name, "=", f'"{value}"'], ["AKIA" + pick(caps, 16)], [f'{name}="{value}"'], [name, "=", value]))
+        name = rng.choice(names)
+        value = rng.choice((pick(hexa, rng.randint(12, 44)), pick(low, rng.randint(8, 24))))
+        aws = "AKIA" + pick(rng.choice((caps, caps[:26])), 16)
+        return rng.choice(([f"{name}={value}"], [name, "=", f'"{value}"'], [aws], [f'{name}="{value}"'], [name, "=", value], [f"{name}:", value], [f"{name}:", value]))
 
     def local() -> list[str]:
         return [f"({pick('23456789', 3)})", f"{pick('23456789', 3)}-{pick('0123456789', 4)}"]
@@ -271,77 +322,86 @@ class Finder:
     """Spans of the field in whole texts."""
 
     def __init__(self, field: Field, remembered: int = 100_000):
-        self.field, self.remembered, self.known = field, remembered, {}
-
-    def feats(self, word: str) -> list[int]:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) >= self.remembered:
-                self.known.clear()
-            got = self.known[word] = features(word)
-        return got
-
-    def stretches(self, text: str) -> list[list[Span]]:
-        """Runs of words: each odd word with two neighbours on either side, joined where they meet."""
-        out: list[list[Span]] = []
-        end = -1
-        for m in ODD.finditer(text):
-            if m.start() < end:
-                continue
-            start = m.start()
-            while start > 0 and text[start - 1] not in " \t\n\r\x0b\x0c":
-                start -= 1
-            own = TOKEN.match(text, start).span()
-            end = own[1]
-            before = self.neighbours_before(text, own[0])
-            after, at = [], own[1]
-            for _ in range(2):
-                nxt = TOKEN.search(text, at)
-                if nxt is None:
-                    break
-                after.append(nxt.span())
-                at = nxt.end()
-            run = [*before, own, *after]
-            if out and run[0][0] <= out[-1][-1][1] + 1:
-                have = set(out[-1])
-                out[-1] = sorted(have.union(run))
-            else:
-                out.append(run)
-        return out
-
-    @staticmethod
-    def neighbours_before(text: str, at: int) -> list[Span]:
-        got: list[Span] = []
-        for _ in range(2):
-            end = at
-            while end > 0 and text[end - 1] in " \t\n\r\x0b\x0c":
-                end -= 1
-            start = end
-            while start > 0 and text[start - 1] not in " \t\n\r\x0b\x0c":
-                start -= 1
-            if start == end:
-                break
-            got.insert(0, (start, end))
-            at = start
-        return got
+        self.field, self.remembered = field, remembered
+        self.known: dict[bytes, int] = {}
+        self.scores = np.zeros((1024, 3, len(TAGS)))  # per known word and place in the window
+        move = field.move
+        # least gain of "O" over a tag, towards the tag before (or the start) and the tag after
+        before = np.minimum((move[:, :1] - move).min(0), field.start[0] - field.start)
+        inner = [j for j, tag in enumerate(TAGS) if tag[0] == "I"]
+        outer = [j for j in range(len(TAGS)) if j not in inner]
+        self.before, self.after = before, (move[:1, outer] - move[:, outer]).min(1)
+        # an inside tag after it becomes the begin tag of its kind: (tag, begin tag, least gain per tag before it)
+        self.turned = [
+            (j, j - 1, move[0, j - 1] - move[:, j] + min(0.0, (move[j - 1] - move[j]).min())) for j in inner
+        ]
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        known = self.known
+        new = set(words).difference(known)
+        if len(known) + len(new) > self.remembered:
+            known.clear()
+            new = set(words)
+        if new:
+            first = len(known)
+            if first + len(new) > len(self.scores):
+                more = np.zeros((2 * (first + len(new)), *self.scores.shape[1:]))
+                more[:first] = self.scores[:first]
+                self.scores = more
+            feats = np.array([features(w.decode("utf-8", "surrogatepass")) for w in new])
+            self.scores[first : first + len(new)] = self.field.emit[:, feats].sum(2).transpose(1, 0, 2)
+            known.update(zip(new, range(first, first + len(new))))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def open_words(self, scores: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Which words may be other than "O" in a best path.
+
+        A path that has tag y at a word gains by having "O" there instead, whatever
+        its other tags are, if the least of all gains is above zero; an inside tag
+        that follows becomes a begin tag.
+        """
+        own = scores[:, :1] - scores + self.before
+        rest = np.broadcast_to(self.after, own.shape).copy()
+        for inside, begin, gain in self.turned:
+            turn = scores[1:, begin] - scores[1:, inside]
+            rest[:-1] = np.minimum(rest[:-1], turn[:, None] + gain)
+        rest[last] = 0.0
+        return ((own + rest)[:, 1:] <= 1e-6).any(1)
+
+    def tagged(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Best tags of all words of all texts in a row, and where each text begins."""
+        bounds = np.concatenate(([0], np.cumsum([len(w) for w in split], dtype=np.int64)))
+        words = [w for ws in split for w in ws]
+        tags = np.zeros(len(words), np.int8)
+        if not words:
+            return tags, bounds
+        ids = self.numbers(words)
+        first, last = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+        filled = bounds[1:] > bounds[:-1]
+        first[bounds[:-1][filled]] = True
+        last[bounds[1:][filled] - 1] = True
+        scores = self.scores[ids, 1]
+        scores[1:] += np.where(first[1:, None], 0.0, self.scores[ids[:-1], 0])
+        scores[:-1] += np.where(last[:-1, None], 0.0, self.scores[ids[1:], 2])
+        maybe = self.open_words(scores, last)
+        # runs of open words within a text
+        starts = np.flatnonzero(maybe & (first | ~np.concatenate(([False], maybe[:-1]))))
+        ends = np.flatnonzero(maybe & (last | ~np.concatenate((maybe[1:], [False])))) + 1
+        move, start = self.field.move, self.field.start
+        scores[starts] += np.where(first[starts, None], start, move[0])
+        scores[ends - 1] += np.where(last[ends - 1, None], 0.0, move[:, 0])
+        viterbi_runs(move, scores, starts, ends - starts, tags)
+        return tags, bounds
 
     def __call__(self, texts: list[str]) -> list[dict[str, list[Span]]]:
         out: list[dict[str, list[Span]]] = [{k: [] for k in MORE_KINDS} for _ in texts]
-        by_length: dict[int, list[tuple[int, list[Span]]]] = {}
-        for i, text in enumerate(texts):
-            if ODD.search(text):
-                for run in self.stretches(text):
-                    by_length.setdefault(len(run), []).append((i, run))
-        for runs in by_length.values():
-            size = max(1, 200_000 // len(runs[0][1]))
-            for at in range(0, len(runs), size):
-                part = runs[at : at + size]
-                feats = np.array([[self.feats(texts[i][a:b]) for a, b in run] for i, run in part])
-                tags = viterbi(self.field, emissions(self.field, feats))
-                for r in np.flatnonzero(tags.any(1)).tolist():
-                    i, run = part[r]
-                    for kind, span in self.spans(tags[r].tolist(), run):
-                        out[i][kind].append(self.trimmed(texts[i], span))
+        # bytes are split at the same six characters as TOKEN
+        tags, bounds = self.tagged([t.encode("utf-8", "surrogatepass").split() for t in texts])
+        hits = np.flatnonzero(tags)
+        for i in np.unique(np.searchsorted(bounds, hits, side="right") - 1).tolist():
+            run = [m.span() for m in TOKEN.finditer(texts[i])]
+            for kind, span in self.spans(tags[bounds[i] : bounds[i + 1]].tolist(), run):
+                out[i][kind].append(self.trimmed(texts[i], span))
         for found in out:
             for kind in MORE_KINDS:
                 found[kind] = sorted(set(found[kind]))
