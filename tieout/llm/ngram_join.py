@@ -17,6 +17,9 @@ One of these has to be common to both, so every link is a candidate. Equal sets
 one node from the start. Candidates are then verified on the whole texts, first
 against one leader per signature, then, only where a signature still spans
 several components, among the rest: no group is expanded into all its pairs.
+
+The result is components and not links: candidates already in one component are
+neither verified nor counted.
 """
 
 from __future__ import annotations
