@@ -55,7 +55,12 @@ def reliable_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the reliable folder; nothing exists there yet."""
+    return f"{reliable_dir(spark)}/tieout/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write the rows to the reliable folder and continue from that table.
 
     Used only where a loop would otherwise replay its whole history. The table
@@ -63,6 +68,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     being columnar files, it is read pruned and with a known size.
     """
     spark = df.sparkSession
-    path = f"{reliable_dir(spark)}/tieout/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = scratch_path(spark, "cut")
+    df.write.options(**({"compression": compression} if compression else {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` wrote and that nothing reads any more."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/tieout/cut-" in path:
+                remove_path(df.sparkSession, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that its scheme names."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
