@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, exact_topk, mixing, ngram_join, pages, personal_data, pieces, quality, substring_dedup, token_counts
+from ..session import cut_lineage, scratch_path
+from . import (
+    exact_dedup,
+    exact_topk,
+    mixing,
+    ngram_join,
+    pages,
+    periodic_runs,
+    personal_data,
+    pieces,
+    quality,
+    substring_dedup,
+    token_counts,
+    token_files,
+    walsh_clusters,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +77,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op11_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), end=2)
+    rows = token_files.read_token_files(spark, folder)
+    rows = cut_lineage(rows.select("file", "doc_id", "place", "n_tokens", F.crc32("ids").alias("ids_crc32")))
+    return token_files.with_starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op12_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walsh_clusters.clustered(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, scale=256)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), folds=4, least=6, rewrite=periodic_runs.planted_tail)
+    return periodic_runs.run_digests(runs)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_mil": op1_quality_mil,
     "op2_pii_crf": op2_pii_crf,
@@ -73,4 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_mixing": op10_mixing,
+    "op11_token_rans": op11_token_rans,
+    "op12_walsh_clusters": op12_walsh_clusters,
+    "op13_periodic_runs": op13_periodic_runs,
 }

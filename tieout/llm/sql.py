@@ -130,10 +130,59 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k, 0))::BIGINT
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+
+def walsh_clusters(k: int = 40, rounds: int = 5) -> str:
+    """Plain assignment by distances between the vectors themselves, one step per round."""
+    steps = [
+        """v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR) NULLS LAST, e) - 1 AS cluster, e AS c FROM v
+  ORDER BY 1 LIMIT {k}
+)""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""d{r} AS (
+  SELECT n, cluster, list_sum(list_transform(list_zip(e, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+  FROM v, c{r}
+),
+a{r} AS MATERIALIZED (
+  SELECT n, cluster, distance FROM d{r} QUALIFY row_number() OVER (PARTITION BY n ORDER BY distance, cluster) = 1
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""m{r} AS (
+  SELECT cluster, i, sum(x) AS s, count(*) AS k FROM (
+    SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v JOIN a{r} USING (n)
+  ) GROUP BY cluster, i
+),
+c{r + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(l, c) AS c FROM c{r} LEFT JOIN (
+    SELECT cluster, list((CASE WHEN s < 0 THEN -((-s + k - 1) // k) ELSE s // k END)::BIGINT ORDER BY i) AS l FROM m{r} GROUP BY cluster
+  ) USING (cluster)
+)"""
+            )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (n) JOIN c{rounds} USING (cluster)
+"""
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_ngram_jaccard": NEAR_DUPLICATES,
     "op5_substring_dedup": REPEATED_WORDS,
     "op6_exact_dedup_tree": EXACT_DEDUP,
     "op7_exact_topk": TOP_K,
     "op10_mixing": MIXING,
+    "op12_walsh_clusters": walsh_clusters(),
 }
