@@ -10,7 +10,7 @@ from .models import MODELS
 from .operators import OPERATORS
 
 RELATIONS = {**FEEDS, **MODELS}
-HELPERS = {"stints", "dated_stints", "live_rows", "walked", "covered"}
+HELPERS = {"stints", "dated_stints", "live_rows", "walked", "covered", "gone_round", "strayed"}
 WORD = re.compile(r"[a-z_]+[a-z0-9_]*")
 
 

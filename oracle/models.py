@@ -313,6 +313,31 @@ VISITS = {
         UNION ALL SELECT appointment_id, 'not_in_any_chain' FROM covered WHERE times_covered = 0
         UNION ALL SELECT appointment_id, 'in_several_positions' FROM covered WHERE times_covered > 1
         UNION ALL SELECT root, 'chain_ends_in_loop' FROM walked WHERE list_contains(path, onward)""",
+    "gone_round": """
+        SELECT appointment_id AS node, rescheduled_to_id AS onward, [appointment_id] AS path
+        FROM live_rows WHERE has_validated_reschedule_link
+        UNION ALL
+        SELECT g.node, if(l.has_validated_reschedule_link, l.rescheduled_to_id, NULL), list_append(g.path, l.appointment_id)
+        FROM gone_round g JOIN live_rows l ON l.appointment_id = g.onward
+        WHERE NOT list_contains(g.path, g.onward)""",
+    "chain_loops": """
+        SELECT list_min(path) AS loop_id, node AS appointment_id,
+               CAST((len(path) + 1 - list_position(path, list_min(path))) % len(path) AS INTEGER) AS place,
+               CAST(len(path) AS INTEGER) AS loop_size
+        FROM gone_round WHERE onward = node""",
+    "strayed": """
+        SELECT appointment_id AS first, appointment_id AS node, 1 AS hop,
+               if(has_validated_reschedule_link, rescheduled_to_id, NULL) AS onward, [appointment_id] AS path
+        FROM live_rows l
+        WHERE EXISTS (FROM live_rows o WHERE o.appointment_id = l.rescheduled_from_id)
+          AND NOT EXISTS (FROM live_rows o WHERE o.has_validated_reschedule_link AND o.rescheduled_to_id = l.appointment_id)
+        UNION ALL
+        SELECT s.first, l.appointment_id, s.hop + 1,
+               if(l.has_validated_reschedule_link, l.rescheduled_to_id, NULL), list_append(s.path, l.appointment_id)
+        FROM strayed s JOIN live_rows l ON l.appointment_id = s.onward
+        WHERE NOT list_contains(s.path, s.onward)""",
+    "unrooted_chains": """
+        SELECT first AS first_appointment_id, node AS appointment_id, hop AS hop_number FROM strayed""",
     "billing_lines_flagged": """
         SELECT b.*, a.appointment_id IS NULL AS is_unmatched_billing,
                a.appointment_id IS NOT NULL AND a.is_duplicate_booking AS is_orphaned_billing

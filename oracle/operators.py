@@ -81,6 +81,25 @@ OPERATORS = {
                count(*) OVER (PARTITION BY o_custkey) AS orders
         FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1""",
+    "marts_by_period": """
+        SELECT 'fct_revenue_monthly' AS mart, row_number() OVER (ORDER BY report_month) AS position,
+               CAST(report_month AS VARCHAR) AS label FROM fct_revenue_monthly
+        UNION ALL
+        SELECT 'fct_revenue_reconciliation_bridge', row_number() OVER (ORDER BY order_cohort_month),
+               CAST(order_cohort_month AS VARCHAR) FROM fct_revenue_reconciliation_bridge""",
+    "marts_totals_last": "\n        UNION ALL\n".join(
+        f"""        SELECT '{mart}' AS mart, row_number() OVER (ORDER BY {s} = 'ALL', {s}) AS position, {s} AS label FROM {mart}"""
+        for mart, s in (
+            ("fct_portfolio_metrics", "product_type"),
+            ("fct_par_reconciliation_bridge", "product_type"),
+            ("fct_noshow_reconciliation_bridge", "location"),
+            ("fct_department_workforce", "department_name"),
+        )
+    ),
+    "catalog_bucket_join": """
+        SELECT shipment_status, count(*) AS orders, sum(net_revenue) AS net_revenue, sum(total_refunded) AS refunded,
+               sum(cancellation_leakage_amount) AS leakage
+        FROM fct_revenue GROUP BY shipment_status""",
     "any_flag": """
         SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag = 'R') > 0 AS any_returned,
                count(*) FILTER (WHERE l_linestatus = 'O') > 0 AS any_open FROM lineitem GROUP BY 1""",

@@ -92,9 +92,45 @@ def test_a_written_out_stretch_is_whole(spark, monkeypatch):
     assert {(r.id, r.dup): r["count"] for r in got} == {("a", False): 1, ("a", True): 49, ("b", True): 3}
 
 
-def test_no_window_gathers_a_key(df):
-    plan = flag_duplicates(df, ["k"], ["at"], "id", "dup")._jdf.queryExecution().toString()
-    assert "Window" not in plan and "partial_min" in plan
+def test_no_window_gathers_a_key(df, monkeypatch):
+    plans = []
+    write = dedup.counted_write
+    monkeypatch.setattr(dedup, "counted_write", lambda f, **n: plans.append(f._jdf.queryExecution().toString()) or write(f, **n))
+    plans.append(flag_duplicates(df, ["k"], ["at"], "id", "dup")._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and not any("Window" in p.replace("Windows", "") for p in plans)
+    assert "partial_count" in plans[0] and "partial_min" in plans[1]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 24])
+@pytest.mark.parametrize("split", [0, 1_000_000])
+def test_flags_are_the_same_at_any_filter_size(df, rows, bits, split):
+    ok = F.col("status") == "ok"
+    winners, some = first_ids(rows), first_ids(rows, lambda r: r[3] == "ok")
+    got = flag_duplicates(df, ["k"], ["at"], "id", "dup", filter_bits=bits, split_above=split).collect()
+    assert {r.id: r.dup for r in got} == {r[0]: r[0] not in winners for r in rows} and len(got) == len(rows)
+    got = flag_duplicates(df, ["k"], ["at"], "id", "dup", subset=ok, filter_bits=bits, split_above=split).collect()
+    assert {r.id: r.dup for r in got} == {r[0]: r[3] == "ok" and r[0] not in some for r in rows} and len(got) == len(rows)
+
+
+def test_a_feed_without_repeats_is_not_shuffled(spark):
+    wide = spark.range(0, 50_000, 1, 8).select(F.sha1(F.col("id").cast("string")).alias("id"), F.repeat(F.lit("x"), 200).alias("v"))
+    assert dedup.repeated_hashes(wide, ["id"]) is None
+    out = flag_duplicates(wide, ["id"], [], "id", "dup")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.filter("dup").count() == 0 and out.count() == 50_000
+
+
+def test_rows_that_the_filter_stops_are_not_shuffled(spark):
+    """Only rows of repeated keys, and a few by chance, are in the join beyond the split."""
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("id") < 100, F.lit("same")).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    again = dedup.repeated_hashes(rows, ["k"])
+    assert again.count() == 1
+    sieve = dedup.key_filter(again, 1 << 20)
+    assert sieve.count() == 1 and 100 <= dedup.passing(rows, ["k"], sieve, 1 << 20).count() <= 102
+    out = flag_duplicates(rows, ["k"], [], "id", "dup", filter_bits=1 << 20, split_above=0)
+    assert out.filter("dup").count() == 99 and out.count() == 40_000
 
 
 def test_first_per_key(df, rows):
@@ -145,7 +181,7 @@ def test_payroll_rows_are_not_moved_for_orphans_twice(spark, tiny):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
     wide = [line for line in plan.splitlines() if "SortMergeJoin [payroll_id" in line]
     assert len(wide) == 1 and "Window" not in plan
-    assert len(re.findall(r"Exchange hashpartitioning\(payroll_id", plan)) == 3
+    assert len(re.findall(r"Exchange hashpartitioning\(payroll_id", plan)) == 2
 
 
 def test_flag_orphans(spark, df, rows):

@@ -17,7 +17,8 @@ from .joins import (
     validate_links,
 )
 from .links import Chains, resolve_chains
-from .rollup import TOTAL, rows_where, segment_rollup, total_of, totals_last, walk, weighted_mean
+from .ordered import files_in_order, read_ordered, with_position, write_ordered
+from .rollup import TOTAL, rows_where, segment_rollup, total_of, totals_last, totals_last_order, walk, weighted_mean
 
 __all__ = [
     "TOTAL",
@@ -26,6 +27,7 @@ __all__ = [
     "accepted_values",
     "disagree",
     "distinct_counts",
+    "files_in_order",
     "first_per_key",
     "flag_duplicates",
     "flag_orphans",
@@ -36,15 +38,19 @@ __all__ = [
     "link_hits",
     "lookup",
     "not_null",
+    "read_ordered",
     "relationships",
     "resolve_chains",
     "rows_where",
     "segment_rollup",
     "total_of",
     "totals_last",
+    "totals_last_order",
     "unique",
     "validate_links",
     "walk",
     "weighted_mean",
     "winning_ids",
+    "with_position",
+    "write_ordered",
 ]

@@ -14,11 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import nulls_last
+from ..session import counted_write, cut_lineage, forget
 
 OrderBy = Sequence[Column | str]
 
 #: Copies of one row that a task writes out at a time.
 STRETCH = 1 << 16
+#: Bits of the filter of repeated keys: two million bytes, less than a broadcast's default limit.
+FILTER_BITS = 1 << 24
+#: Repeated keys above which rows that the filter stops are kept out of the join's shuffle.
+SPLIT_ABOVE = 1_000_000
 
 
 def first_per_key(
@@ -57,6 +62,8 @@ def flag_duplicates(
     row_id: str,
     flag: str,
     subset: Column | None = None,
+    filter_bits: int = FILTER_BITS,
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Add ``flag``: true on every row of a key but its first. No row is dropped.
 
@@ -64,27 +71,90 @@ def flag_duplicates(
     rows share an id or are alike in every column. Null key values form one
     group, as in a window. Rows outside ``subset`` are neither ranked nor flagged.
 
-    Only the keys with more than one row come back to the rows. They join on a
-    hash beside the key columns: the aggregate is not partitioned by that hash,
-    so beyond broadcast size both sides are bare shuffles and AQE splits a hot key.
+    A first pass reads the key columns only and moves 8 bytes a row: the hashes
+    that occur more than once. A feed without any is done. Of them a filter of
+    ``filter_bits`` bits is made, and only rows that it lets through - repeated
+    keys, and by chance a few others - are ranked. What a key's first row is, is
+    written once, then joined to the rows: as it is up to ``split_above`` keys, and
+    beyond that only to the rows that the filter lets through, so the others are
+    never shuffled. The filter's size changes how many rows move, not the result.
     """
     rank = nulls_last(*order, row_id)
     ranked = df if subset is None else df.filter(subset)
-    copies = ranked.select(*keys, rank.alias("_rank")).groupBy(*keys, "_rank").agg(F.count(F.lit(1)).alias("_copies"))
-    elected = copies.groupBy(*keys).agg(
-        F.min(F.struct("_rank", "_copies")).alias("_first"), F.sum("_copies").alias("_rows")
-    )
-    repeated = _renamed(elected.filter(F.col("_rows") > 1), keys, "_first._rank", "_first._copies")
+    again = repeated_hashes(ranked, keys)
+    if again is None:
+        return df.withColumn(flag, F.lit(False))
+    sieve = key_filter(again, filter_bits)
+    forget(again)
+    first, n = elected(passing(ranked.select(*keys, rank.alias("_rank")), keys, sieve, filter_bits), keys)
 
     inside = F.lit(True) if subset is None else F.coalesce(subset, F.lit(False))
     rows = df.withColumns({"_hash": F.xxhash64(*keys), "_mine": F.when(inside, rank)})
     leads = F.col("_mine").eqNullSafe(F.col("_rank"))
     alike = F.col("_mine").isNotNull() & leads & (F.col("_copies") > 1)
-
-    once = rows.join(repeated, _same_key(keys), "left").filter(~F.coalesce(alike, F.lit(False)))
     lost = F.col("_mine").isNotNull() & F.col("_copies").isNotNull() & ~leads
-    many = rows.join(repeated.filter(F.col("_copies") > 1), _same_key(keys)).filter(alike)
-    return once.select(*df.columns, lost.alias(flag)).unionByName(_all_but_one(many.select(*df.columns), keys, flag))
+    if n["keys"] > split_above:
+        seen = passing(rows, keys, sieve, filter_bits, among=F.col("_mine").isNotNull(), keep=True)
+        once = seen.filter("_pass").drop("_pass").join(first, _same_key(keys), "left")
+        spared = seen.filter("NOT _pass").select(*df.columns, F.lit(False).alias(flag))
+    else:
+        once, spared = rows.join(first, _same_key(keys), "left"), None
+    if n["copied"]:
+        once = once.filter(~F.coalesce(alike, F.lit(False)))
+    out = once.select(*df.columns, lost.alias(flag))
+    if spared is not None:
+        out = spared.unionByName(out)
+    if not n["copied"]:
+        return out
+    many = rows.join(first.filter(F.col("_copies") > 1), _same_key(keys)).filter(alike)
+    return out.unionByName(_all_but_one(many.select(*df.columns), keys, flag))
+
+
+def repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The 64-bit hashes of keys that occur more than once, as a written table; None if there are none."""
+    counted = df.select(F.xxhash64(*keys).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    out, n = counted_write(counted.filter(F.col("n") > 1).select("hash"), rows=F.lit(True))
+    return out if n["rows"] else None
+
+
+def key_filter(hashes: DataFrame, bits: int) -> DataFrame:
+    """A bitmap of hashes, as (word, mask) of its non-empty 64-bit words: a table of at most ``bits`` / 64 rows."""
+    slot = F.pmod("hash", F.lit(bits))
+    mask = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_slot", F.lit(64)).cast("int")))
+    return cut_lineage(
+        hashes.select(slot.alias("_slot")).groupBy(F.shiftright("_slot", 6).alias("_word")).agg(mask.alias("_mask"))
+    )
+
+
+def passing(
+    df: DataFrame, keys: Sequence[str], sieve: DataFrame, bits: int, among: Column | None = None, keep: bool = False
+) -> DataFrame:
+    """The rows whose key may be among the hashes of a filter; with ``keep`` all rows, and whether they pass.
+
+    The filter is broadcast: its size is fixed by ``bits``, whatever the input. Rows
+    outside ``among`` do not pass.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    probed = df.withColumns({"_at": F.shiftright(slot, 6), "_bit": F.pmod(slot, F.lit(64)).cast("int")})
+    joined = probed.join(F.broadcast(sieve), F.col("_at") == F.col("_word"), "left")
+    hit = F.coalesce(F.getbit("_mask", F.col("_bit")) == 1, F.lit(False))
+    hit = hit if among is None else hit & among
+    return joined.select(*df.columns, hit.alias("_pass")) if keep else joined.filter(hit).select(*df.columns)
+
+
+def elected(ranked: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Per repeated key its first rank and how many rows share it, as a written table, and counts.
+
+    ``ranked`` holds the keys and ``_rank``. The keys come with a hash beside them:
+    the written table is not partitioned by that hash, so beyond broadcast size both
+    sides of a join on it are bare shuffles and AQE splits a hot key.
+    """
+    copies = ranked.groupBy(*keys, "_rank").agg(F.count(F.lit(1)).alias("_copies"))
+    firsts = copies.groupBy(*keys).agg(
+        F.min(F.struct("_rank", "_copies")).alias("_first"), F.sum("_copies").alias("_rows")
+    )
+    out = _renamed(firsts.filter(F.col("_rows") > 1), keys, "_first._rank", "_first._copies")
+    return counted_write(out, keys=F.lit(True), copied=F.col("_copies") > 1)
 
 
 def _renamed(df: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
@@ -106,7 +176,7 @@ def _all_but_one(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     written out again, in stretches that spread over tasks.
     """
     whole = F.struct(*df.columns)
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    counted = cut_lineage(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")))
     smallest = _renamed(counted.groupBy(*keys).agg(F.min(whole).alias("_smallest")), keys, "_smallest")
     marked = counted.withColumn("_hash", F.xxhash64(*keys)).join(smallest, _same_key(keys))
     stretches = marked.select(

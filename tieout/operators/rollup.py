@@ -51,9 +51,13 @@ def walk(start: str, plus: Sequence[str] = (), minus: Sequence[str] = ()) -> Col
     return reduce(lambda acc, c: acc - F.col(c), minus, up)
 
 
+def totals_last_order(segment: str, total: str = TOTAL) -> list[Column]:
+    return [(F.col(segment) == total).asc_nulls_first(), F.col(segment).asc_nulls_last()]
+
+
 def totals_last(df: DataFrame, segment: str, total: str = TOTAL) -> DataFrame:
     """Presentation order: segments by name, the total row at the end."""
-    return df.orderBy((F.col(segment) == total).asc_nulls_first(), F.col(segment).asc_nulls_last())
+    return df.orderBy(*totals_last_order(segment, total))
 
 
 def weighted_mean(value: str, weight: str) -> Column:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from ..operators import totals_last_order
 from ..sources.raw import Raw
 
 
@@ -20,6 +22,9 @@ class Project:
     staging: tuple[str, ...]
     intermediate: tuple[str, ...]
     marts: tuple[str, ...]
+    #: Marts that are written in the order of a period, and those in the order of a segment with the total at the end.
+    by_period: dict[str, str] = {}
+    by_segment: dict[str, str] = {}
 
     def __init__(self, raw: Raw) -> None:
         self.raw = raw
@@ -31,6 +36,12 @@ class Project:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def order(self, name: str) -> list[Column]:
+        """The order in which a model is written; empty if it has none."""
+        if name in self.by_period:
+            return [F.col(self.by_period[name]).asc_nulls_last()]
+        return totals_last_order(self.by_segment[name]) if name in self.by_segment else []
+
     def pin(self, name: str, df: DataFrame) -> None:
         self.__dict__[name] = df
 

@@ -32,6 +32,7 @@ class Lending(Project):
     staging = ("stg_applications", "stg_loans", "stg_repayments", "stg_defaults")
     intermediate = ("int_repayments_deduped", "int_loan_delinquency", "int_loan_register_status")
     marts = ("fct_loan_performance", "fct_portfolio_metrics", "fct_par_reconciliation_bridge")
+    by_segment = {"fct_portfolio_metrics": "product_type", "fct_par_reconciliation_bridge": "product_type"}
 
     def __init__(self, raw: Raw, params: LendingParams = LendingParams()) -> None:
         super().__init__(raw)

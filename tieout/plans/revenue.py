@@ -25,6 +25,7 @@ class Revenue(Project):
     staging = ("stg_orders", "stg_payments", "stg_refunds", "stg_shipping")
     intermediate = ("int_payments_deduped", "int_order_financials")
     marts = ("fct_revenue", "fct_revenue_monthly", "fct_revenue_reconciliation_bridge")
+    by_period = {"fct_revenue_monthly": "report_month", "fct_revenue_reconciliation_bridge": "order_cohort_month"}
 
     def __init__(self, raw: Raw, params: RevenueParams = RevenueParams()) -> None:
         super().__init__(raw)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,10 +84,13 @@ class Visits(Project):
         "int_appointment_chains",
         "chain_membership",
         "chain_anomalies",
+        "unrooted_chains",
+        "chain_loops",
         "int_billing_agg",
         "billing_lines_flagged",
     )
     marts = ("fct_appointments", "fct_patient_engagement", "fct_noshow_reconciliation_bridge")
+    by_segment = {"fct_noshow_reconciliation_bridge": "location"}
 
     # -- staging ---------------------------------------------------------
 
@@ -254,6 +257,32 @@ class Visits(Project):
             F.col("root").alias("logical_visit_id"), F.col("id").alias("appointment_id"), F.col("slot").alias("hop_number")
         )
 
+    @cached_property
+    def unrooted_chains(self) -> DataFrame:
+        """Every (first row, row, position) of chains that no link leads into and whose first row is no root.
+
+        Such a row names a surviving row that it was moved from, but that one does
+        not lead to it.
+        """
+        return self.chains.unrooted.select(
+            F.col("root").alias("first_appointment_id"), F.col("id").alias("appointment_id"), F.col("slot").alias("hop_number")
+        )
+
+    @cached_property
+    def chain_loops(self) -> DataFrame:
+        """The rows that lead round in a loop, which bears its smallest id."""
+        return self.chains.loops.select(
+            F.col("loop").alias("loop_id"), F.col("id").alias("appointment_id"), "place", F.col("size").alias("loop_size")
+        )
+
+    @cached_property
+    def rows_without_place(self) -> DataFrame:
+        """Surviving rows in no chain, no unrooted chain and no loop."""
+        placed = reduce(
+            DataFrame.union, [df.select("appointment_id") for df in (self.chain_membership, self.unrooted_chains, self.chain_loops)]
+        )
+        return self.live_slots.select("appointment_id").join(placed, "appointment_id", "left_anti")
+
     @cached_property
     def coverage(self) -> DataFrame:
         """How many chain positions each surviving row fills."""

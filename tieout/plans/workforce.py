@@ -56,6 +56,7 @@ class Workforce(Project):
         "int_reviews_deduped",
     )
     marts = ("fct_workforce", "fct_department_workforce", "fct_attrition_tenure_reconciliation_bridge")
+    by_segment = {"fct_department_workforce": "department_name"}
 
     def __init__(self, raw: Raw, params: WorkforceParams = WorkforceParams()) -> None:
         super().__init__(raw)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the plans were tuned with. The adaptive ones are Spark's defaults,
 # spelled out so that a cluster profile which turns one off is seen.
@@ -73,6 +74,13 @@ def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted_write(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``cut_lineage``, and how many of the rows meet each condition, counted while they are written."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, *[F.count(F.when(met, 1)).alias(name) for name, met in counts.items()]))
+    return out, seen.get
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``cut_lineage`` wrote and that nothing reads any more."""
     for df in tables:
