@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tieout.llm import exact_dedup, mixing, ngram_join, pieces, quality
 from tieout.llm.common import table
 from tieout.llm.queries import vocabulary
+from tieout.session import cut_lineage, forget
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's result is written once, read by the next one, and deleted after it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = cut_lineage(stage(spark, docs, sf_dir))
+        if before is not None:
+            forget(before)
+        before = docs
     return docs
