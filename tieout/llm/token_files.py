@@ -20,8 +20,8 @@ Rows with one id are ordered by length, then checksum, then place in the input;
 repeated rows are separate documents. No rows give a table and no records. Only
 doc_id and text are read, so other columns may have any name.
 
-Memory of a task: one document's ids, the words it remembers, and about two
-million tokens of blocks under way; reading, one file (``file_tokens`` tokens at
+Memory of a task: one document's ids, the stretches its worker remembers, and about
+two million tokens of blocks under way; reading, one file (``file_tokens`` tokens at
 about one byte and a half, more if one document is longer).
 """
 
@@ -32,18 +32,19 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, forget
 from . import rans
-from .common import by_batch, texts_of
 from .pieces import Slots
 
 MAGIC = b"TOKRANS1"
@@ -51,20 +52,53 @@ HEAD = struct.Struct("<8sII")
 BLOCK = struct.Struct("<IIIII")
 #: Blocks that are coded or decoded at a time.
 TOGETHER = 32
-#: Words that a task remembers; all are forgotten when there are more.
-REMEMBERED = 500_000
-#: The characters that count as white space for byte-level vocabularies.
-SPACES = " \\t\\n\\x0b\\x0c\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Stretches that a worker remembers; all are forgotten when there are more.
+REMEMBERED = 600_000
+#: Bytes of text that are looked up together.
+TOGETHER_BYTES = 8_000_000
+# How byte-level vocabularies cut text, for ASCII and the Latin letters U+00C0 to U+024F.
+BLANK = " \t\n\x0b\x0c\r"
+LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ɏ]*\\Z")
+CUT = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^{BLANK}{LETTER}0-9]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+)
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def spelling() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = {b: chr(b) for b in shown}
+    for n, b in enumerate(b for b in range(256) if b not in out):
+        out[b] = chr(256 + n)
+    return out
+
+
+def is_space(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to white space."""
+    out = SPACE[raw]
+    if len(raw) > 2 and (raw >= 0x80).any():
+        a, b, c = raw[:-2], raw[1:-1], raw[2:]
+        two = (raw[:-1] == 0xC2) & ((raw[1:] == 0x85) | (raw[1:] == 0xA0))
+        three = (a == 0xE2) & (b == 0x80) & (((c >= 0x80) & (c <= 0x8A)) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+        three |= (a == 0xE2) & (b == 0x81) & (c == 0x9F)
+        three |= ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+        for at in np.flatnonzero(two).tolist():
+            out[at : at + 2] = True
+        for at in np.flatnonzero(three).tolist():
+            out[at : at + 3] = True
+    return out
 
 
 class Words:
-    """Ids of whole texts, looked up word by word.
+    """Ids of whole texts, looked up stretch by stretch.
 
     A byte-level vocabulary cuts texts before white space that follows something
-    else, whatever stands further on. So the stretches between such cuts are
-    encoded apart, by the library, and remembered. All new ones of a batch are one
-    text for the library; the lengths of the tokens in bytes tell them apart again.
-    Vocabularies of any other kind encode whole texts.
+    else, whatever stands further on. So the stretches between such cuts are found
+    in the bytes of many texts at once, and each different one is encoded once, by
+    the library, and remembered. Vocabularies of any other kind encode whole texts.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -73,107 +107,160 @@ class Words:
 
         self.library = Tokenizer.from_file(path)
         self.remembered, self.known = remembered, Slots()
-        vocabulary = self.library.get_vocab(with_added_tokens=True)
-        self.size = max(vocabulary.values(), default=0) + 1
-        added = self.library.get_added_tokens_decoder()
-        self.bytes = np.zeros(self.size, np.int64)
-        for token, i in vocabulary.items():  # one character stands for one byte
-            self.bytes[i] = len(added[i].content.encode()) if i in added else len(token)
-        front = self.library.pre_tokenizer
-        plain = all(not (t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content)) for t in added.values())
-        self.cuts = plain and self.library.normalizer is None and "ByteLevel(add_prefix_space=False, trim_offsets=" in repr(front) and "use_regex=True" in repr(front)
-        self.find = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+").findall
+        self.size = max(self.library.get_vocab(with_added_tokens=True).values(), default=0) + 1
+        added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").search
+        front, options = repr(self.library.pre_tokenizer), self.library.get_added_tokens_decoder().values()
+        plain = all(not (t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content)) for t in options)
+        byte_level = front.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in front
+        self.cuts = plain and byte_level and self.library.normalizer is None
+        self.spelled = spelling()
+        self.parts: dict[str, list[int]] = {}  # ids of what simple stretches are cut into
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
         self.flat, self.used = np.empty(1 << 16, np.int32), 0
 
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(order, lengths, ids) of stretches; those from the middle of texts share one call."""
-        inner = [i for i, w in enumerate(words) if w[0] == " " and not w[-1].isspace()]
-        rest = sorted(set(range(len(words))).difference(inner))
-        got = self.whole([words[i] for i in rest])
-        length = [np.fromiter(map(len, got), np.int64, len(got))]
-        if inner:
-            raw = [words[i] for i in inner]
-            ids = self.whole(["".join(raw)])[0]
-            ends = np.cumsum([len(w.encode()) for w in raw])
-            reach = np.cumsum(self.bytes[ids])
-            at = np.searchsorted(reach, ends, "left")
-            if len(reach) <= at[-1] or not np.array_equal(reach[at], ends):
-                raise ValueError("tokens cross the border of a word")
-            got.append(ids)
-            length.append(np.diff(at, prepend=-1))
-        return np.array(rest + inner, np.int64), np.concatenate(length), np.concatenate(got)
-
-    def learn(self, words: list[str], first: int) -> None:
-        order, length, ids = self.fresh(words)
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def part(self, word: str) -> list[int]:
+        spelled = word.encode().decode("latin-1").translate(self.spelled)
+        got = self.parts[word] = [t.id for t in self.library.model.tokenize(spelled)]
+        return got
+
+    def learn(self, raw: list[bytes], first: int) -> None:
+        """Encode stretches; their slots are first, first + 1, ..."""
+        words = [w.decode() for w in raw]
+        special = self.special(b" ".join(raw)) is not None
+        odd = [i for i, w in enumerate(words) if not SIMPLE.match(w) or special and self.special(raw[i])]
+        other = dict(zip(odd, self.whole([words[i] for i in odd])))
+        flat: list[int] = []
+        reach, known, part = [], self.parts.get, self.part
+        for i, w in enumerate(words):
+            if i in other:
+                flat += other[i]
+            else:
+                for p in CUT.findall(w):
+                    flat += known(p) or part(p)
+            reach.append(len(flat))
+        length = np.diff(reach, prepend=0)
         if first + len(words) > len(self.start):
             self.start, self.length = (np.concatenate((x, np.empty(first + len(words), np.int64))) for x in (self.start, self.length))
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat[: self.used], np.empty(self.used + len(ids), np.int32)))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[first + order] = self.used + np.cumsum(length) - length
-        self.length[first + order] = length
-        self.used += len(ids)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate((self.flat[: self.used], np.empty(self.used + len(flat), np.int32)))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.start[first : first + len(words)] = self.used + np.cumsum(length) - length
+        self.length[first : first + len(words)] = length
+        self.used += len(flat)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): the ids of text i are those from bounds[i] to bounds[i + 1]; null is empty."""
+        column = pc.fill_null(column.cast(pa.large_binary()), b"")
         if not self.cuts:
-            return self.whole(texts)
+            made = self.whole([t.decode() for t in column.to_pylist()])
+            return np.array([i for ids in made for i in ids], np.int32), np.cumsum([0, *map(len, made)])
+        _, ends, data = column.buffers()
+        at = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+        raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
+        at = at - at[0]
+        if not len(raw):
+            return np.empty(0, np.int32), np.zeros(len(at), np.int64)
+        space = is_space(raw)
+        begins = np.empty(len(raw) + 1, bool)
+        begins[0], begins[1:-1] = True, space[1:] & ~space[:-1]
+        begins[at] = True
+        begins[-1] = True
+        bounds = np.flatnonzero(begins)
+        cut = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)])
+        cut = cut.dictionary_encode()
         if len(self.known) > self.remembered:
             self.known.clear()
+            self.parts.clear()
             self.used = 0
-        first, slot = len(self.known), self.known.__getitem__
-        found = (self.find(t) for t in texts)
-        slots = [np.fromiter(map(slot, words), np.int64, len(words)) for words in found]
+        first, different = len(self.known), cut.dictionary.to_pylist()
+        slots = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))
         if len(self.known) > first:
             self.learn(list(islice(self.known, first, None)), first)
-        out = []
-        for s in slots:
-            length = self.length[s]
-            ends = np.cumsum(length)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.flat[np.repeat(self.start[s] - ends + length, length) + np.arange(total)])
-        return out
+        slots = slots[cut.indices.to_numpy()]
+        length = self.length[slots]
+        reach = np.concatenate(([0], np.cumsum(length)))
+        ids = self.flat[np.repeat(self.start[slots] - reach[:-1], length) + np.arange(reach[-1])]
+        return ids, reach[np.searchsorted(bounds, at)]
+
+
+@lru_cache(2)
+def words_of(vocabulary: str) -> Words:
+    """One for all tasks of a worker: what it has learned is good for the next."""
+    return Words(vocabulary)
+
+
+def by_bytes(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Rows (from, to) that hold at most ``most`` bytes together, or one longer text."""
+    start, held = 0, 0
+    for at, n in enumerate(pc.binary_length(column).to_pylist()):
+        if held and held + (n or 0) > most:
+            yield start, at
+            start, held = at, 0
+        held += n or 0
+    if len(column) > start:
+        yield start, len(column)
 
 
 def tokenised(docs: DataFrame, vocabulary: str, end: int) -> DataFrame:
-    """(doc_id, n_tokens, crc, ids) of every whole text with the end id behind it; ids as 16 or 32-bit numbers."""
-
-    def work(batch: pa.RecordBatch, words: Words) -> pa.RecordBatch:
-        kind = "<u2" if max(words.size, end) < 2**16 else "<u4"
-        ids = [np.append(x, end) for x in words.encode(texts_of(batch))]
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                pa.array([np.dtype(kind).itemsize for _ in ids], pa.int32()),
-                pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
-            ],
-            ["doc_id", "n_tokens", "crc", "width", "ids"],
-        )
+    """(doc_id, n_tokens, crc, width, ids) of every whole text with the end id behind it; ids as 16 or 32-bit numbers.
+
+    Beside them rows that hold only ``counts``: per task, how often each id occurs.
+    """
+    names = ["doc_id", "n_tokens", "crc", "width", "ids", "counts"]
+
+    def made(batch: pa.RecordBatch, words: Words) -> tuple[pa.RecordBatch, np.ndarray]:
+        kind = np.dtype("<u2" if max(words.size, end) < 2**16 else "<u4")
+        ids, bounds = words.encode(batch.column("text"))
+        n = batch.num_rows
+        own = np.empty(len(ids) + n, np.int32)
+        ends = bounds[1:] + np.arange(n)  # where the end ids stand
+        inner = np.ones(len(own), bool)
+        inner[ends] = False
+        own[inner], own[ends] = ids, end
+        bounds = np.concatenate(([0], ends + 1))
+        wide, narrow = memoryview(own.astype("<u4").tobytes()), own.astype(kind).tobytes()
+        crc = [zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        packed = pa.Array.from_buffers(
+            pa.large_binary(), n, [None, pa.py_buffer(bounds * kind.itemsize), pa.py_buffer(narrow)]
+        ).cast(pa.binary())
+        columns = [
+            batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(crc, pa.int64()),
+            pa.array(np.full(n, kind.itemsize), pa.int32()), packed, pa.nulls(n, pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names), np.bincount(own, minlength=max(words.size, end + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = words_of(vocabulary), 0
+        for batch in batches:
+            for a, b in by_bytes(batch.column("text"), TOGETHER_BYTES):
+                out, seen = made(batch.slice(a, b - a), words)
+                counts = counts + seen
+                yield out
+        if np.any(counts):
+            gaps = [pa.nulls(1, k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*gaps, pa.array([counts.astype("<i8").tobytes()], pa.binary())], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return by_batch(rows, work, "doc_id long, n_tokens long, crc long, width int, ids binary", lambda: Words(vocabulary))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, crc long, width int, ids binary, counts binary")
 
 
 def counted(tokens: DataFrame) -> rans.Table:
     """The shared table, from the counts of all tokens; its size is that of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total = 0
         for batch in batches:
-            for ids, width in zip(batch.column("ids"), batch.column("width").to_pylist()):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), f"<u{width}"))
-                if len(found) > len(total):
-                    total = np.concatenate((total, np.zeros(len(found) - len(total), np.int64)))
-                total[: len(found)] += found
+            for counts in batch.column("counts"):
+                total = total + np.frombuffer(counts.as_buffer(), "<i8")
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["token", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(np.atleast_1d(total)[seen], pa.int64())], ["token", "n"])
 
-    rows = tokens.select("width", "ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.filter("counts IS NOT NULL").select("counts").mapInArrow(run, "token long, n long")
+    rows = rows.groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.token for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         counts[r.token] = r.n
@@ -255,8 +342,8 @@ def records(batches: Iterator[pa.RecordBatch], table: rans.Table, check: int) ->
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end: int = 2, file_tokens: int = 8_000_000) -> None:
     """Tokenise ``docs`` and write the table and the files below ``folder``, which must not exist."""
     spark = docs.sparkSession
-    tokens = cut_lineage(tokenised(docs, vocabulary, end), compression="zstd")
-    table = counted(tokens)
+    made = cut_lineage(tokenised(docs, vocabulary, end), compression="zstd")
+    table, tokens = counted(made), made.filter("counts IS NULL")
     packed = pack_table(table)
     check = zlib.crc32(packed)
     spark.createDataFrame([(bytearray(packed),)], "packed binary").coalesce(1).write.parquet(f"{folder}/table")
@@ -274,6 +361,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end: int =
     # a cast to string keeps the bytes; the sink writes them and a line feed
     lines = ranged.select("doc_id", "width", "ids").mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
     lines.write.option("compression", "none").text(f"{folder}/tokens")
+    forget(made)
 
 
 def documents_of(content: memoryview, table: rans.Table, check: int) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
