@@ -14,9 +14,13 @@ and l tokens among the first n - ceil(t n) + l.
   pairs as tokens.
 
 One of these has to be common to both, so every link is a candidate. Equal sets are
-one node from the start. Candidates are then verified on the whole texts, first
-against one leader per signature, then, only where a signature still spans
-several components, among the rest: no group is expanded into all its pairs.
+one node from the start: a task signs a set once, and what signatures move is a key
+of the set, not the document. Candidates are then verified on the whole texts, first
+against one leader per signature. Where a signature still spans several components,
+rounds follow: leaders are drawn anew among the rows still open, twice as many as
+the round before, the others are verified against them, and what is linked becomes
+one component before the next round. A group of noisy copies falls together after a
+few leaders; only rows that resemble each other and are linked to nothing meet all.
 
 The result is components and not links: candidates already in one component are
 neither verified nor counted.
@@ -32,9 +36,10 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, forget
 from .common import STEP_2, Words, bounded, by_batch, mix, sequences, texts_of
 from .graph import components
 
@@ -45,8 +50,8 @@ CLASSES = 1 << 20
 #: Class counts travel as arrays of this many.
 CHUNK = 1 << 12
 BITS = 1 << 12
-#: 64-bit columns that the join of what is left folds them to.
-JOIN_COLUMNS = 16
+#: Set keys that a task remembers to sign each set once; all are forgotten when there are more.
+REMEMBERED = 1_000_000
 
 
 def shingle_sets(column: pa.Array, words: Words) -> list[np.ndarray]:
@@ -86,7 +91,7 @@ def first_pass(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in bounded(whole):
                 sets = shingle_sets(batch.column("text"), words)
-                keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                keys = [digest_of(s) for s in sets]
                 np.add.at(amounts, class_of(np.concatenate([EMPTY, *sets])), 1)
                 ids = batch.column("doc_id")
                 gaps = pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())
@@ -177,8 +182,17 @@ class Signer:
         return np.unique(np.concatenate(made))
 
 
+def short_key(digest: bytes | None) -> int | None:
+    """The first 60 bits of a set's digest. Sets that share them by chance become candidates, nothing more."""
+    return int.from_bytes(digest[:8], "big") >> 4 if digest else None
+
+
+def digest_of(s: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+
+
 def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
-    """(node, n, bits, singles, pairs): size, parities and signatures of every text."""
+    """(key, n, bits, singles, pairs): key, size, parities and signatures of every set, once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(amounts)  # CLASSES numbers
 
     def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -186,33 +200,35 @@ def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
         values = np.concatenate(arrays) if arrays else EMPTY
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
 
-    def work(batch: pa.RecordBatch, own: tuple[Words, Signer]) -> pa.RecordBatch:
-        words, signer = own
-        sets = shingle_sets(batch.column("text"), words)
+    def work(batch: pa.RecordBatch, own: tuple[Words, Signer, set[int]]) -> pa.RecordBatch:
+        words, signer, known = own
+        if len(known) > REMEMBERED:
+            known.clear()
+        sets, keys = [], []
+        for s in shingle_sets(batch.column("text"), words):
+            key = short_key(digest_of(s))
+            if key is not None and key not in known:
+                known.add(key)
+                sets.append(s)
+                keys.append(key)
         made = [signer(s) for s in sets]
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), lists([parity_bits(s) for s in sets]),
+                pa.array(keys, pa.int64()), pa.array(map(len, sets), pa.int64()), lists([parity_bits(s) for s in sets]),
                 lists([a for a, _ in made]), lists([b for _, b in made]),
             ],
-            ["node", "n", "bits", "singles", "pairs"],
+            ["key", "n", "bits", "singles", "pairs"],
         )
 
     return by_batch(
-        docs.select("doc_id", "text"), work, "node long, n long, bits array<long>, singles array<long>, pairs array<long>",
-        lambda: (Words(lower=True), Signer(shared.value)),
+        docs.select("doc_id", "text"), work, "key long, n long, bits array<long>, singles array<long>, pairs array<long>",
+        lambda: (Words(lower=True), Signer(shared.value), set()),
     )
 
 
-def marks_of(signed: DataFrame) -> DataFrame:
-    """(node, n, p0, p1, ...): sizes and parities, the latter as plain columns, which joins compile."""
-    return signed.select("node", "n", *[F.col("bits")[i].alias(f"p{i}") for i in range(BITS // 64)])
-
-
-def folded(marks: DataFrame, columns: int) -> DataFrame:
-    """``marks`` with fewer, coarser parities: the sums of several are parities too."""
-    sums = [[F.col(f"p{i}") for i in range(j, BITS // 64, columns)] for j in range(columns)]
-    return marks.select("node", "n", *[reduce(Column.bitwiseXOR, x).alias(f"p{j}") for j, x in enumerate(sums)])
+def marks_of(signed: DataFrame) -> list[Column]:
+    """Sizes and parities (n, p0, p1, ...), the latter as plain columns, which joins compile."""
+    return [F.col("n"), *[F.col("bits")[i].alias(f"p{i}") for i in range(BITS // 64)]]
 
 
 def shared_at_most(na: Column, nb: Column, a: str, b: str, columns: int = BITS // 64) -> Column:
@@ -230,30 +246,29 @@ def bounded_pairs(pairs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, node, leader) for signatures of two nodes or more, from rows sorted by (sig, node)."""
-    rest_sig, rest_node = np.empty(0, np.int64), np.empty(0, np.int64)
+    """(sig, key) for signatures of two keys or more, from rows sorted by (sig, key)."""
+    rest_sig, rest_key = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def found(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-        first = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.empty(0, bool)
-        start = np.flatnonzero(first)
+    def found(sig: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.empty(0, bool))
         size = np.diff(np.append(start, len(sig)))
-        lead, many = np.repeat(node[start], size), np.repeat(size > 1, size)
-        return pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (sig, node, lead)], ["sig", "node", "leader"])
+        many = np.repeat(size > 1, size)
+        return pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (sig, key)], ["sig", "key"])
 
     for batch in batches:
         sig = np.concatenate((rest_sig, batch.column("sig").to_numpy()))
-        node = np.concatenate((rest_node, batch.column("node").to_numpy()))
-        new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1]))) if len(sig) else np.empty(0, bool)
-        sig, node = sig[new], node[new]  # repeated rows
+        key = np.concatenate((rest_key, batch.column("key").to_numpy()))
+        new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1]))) if len(sig) else np.empty(0, bool)
+        sig, key = sig[new], key[new]  # repeated rows
         if not len(sig):
             continue
         # the last signature may go on in the next batch
         cut = int(np.searchsorted(sig, sig[-1], side="left"))
-        rest_sig, rest_node = sig[cut:], node[cut:]
+        rest_sig, rest_key = sig[cut:], key[cut:]
         if cut:
-            yield found(sig[:cut], node[:cut])
+            yield found(sig[:cut], key[:cut])
     if len(rest_sig):
-        yield found(rest_sig, rest_node)
+        yield found(rest_sig, rest_key)
 
 
 def tested(pairs: DataFrame, docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -328,19 +343,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     known = sets.filter("set_key is not null and doc_id is not null")
     reps = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
-    signed = cut_lineage(
-        signatures(docs.filter("doc_id is not null"), amounts).join(
-            reps.select(F.col("rep").alias("node")).distinct(), "node", "left_semi"
-        )
-    )
-    single = signed.select(F.explode("singles").alias("sig"), "node")
-    lists = single.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(meetings, "sig long, node long, leader long")
-    paired = signed.filter(F.size("pairs") > 0).select(F.explode("pairs").alias("sig"), "node").distinct()
-    met = cut_lineage(
-        paired.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").select("sig", "leader")
+    short = F.conv(F.substring(F.hex("set_key"), 1, 15), 16, 10).cast("long")
+    nodes = reps.select(short.alias("key"), F.col("rep").alias("node"))
+    signed = cut_lineage(signatures(docs.filter("doc_id is not null"), amounts))
+    single = signed.select(F.explode("singles").alias("sig"), "key")
+    lists = single.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(meetings, "sig long, key long")
+    paired = signed.select(F.explode("pairs").alias("sig"), "key")
+    met = paired.groupBy("sig").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x < y").select("sig")
+    lists = cut_lineage(lists.unionByName(paired.join(cut_lineage(met), "sig").select("sig", "key")))
+    wanted = cut_lineage(lists.select("key").distinct())
+    seen_by = cut_lineage(
+        signed.select("key", *marks_of(signed)).join(wanted, "key", "left_semi").dropDuplicates(["key"]).join(nodes, "key").drop("key")
     )
-    group = cut_lineage(lists.unionByName(paired.join(met, "sig").select("sig", "node", "leader")))
-    marks = cut_lineage(marks_of(signed).join(group.select("node").distinct(), "node", "left_semi"))
+    marks = seen_by.select("node", *[c for c in seen_by.columns if c != "node"])
+    group = cut_lineage(lists.join(nodes, "key").select("sig", "node").distinct())
+    forget(signed, lists, wanted)
 
     # rows of one id with different texts
     tagged = known.join(reps, "set_key").select("doc_id", "rep")
@@ -352,9 +369,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = components(links)
     rows = still_open(group, seen, comps)
     if not rows.isEmpty():
-        pairs = all_pairs(rows, marks).join(seen, ["a", "b"], "left_anti")
-        more = tested(cut_lineage(pairs), docs, marks)
-        comps = components(cut_lineage(links.union(more.filter("linked").select("a", "b"))))
+        comps = closed(rows, marks, docs, seen, links)
 
     rep_comp = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("comp", "rep").alias("comp")
@@ -420,25 +435,34 @@ def still_open(group: DataFrame, seen: DataFrame, comps: DataFrame) -> DataFrame
     return cut_lineage(rows.join(done.select("sig", "between"), "sig").filter(f"between or kind <> {NEAR}").drop("between"))
 
 
-def all_pairs(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are left: of one signature, in different components, of like size."""
-    # steps a little wider than the sizes of linked sets can differ: one row meets
-    # its own step, the other its own and the one below
-    step = F.floor(F.log("n") / F.log(F.lit(1.34))).cast("int")
-    sized = cut_lineage(rows.join(folded(marks, JOIN_COLUMNS).withColumn("step", step), "node"))
-    below = F.explode(F.array(F.col("step"), F.col("step") - 1))
-    meets = F.when(F.col("kind") == NEAR, F.array(F.lit(BETWEEN))).when(
-        F.col("kind") == BETWEEN, F.array(F.lit(NEAR), F.lit(BETWEEN), F.lit(FAR))
-    ).otherwise(F.array(F.lit(BETWEEN), F.lit(FAR)))
-    own = [c for c in sized.columns if c not in ("sig", "kind")]
-    other = sized.select("sig", "kind", *[F.col(c).alias(f"o{c}") for c in own], below.alias("step"))
-    other = other.withColumn("kind", F.explode(meets))
-    # the bound is part of the join's condition: pairs that it rules out are never rows
-    most, total = shared_at_most(F.col("n"), F.col("on"), "", "o", JOIN_COLUMNS), F.col("n") + F.col("on")
-    once = (F.col("step") < F.col("ostep")) | (F.col("node") < F.col("onode"))
-    return sized.join(other, ["sig", "step", "kind"]).filter(
-        once & (F.col("comp") != F.col("ocomp")) & ((100 + PERCENT) * most >= PERCENT * total)
-    ).select(*ordered("node", "onode")).distinct()
+def closed(rows: DataFrame, marks: DataFrame, docs: DataFrame, seen: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after what ``still_open`` left was compared, by rounds of leaders.
+
+    A round draws leaders per signature, verifies the signature's other open rows of
+    like size against them, and contracts. A leader is done then; a signature is done
+    when its open rows are in one component. With twice as many leaders in each round,
+    the number of rounds is the logarithm of the largest group.
+    """
+    rows = cut_lineage(rows.join(marks.select("node", "n"), "node"))
+    leaders, comps = 1, None
+    while not rows.isEmpty():
+        draw = W.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(leaders)), "node")
+        lead = rows.withColumn("place", F.row_number().over(draw)).filter(F.col("place") <= leaders)
+        lead = cut_lineage(lead.select("sig", *[F.col(c).alias(f"l{c}") for c in ("node", "comp", "kind", "n")]))
+        apart = ((F.col("kind") == NEAR) & (F.col("lkind") == FAR)) | ((F.col("kind") == FAR) & (F.col("lkind") == NEAR))
+        like = 100 * F.least("n", "ln") >= PERCENT * F.greatest("n", "ln")
+        met = rows.join(lead, "sig").filter((F.col("comp") != F.col("lcomp")) & like & ~apart)
+        pairs = cut_lineage(met.select(*ordered("node", "lnode")).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti"))
+        more = tested(pairs, docs, marks)
+        seen = seen.unionByName(more)
+        links = cut_lineage(links.union(more.filter("linked").select("a", "b")))
+        comps = components(links)
+        rest = rows.drop("comp").join(lead.select("sig", F.col("lnode").alias("node")), ["sig", "node"], "left_anti")
+        rest = cut_lineage(rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        spans = rest.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("sig")
+        rows = cut_lineage(rest.join(spans, "sig", "left_semi"))
+        leaders *= 2
+    return comps
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
