@@ -318,11 +318,16 @@ def example_sentences(rows: int = 400, seed: int = 7) -> list[tuple[list[str], l
     return table
 
 
+#: Memory of a task for words that it has seen, in bytes; all are forgotten when there are more.
+REMEMBERED_BYTES = 250_000_000
+
+
 class Finder:
     """Spans of the field in whole texts."""
 
-    def __init__(self, field: Field, remembered: int = 100_000):
-        self.field, self.remembered = field, remembered
+    def __init__(self, field: Field, remembered: int = REMEMBERED_BYTES):
+        # a word's scores, its bytes, and about a hundred bytes of places in tables
+        self.field, self.remembered = field, remembered // (3 * len(TAGS) * 8 + 150)
         self.known: dict[bytes, int] = {}
         self.scores = np.zeros((1024, 3, len(TAGS)))  # per known word and place in the window
         move = field.move
