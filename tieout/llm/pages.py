@@ -11,14 +11,18 @@ dropped but set apart: its text counts for the containers inside it alone, with
 score, so a page whose article lies in "content-sidebar-wrap" is still found and a real
 sidebar stays out of the text around it.
 
-A page where the winning path holds little of what the page's own best container
-holds keeps its own: one host may have several layouts.
+One host may have several layouts. Where more text stands outside the winning path
+than in it - in one container beside it, or directly in one around it - that text is
+added, and where the path holds next to nothing of the container around it, that
+container is the result. What the page's own best container holds beside the winner
+is never exchanged for less.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -105,10 +109,27 @@ class Container:
 class Page:
     blocks: list[str] = field(default_factory=list)
     parts: list[int] = field(default_factory=list)  # the part of each block
+    sizes: list[tuple[int, int]] = field(default_factory=list)  # its characters, and those in links
+    owners: list[int] = field(default_factory=list)  # its innermost container
     containers: list[Container] = field(default_factory=list)
 
-    def text(self, found: list[Container]) -> str:
-        return " ".join(self.blocks[i] for c in found for i in range(c.start, c.end) if self.parts[i] == c.part)
+    def held(self, c: Container) -> list[int]:
+        """The blocks of a container."""
+        return [i for i in range(c.start, c.end) if self.parts[i] == c.part]
+
+    def measure(self) -> None:
+        """Count the characters of every container: those of the blocks between its ends that are of its part."""
+        sums: dict[int, tuple[list[int], list[int], list[int]]] = {}
+        for at, (part, (chars, linked)) in enumerate(zip(self.parts, self.sizes)):
+            places, a, b = sums.setdefault(part, ([], [0], [0]))
+            places.append(at)
+            a.append(a[-1] + chars)
+            b.append(b[-1] + linked)
+        for c in self.containers:
+            if c.part in sums:
+                places, a, b = sums[c.part]
+                first, last = bisect_left(places, c.start), bisect_left(places, c.end)
+                c.chars, c.linked = a[last] - a[first], b[last] - b[first]
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -124,6 +145,8 @@ def parse(source: str) -> Page:
     root = Container("", 0.5, 0)
     page.containers.append(root)
     stack = [Node("", "", False, False, False, 0, 0)]
+    places: dict[str, list[int]] = {}  # where open elements stand in the stack, by name
+    inner = [0]  # the open containers
     marks = [1.0]  # what each part counts
     words: list[str] = []  # text of the open block
     held = [0, 0]  # its characters, and those in links
@@ -134,12 +157,9 @@ def parse(source: str) -> Page:
             words.clear()
             if block:
                 page.blocks.append(block)
-                part = stack[-1].part
-                page.parts.append(part)
-                for node in stack:
-                    if node.container >= 0 and node.part == part:
-                        page.containers[node.container].chars += held[0]
-                        page.containers[node.container].linked += held[1]
+                page.parts.append(stack[-1].part)
+                page.sizes.append((held[0], held[1]))
+                page.owners.append(inner[-1])
             held[0] = held[1] = 0
 
     def add(text: str) -> None:
@@ -160,18 +180,17 @@ def parse(source: str) -> Page:
         if node.around:
             words[:], held[:] = node.around
         stack.pop()
+        places[node.name].pop()
         if node.container >= 0:
             page.containers[node.container].end = len(page.blocks)
+            inner.pop()
 
     def close(names: tuple[str, ...], scopes: frozenset[str]) -> None:
         """End the nearest open element of these names, unless a scope is in between."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                while len(stack) > i:
-                    pop()
-                return
-            if stack[i].name in scopes:
-                return
+        at = max([places[x][-1] for x in names if places.get(x)], default=0)
+        if at and not any(places.get(x) and places[x][-1] > at for x in scopes):
+            while len(stack) > at:
+                pop()
 
     at, n = 0, len(source)
     while at < n:
@@ -186,7 +205,7 @@ def parse(source: str) -> Page:
         if not name:
             continue
         if m[1] or m[4]:  # an end tag
-            if name == "br" or name == "p" and not any(x.name == "p" for x in stack):
+            if name == "br" or name == "p" and not places.get("p"):
                 flush()
             else:
                 close((name,), frozenset() if name not in INLINE else ENDS_PARAGRAPH)
@@ -216,7 +235,7 @@ def parse(source: str) -> Page:
         if names and not dropped and name not in ("html", "body", "main") and DROPPED_NAMES.search(told := STATES.sub("", names)):
             part = len(marks)
             marks.append(marks[top.part] * (TALKED if TALK.search(told) else APART))
-        if name == "header" and not any(x.name in ("article", "main") for x in stack):
+        if name == "header" and not places.get("article") and not places.get("main"):
             dropped = True
         step = name
         if "class" in attrs and (first := DIGITS.sub("", (attrs["class"].split() or [""])[0].lower())):
@@ -228,12 +247,14 @@ def parse(source: str) -> Page:
                 worth = 0.8
             elif names and GOOD_NAMES.search(names):
                 worth += 0.1
-            path = ">".join([*[x.step for x in stack[1:]][-NEAR:], step])
+            path = ">".join([*[x.step for x in stack[max(1, len(stack) - NEAR) :]], step])
             if part:
                 path = "~" + path  # never the path of a container that is not set apart
             container = len(page.containers)
             article = name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody"
             page.containers.append(Container(path, worth, len(page.blocks), part=part, article=article))
+            inner.append(container)
+        places.setdefault(name, []).append(len(stack))
         stack.append(Node(name, step, dropped, top.link or name == "a", top.heads or name in HEADINGS, container, part))
         if part != top.part:
             stack[-1].around = (words[:], held[:])
@@ -243,6 +264,7 @@ def parse(source: str) -> Page:
         pop()
     flush()
     root.end = len(page.blocks)
+    page.measure()
     if len(marks) > 1:
         # without an article elsewhere, articles that lie in a part set apart count in full, but for readers' talk
         alone = not any(c.article and c.chars > c.linked and not c.part for c in page.containers)
@@ -273,13 +295,44 @@ def outermost(found: list[Container]) -> list[Container]:
     return out
 
 
+def outside(page: Page, chosen: list[Container]) -> tuple[float, list[int]]:
+    """The greatest score of a text outside ``chosen``, and its blocks.
+
+    A text is a container that shares no block with them, or what stands in a
+    container around them and in no other container.
+    """
+    starts, ends = [c.start for c in chosen], [c.end for c in chosen]
+    own: dict[int, list[int]] = {}
+    for at, c in enumerate(page.owners):
+        own.setdefault(c, []).append(at)
+    best, blocks = 0.0, []
+    for i, c in enumerate(page.containers):
+        if bisect_right(ends, c.start) == bisect_left(starts, c.end):  # no chosen one in reach
+            worth, mine = score(c), None
+        elif i in own and c.chars and c not in chosen and c.start <= starts[0] and c.end >= ends[-1]:
+            mine = [b for b in own[i] if page.parts[b] == c.part]
+            chars, linked = (sum(page.sizes[b][k] for b in mine) for k in (0, 1))
+            worth = score(Container(c.path, c.worth, 0, chars=chars, linked=linked))
+        else:
+            continue
+        if worth > best:
+            best, blocks = worth, page.held(c) if mine is None else mine
+    return best, blocks
+
+
 def extract(page: Page, winner: str | None) -> str:
-    """Text of the containers on the host's path; of the best container where those hold little."""
+    """Text of the containers on the host's path, and of what outweighs them outside."""
     own = max(page.containers, key=score)
-    chosen = outermost([c for c in page.containers if c.path == winner]) if winner is not None else []
-    if sum(map(score, chosen)) < LITTLE * score(own) or not chosen:
-        chosen = [own]
-    return page.text([c for c in chosen if c.chars])
+    chosen = outermost([c for c in page.containers if c.path == winner and c.chars]) if winner is not None else []
+    held = sum(map(score, chosen))
+    if held <= 0 or not any(c is own for c in chosen) and held < LITTLE * score(own) and own.start <= chosen[0].start and own.end >= chosen[-1].end:
+        chosen = [own] if own.chars else []
+    blocks = {b for c in chosen for b in page.held(c)}
+    if chosen and chosen != [own]:
+        more, beside = outside(page, chosen)
+        if more > held:
+            blocks.update(beside)
+    return " ".join(page.blocks[b] for b in sorted(blocks))
 
 
 def host(url: Column) -> Column:
