@@ -54,7 +54,7 @@ def test_token_counts_equal_a_unigram_tokenizer(words):
     tokenizers = pytest.importorskip("tokenizers")
     scores = [(t, s if k == "normal" else -1e9) for t, s, k in zip(words.text, words.score, words.kind)]
     library = tokenizers.Tokenizer(tokenizers.models.Unigram(scores, unk_id=0, byte_fallback=True))
-    library.pre_tokenizer = tokenizers.pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="never", split=True)
+    library.pre_tokenizer = tokenizers.pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="never", split=False)
     count = token_counts.Counter(words, remembered=100)
     for text in samples(3):
         assert count(text) == (len(library.encode("▁" + text, add_special_tokens=False).ids) if text else 0)

@@ -5,8 +5,9 @@ The best score and the number of pieces are kept per position; no path is stored
 
 Exact rules of the unigram tokenizers: scores add up; a piece of a character that
 is no piece costs the lowest score less ten and counts as its UTF-8 bytes; of
-equal scores the path whose last piece starts first stays. Words are a space mark
-and what follows it, as the usual space-splitting front end cuts them.
+equal scores the path whose last piece starts first stays. Texts are cut before each
+run of space marks, which no piece of the vocabularies that are accepted crosses; a
+run stays whole, so pieces of several marks are matched.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from .pieces import SPACE, Pieces
 #: Fixed value of the unigram tokenizers.
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 300_000
-WORDS = re.compile(r"[ ▁][^ ▁]*")
+WORDS = re.compile(r"[ ▁]+[^ ▁]*")
 
 
 @dataclass
@@ -91,7 +92,7 @@ class Counter:
             known.clear()
             new = set(words)
         for w in new:
-            known[w] = self.count(SPACE + w[1:])
+            known[w] = self.count(w.replace(" ", SPACE))
         return sum(map(known.__getitem__, words))
 
 
