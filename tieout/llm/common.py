@@ -48,8 +48,10 @@ def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch
         return
     start, size, each = 0, 0, max(1, batch.nbytes // max(1, batch.num_rows))
-    i = max(batch.schema.get_field_index(c) for c in ("text", "html", "body"))
-    sizes = pc.binary_length(batch.column(i)).to_pylist() if i >= 0 else [each] * batch.num_rows
+    columns = [batch.column(c) for c in ("text", "html", "body") if c in batch.schema.names]
+    # other columns may bear these names, too
+    texts = [c for c in columns if c.type in (pa.string(), pa.binary(), pa.large_string(), pa.large_binary())]
+    sizes = pc.binary_length(texts[0]).to_pylist() if texts else [each] * batch.num_rows
     for at, n in enumerate(sizes):
         if size and size + (n or 0) > CHUNK_CHARS:
             yield batch.slice(start, at - start)

@@ -5,7 +5,7 @@ from __future__ import annotations
 EXACT_DEDUP = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256
 FROM d JOIN g USING (t)
 """
 
@@ -66,11 +66,24 @@ seats AS (
     FROM (SELECT source, target, unnest(range(1, room + 1)) AS k FROM room)
   ) WHERE place <= (SELECT floor(sum(size)::DOUBLE / 16 + 0.5) FROM docs) GROUP BY source
 ),
+share AS (
+  SELECT t.source, CASE WHEN t.target >= 3 * t.source_size THEN 3 * t.source_size ELSE coalesce(s.seats, 0) * 16 END::BIGINT AS words
+  FROM target t LEFT JOIN seats s ON t.source IS NOT DISTINCT FROM s.source
+),
 won AS (
   SELECT q.source, shard, count(*) AS blocks FROM (
     SELECT source, shard, row_number() OVER (PARTITION BY source ORDER BY shard_size::DOUBLE / (2 * k - 1) DESC, shard) AS place
     FROM (SELECT source, shard, shard_size, unnest(range(1, room + 1)) AS k FROM shard)
-  ) q JOIN seats s ON q.source IS NOT DISTINCT FROM s.source WHERE place <= seats GROUP BY q.source, shard
+  ) q JOIN share s ON q.source IS NOT DISTINCT FROM s.source WHERE place <= words // 16 GROUP BY q.source, shard
+),
+-- a source that needs more than all whole blocks takes what is below a block, shard after shard
+given AS (
+  SELECT s.source, s.shard, s.shard_size, coalesce(w.blocks, 0) * 16 AS whole, s.shard_size * 3 - s.room * 16 AS below,
+    h.words - sum(s.room) OVER of_source * 16 AS missing, sum(coalesce(w.blocks, 0)) OVER of_source = sum(s.room) OVER of_source AS all_blocks,
+    sum(s.shard_size * 3 - s.room * 16) OVER (PARTITION BY s.source ORDER BY s.shard) - (s.shard_size * 3 - s.room * 16) AS before
+  FROM shard s JOIN share h ON s.source IS NOT DISTINCT FROM h.source
+  LEFT JOIN won w ON s.source IS NOT DISTINCT FROM w.source AND s.shard = w.shard
+  WINDOW of_source AS (PARTITION BY s.source)
 ),
 ring AS (
   SELECT doc_id, source, shard, size,
@@ -78,10 +91,10 @@ ring AS (
   FROM docs
 ),
 words AS (
-  SELECT r.*, s.shard_size AS total, coalesce(w.blocks, 0) * 16 AS words,
+  SELECT r.*, s.shard_size AS total,
+    (s.whole + CASE WHEN s.all_blocks THEN greatest(0, least(s.below, s.missing - s.before)) ELSE 0 END)::BIGINT AS words,
     CASE WHEN s.shard_size > 0 THEN ('0x' || substr(md5('mix-1:start:' || coalesce(r.source, '') || ':' || r.shard), 1, 15))::BIGINT % s.shard_size ELSE 0 END AS first
-  FROM ring r JOIN shard s ON r.source IS NOT DISTINCT FROM s.source AND r.shard = s.shard
-  LEFT JOIN won w ON r.source IS NOT DISTINCT FROM w.source AND r.shard = w.shard
+  FROM ring r JOIN given s ON r.source IS NOT DISTINCT FROM s.source AND r.shard = s.shard
 )
 SELECT doc_id, size, source_size, target,
   (CASE WHEN total = 0 THEN 0 ELSE
