@@ -79,7 +79,7 @@ def encode(table: Table, blocks: list[np.ndarray]) -> list[Block]:
     """Code each block of tokens (at least one token each)."""
     steps = [steps_of(len(b)) for b in blocks]
     high = max(steps)
-    tokens = np.full((len(blocks), high * LANES), table.idle, np.int64)
+    tokens = np.full((len(blocks), high * LANES), table.idle, np.int32)
     for row, b in zip(tokens, blocks):
         row[: len(b)] = b
     tokens = np.ascontiguousarray(tokens.reshape(len(blocks), high, LANES).transpose(1, 0, 2))

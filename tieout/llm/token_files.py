@@ -20,8 +20,8 @@ Rows with one id are ordered by length, then checksum, then place in the input;
 repeated rows are separate documents. No rows give a table and no records. Only
 doc_id and text are read, so other columns may have any name.
 
-Memory of a task: one document's ids, the stretches its worker remembers, and about
-two million tokens of blocks under way; reading, one file (``file_tokens`` tokens at
+Memory of a task: one document's ids, the words its worker remembers, and about
+four million tokens of blocks under way; reading, one file (``file_tokens`` tokens at
 about one byte and a half, more if one document is longer).
 """
 
@@ -31,9 +31,9 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,17 +51,18 @@ MAGIC = b"TOKRANS1"
 HEAD = struct.Struct("<8sII")
 BLOCK = struct.Struct("<IIIII")
 #: Blocks that are coded or decoded at a time.
-TOGETHER = 32
-#: Stretches that a worker remembers; all are forgotten when there are more.
+TOGETHER = 64
+#: Words that a worker remembers; all are forgotten when there are more.
 REMEMBERED = 600_000
 #: Bytes of text that are looked up together.
 TOGETHER_BYTES = 8_000_000
+#: A sign that no simple stretch holds, put between stretches that are cut together.
+BAR = "\ue000"
 # How byte-level vocabularies cut text, for ASCII and the Latin letters U+00C0 to U+024F.
 BLANK = " \t\n\x0b\x0c\r"
 LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-SIMPLE = re.compile("[\x00-\x7fÀ-ÖØ-öø-ɏ]*\\Z")
 CUT = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^{BLANK}{LETTER}0-9]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+    f"{BAR}|'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^{BLANK}{LETTER}0-9{BAR}]+|[{BLANK}]+(?![^{BLANK}{BAR}])|[{BLANK}]+"
 )
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -92,72 +93,135 @@ def is_space(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def not_simple(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text begin something else than ASCII and the Latin letters U+00C0 to U+024F."""
+    out = (raw == 0xC2) | (raw > 0xC9)
+    if len(raw) > 1:
+        out[:-1] |= (raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))
+        out[:-1] |= (raw[:-1] == 0xC9) & (raw[1:] > 0x8F)
+    return out
+
+
+class Memo:
+    """Ids of strings that were seen before: the ids of number i are flat[start[i] : start[i] + length[i]]."""
+
+    def __init__(self, remembered: int):
+        self.remembered, self.known = remembered, Slots()
+        self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.flat, self.used = np.empty(1 << 16, np.int32), 0
+
+    def __call__(self, keys: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The numbers of strings; ``encode`` gives lengths and ids of those that are new."""
+        if len(self.known) > self.remembered:
+            self.known.clear()
+            self.used = 0
+        first = len(self.known)
+        out = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        if len(self.known) > first:
+            length, ids = encode(list(islice(self.known, first, None)))
+            if len(self.known) > len(self.start):
+                self.start, self.length = (np.concatenate((x, np.empty(len(self.known), np.int64))) for x in (self.start, self.length))
+            if self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate((self.flat[: self.used], np.empty(self.used + len(ids), np.int32)))
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.start[first : first + len(length)] = self.used + np.cumsum(length) - length
+            self.length[first : first + len(length)] = length
+            self.used += len(ids)
+        return out
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of the strings with these numbers, one after the other."""
+        return joined(self.flat, self.start[numbers], self.length[numbers])
+
+
+def joined(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(length, stretches of ``flat`` one after the other)"""
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return length, flat[np.repeat(start - ends + length, length) + np.arange(total)]
+
+
 class Words:
     """Ids of whole texts, looked up stretch by stretch.
 
     A byte-level vocabulary cuts texts before white space that follows something
     else, whatever stands further on. So the stretches between such cuts are found
-    in the bytes of many texts at once, and each different one is encoded once, by
-    the library, and remembered. Vocabularies of any other kind encode whole texts.
+    in the bytes of many texts at once. Simple ones are cut into words as the
+    vocabulary cuts them, and each word is encoded once, by the library, and
+    remembered; others are encoded as they are. Vocabularies of any other kind
+    encode whole texts.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        self.remembered, self.known = remembered, Slots()
-        self.size = max(self.library.get_vocab(with_added_tokens=True).values(), default=0) + 1
-        added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").search
-        front, options = repr(self.library.pre_tokenizer), self.library.get_added_tokens_decoder().values()
+        self.parts, self.others = Memo(remembered), Memo(remembered // 4)
+        vocabulary, added = self.library.get_vocab(with_added_tokens=True), self.library.get_added_tokens_decoder()
+        self.size = max(vocabulary.values(), default=0) + 1
+        self.bytes = np.zeros(self.size, np.int64)
+        for token, i in vocabulary.items():  # a character of a token stands for a byte
+            self.bytes[i] = len(token)
+        self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)").search
+        front, options = repr(self.library.pre_tokenizer), added.values()
         plain = all(not (t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content)) for t in options)
         byte_level = front.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in front
         self.cuts = plain and byte_level and self.library.normalizer is None
+        # the same model, for words that are cut and spelled already
+        self.model = Tokenizer(self.library.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.spelled = spelling()
-        self.parts: dict[str, list[int]] = {}  # ids of what simple stretches are cut into
-        self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
-        self.flat, self.used = np.empty(1 << 16, np.int32), 0
-
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def part(self, word: str) -> list[int]:
-        spelled = word.encode().decode("latin-1").translate(self.spelled)
-        got = self.parts[word] = [t.id for t in self.library.model.tokenize(spelled)]
-        return got
-
-    def learn(self, raw: list[bytes], first: int) -> None:
-        """Encode stretches; their slots are first, first + 1, ..."""
-        words = [w.decode() for w in raw]
-        special = self.special(b" ".join(raw)) is not None
-        odd = [i for i, w in enumerate(words) if not SIMPLE.match(w) or special and self.special(raw[i])]
-        other = dict(zip(odd, self.whole([words[i] for i in odd])))
-        flat: list[int] = []
-        reach, known, part = [], self.parts.get, self.part
-        for i, w in enumerate(words):
-            if i in other:
-                flat += other[i]
-            else:
-                for p in CUT.findall(w):
-                    flat += known(p) or part(p)
-            reach.append(len(flat))
-        length = np.diff(reach, prepend=0)
-        if first + len(words) > len(self.start):
-            self.start, self.length = (np.concatenate((x, np.empty(first + len(words), np.int64))) for x in (self.start, self.length))
-        if self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate((self.flat[: self.used], np.empty(self.used + len(flat), np.int32)))
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.start[first : first + len(words)] = self.used + np.cumsum(length) - length
-        self.length[first : first + len(words)] = length
-        self.used += len(flat)
+        self.bar = "".join(self.spelled[b] for b in BAR.encode())
+
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(map(len, made), np.int64, len(made)), np.array([i for ids in made for i in ids], np.int32)
+
+    def spelled_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of single words."""
+        text = BAR.join(words).encode().decode("latin-1").translate(self.spelled).replace(self.bar, " ")
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.cumsum(pc.binary_length(pa.array(words)).to_numpy().astype(np.int64))
+        reach = np.cumsum(self.bytes[ids])
+        at = np.searchsorted(reach, ends)
+        if len(at) and (at[-1] != len(ids) - 1 or not np.array_equal(reach[at], ends)):
+            raise ValueError("the tokens do not spell the words")
+        return np.diff(at, prepend=-1), ids
+
+    def stretches(self, words: list[str], simple: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of different stretches; ``simple`` says which hold none but simple characters."""
+        if self.special(BAR.join(words)):
+            simple = simple & ~np.array([self.special(w) is not None for w in words])
+        easy, hard = list(compress(words, simple)), list(compress(words, ~simple))
+        length = np.zeros(len(words), np.int64)
+        if hard:
+            length[~simple], odd = self.others.ids(self.others(hard, self.whole))
+        if not easy:
+            return length, odd
+        cut = pa.array(CUT.findall(BAR.join([*easy, ""]))).dictionary_encode()
+        found, code = cut.dictionary.to_pylist(), cut.indices.to_numpy()
+        bar = found.index(BAR)
+        numbers = self.parts([w for w in found if w != BAR], self.spelled_words)
+        numbers = np.insert(numbers, bar, -1)[code]
+        ends = np.flatnonzero(numbers < 0)
+        inner = numbers[numbers >= 0]
+        each, ids = self.parts.ids(inner)
+        reach = np.concatenate(([0], np.cumsum(each)))[ends - np.arange(len(ends))]
+        length[simple] = np.diff(reach, prepend=0)
+        if not hard:
+            return length, ids
+        own = np.empty(int(length.sum()), np.int32)
+        of_simple = np.repeat(simple, length)
+        own[of_simple], own[~of_simple] = ids, odd
+        return length, own
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): the ids of text i are those from bounds[i] to bounds[i + 1]; null is empty."""
         column = pc.fill_null(column.cast(pa.large_binary()), b"")
         if not self.cuts:
-            made = self.whole([t.decode() for t in column.to_pylist()])
-            return np.array([i for ids in made for i in ids], np.int32), np.cumsum([0, *map(len, made)])
+            length, ids = self.whole([t.decode() for t in column.to_pylist()])
+            return ids, np.concatenate(([0], np.cumsum(length)))
         _, ends, data = column.buffers()
         at = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
         raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
@@ -172,19 +236,12 @@ class Words:
         bounds = np.flatnonzero(begins)
         cut = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)])
         cut = cut.dictionary_encode()
-        if len(self.known) > self.remembered:
-            self.known.clear()
-            self.parts.clear()
-            self.used = 0
-        first, different = len(self.known), cut.dictionary.to_pylist()
-        slots = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))
-        if len(self.known) > first:
-            self.learn(list(islice(self.known, first, None)), first)
-        slots = slots[cut.indices.to_numpy()]
-        length = self.length[slots]
-        reach = np.concatenate(([0], np.cumsum(length)))
-        ids = self.flat[np.repeat(self.start[slots] - reach[:-1], length) + np.arange(reach[-1])]
-        return ids, reach[np.searchsorted(bounds, at)]
+        code = cut.indices.to_numpy()
+        simple = np.empty(len(cut.dictionary), bool)
+        simple[code] = np.diff(np.concatenate(([0], np.cumsum(not_simple(raw))))[bounds]) == 0
+        length, flat = self.stretches(cut.dictionary.cast(pa.string()).to_pylist(), simple)
+        length, ids = joined(flat, (np.cumsum(length) - length)[code], length[code])
+        return ids, np.concatenate(([0], np.cumsum(length)))[np.searchsorted(bounds, at)]
 
 
 @lru_cache(2)
