@@ -13,14 +13,15 @@ and l tokens among the first n - ceil(t n) + l.
   size, by steps of the size that linked sets cannot skip, so there are about as many
   pairs as tokens.
 
-One of these has to be common to both, so every link is a candidate. Equal sets are
-one node from the start: a task signs a set once, and what signatures move is a key
-of the set, not the document. Candidates are then verified on the whole texts, first
-against one leader per signature. Where a signature still spans several components,
-rounds follow: leaders are drawn anew among the rows still open, twice as many as
-the round before, the others are verified against them, and what is linked becomes
-one component before the next round. A group of noisy copies falls together after a
-few leaders; only rows that resemble each other and are linked to nothing meet all.
+One of these has to be common to both, so every link is a candidate. A signature also
+says how much of a set is left from its place on: sets that first agree there cannot
+share more, and candidates that this rules out are never paired. Documents that have
+a passage in common and differ otherwise mostly fall to that.
+
+Equal sets are one node from the start: a task signs a set once, and what signatures
+move is a key of the set, not the document. Candidates are then verified on the whole
+texts, first against one leader per signature, then, only where a signature still
+spans several components, among the rest: no group is expanded into all its pairs.
 
 The result is components and not links: candidates already in one component are
 neither verified nor counted.
@@ -36,7 +37,6 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, forget
@@ -50,6 +50,8 @@ CLASSES = 1 << 20
 #: Class counts travel as arrays of this many.
 CHUNK = 1 << 12
 BITS = 1 << 12
+#: 64-bit columns that the join of what is left folds the parities to.
+JOIN_COLUMNS = 16
 #: Set keys that a task remembers to sign each set once; all are forgotten when there are more.
 REMEMBERED = 1_000_000
 
@@ -139,6 +141,11 @@ def class_counts(counted: DataFrame) -> np.ndarray:
     return out
 
 
+#: Signatures, and for each what is left of the set.
+Signed = tuple[np.ndarray, np.ndarray]
+NONE: Signed = (EMPTY, np.empty(0, np.int64))
+
+
 class Signer:
     """Signatures of a set, given the counts of the classes."""
 
@@ -149,37 +156,44 @@ class Signer:
         self.rare_up_to = mean + 8 * np.sqrt(mean) + 32
         self.steps = (4 / 3) ** np.arange(1, 120)
 
-    def __call__(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(single tokens, token pairs)"""
+    def __call__(self, s: np.ndarray) -> tuple[Signed, Signed]:
+        """(single tokens, token pairs), each with what two sets that first agree there can share at most."""
         n = len(s)
         if not n:
-            return EMPTY, EMPTY
+            return NONE, NONE
         count = self.amounts[class_of(s)]
         order = np.argsort(count, kind="stable")  # the set is sorted: ties go by token
         s, count = s[order], count[order]
         prefix = n // 4 + 1  # n - ceil(0.75 n) + 1
         rare = int(np.searchsorted(count, self.rare_up_to, side="right"))
-        singles = s[: min(prefix, rare)]
+        alone = min(prefix, rare)
+        singles = s[:alone], n - np.arange(alone)
         if rare >= prefix:
-            return singles, EMPTY
+            return singles, NONE
         step = int(np.searchsorted(self.steps, n, side="right"))
         made = [self.pairs(s, rare, prefix, j) for j in (step, step - 1) if j >= 0]
-        return singles, np.concatenate(made)
+        return singles, tuple(np.concatenate(x) for x in zip(*made))
 
-    def pairs(self, s: np.ndarray, rare: int, prefix: int, step: int) -> np.ndarray:
+    def pairs(self, s: np.ndarray, rare: int, prefix: int, step: int) -> Signed:
         groups = max(1, int(0.1 * (4 / 3) ** step))
         tokens = s[rare : prefix + groups]
-        of = (mix(tokens) % np.uint64(groups)).astype(np.int64)
+        of, place = (mix(tokens) % np.uint64(groups)).astype(np.int64), rare + np.arange(len(tokens))
         order = np.lexsort((tokens, of))
-        tokens, of = tokens[order], of[order]
-        made, gap = [EMPTY], 1
+        tokens, of, place = tokens[order], of[order], place[order]
+        made, left, gap = [EMPTY], [place[:0]], 1
         while gap < len(tokens):
             same = of[gap:] == of[:-gap]
             if not same.any():
                 break
             made.append(mix(mix(tokens[:-gap][same] * STEP_2 + tokens[gap:][same]) + np.uint64(step + 1)))
+            # of the first groups + 1 common tokens, at most that many lie before the later one of the pair
+            left.append(len(s) - np.maximum(place[:-gap], place[gap:])[same] + groups)
             gap += 1
-        return np.unique(np.concatenate(made))
+        sig, left = np.concatenate(made), np.concatenate(left)
+        order = np.lexsort((-left, sig))
+        sig, left = sig[order], left[order]
+        first = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.empty(0, bool)
+        return sig[first], left[first]
 
 
 def short_key(digest: bytes | None) -> int | None:
@@ -192,7 +206,7 @@ def digest_of(s: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
-    """(key, n, bits, singles, pairs): key, size, parities and signatures of every set, once per task."""
+    """(key, n, bits, singles, pairs): key, size, parities and signatures (sig, rest) of every set, once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(amounts)  # CLASSES numbers
 
     def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -200,6 +214,11 @@ def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
         values = np.concatenate(arrays) if arrays else EMPTY
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
 
+    def signed(made: list[Signed]) -> pa.Array:
+        sig, rest = lists([a for a, _ in made]), np.concatenate([NONE[1], *[b for _, b in made]])
+        both = pa.StructArray.from_arrays([sig.values, pa.array(rest, pa.int32())], ["sig", "rest"])
+        return pa.ListArray.from_arrays(sig.offsets, both)
+
     def work(batch: pa.RecordBatch, own: tuple[Words, Signer, set[int]]) -> pa.RecordBatch:
         words, signer, known = own
         if len(known) > REMEMBERED:
@@ -215,22 +234,34 @@ def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(keys, pa.int64()), pa.array(map(len, sets), pa.int64()), lists([parity_bits(s) for s in sets]),
-                lists([a for a, _ in made]), lists([b for _, b in made]),
+                signed([a for a, _ in made]), signed([b for _, b in made]),
             ],
             ["key", "n", "bits", "singles", "pairs"],
         )
 
     return by_batch(
-        docs.select("doc_id", "text"), work, "key long, n long, bits array<long>, singles array<long>, pairs array<long>",
+        docs.select("doc_id", "text"), work,
+        "key long, n long, bits array<long>, singles array<struct<sig: long, rest: int>>, pairs array<struct<sig: long, rest: int>>",
         lambda: (Words(lower=True), Signer(shared.value), set()),
     )
 
 
-def marks_of(signed: DataFrame) -> list[Column]:
+def marks_of() -> list[Column]:
     """Sizes and parities (n, p0, p1, ...), the latter as plain columns, which joins compile."""
     return [F.col("n"), *[F.col("bits")[i].alias(f"p{i}") for i in range(BITS // 64)]]
 
 
+def folded(marks: DataFrame, columns: int) -> DataFrame:
+    """``marks`` without sizes and with fewer, coarser parities: the sums of several are parities too."""
+    sums = [[F.col(f"p{i}") for i in range(j, BITS // 64, columns)] for j in range(columns)]
+    return marks.select("node", *[reduce(Column.bitwiseXOR, x).alias(f"p{j}") for j, x in enumerate(sums)])
+
+
+def may_link(n: str, rest: str, other_n: str, other_rest: str) -> Column:
+    """Whether two sets that first agree at a signature can share as much as a link takes."""
+    return (100 + PERCENT) * F.least(rest, other_rest) >= PERCENT * (F.col(n) + F.col(other_n))
+
+
 def shared_at_most(na: Column, nb: Column, a: str, b: str, columns: int = BITS // 64) -> Column:
     """A bound of what two sets share. Sets that differ in d tokens differ in at most d parities."""
     differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}"))) for i in range(columns)])
@@ -246,29 +277,33 @@ def bounded_pairs(pairs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, key) for signatures of two keys or more, from rows sorted by (sig, key)."""
-    rest_sig, rest_key = np.empty(0, np.int64), np.empty(0, np.int64)
+    """(sig, rest, key) for signatures of two keys or more, from rows sorted by (sig, key)."""
+    names = ["sig", "rest", "key"]
+    rest = {c: np.empty(0, np.int64) for c in names}
 
-    def found(sig: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    def found(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        sig = rows["sig"]
         start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.empty(0, bool))
         size = np.diff(np.append(start, len(sig)))
         many = np.repeat(size > 1, size)
-        return pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (sig, key)], ["sig", "key"])
+        kinds = (pa.int64(), pa.int32(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(rows[c][many], k) for c, k in zip(names, kinds)], names)
 
     for batch in batches:
-        sig = np.concatenate((rest_sig, batch.column("sig").to_numpy()))
-        key = np.concatenate((rest_key, batch.column("key").to_numpy()))
+        rows = {c: np.concatenate((rest[c], batch.column(c).to_numpy())) for c in names}
+        sig, key = rows["sig"], rows["key"]
         new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1]))) if len(sig) else np.empty(0, bool)
-        sig, key = sig[new], key[new]  # repeated rows
+        rows = {c: x[new] for c, x in rows.items()}  # a set that several tasks signed
+        sig = rows["sig"]
         if not len(sig):
             continue
         # the last signature may go on in the next batch
         cut = int(np.searchsorted(sig, sig[-1], side="left"))
-        rest_sig, rest_key = sig[cut:], key[cut:]
+        rest = {c: x[cut:] for c, x in rows.items()}
         if cut:
-            yield found(sig[:cut], key[:cut])
-    if len(rest_sig):
-        yield found(rest_sig, rest_key)
+            yield found({c: x[:cut] for c, x in rows.items()})
+    if len(rest["sig"]):
+        yield found(rest)
 
 
 def tested(pairs: DataFrame, docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -342,21 +377,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     amounts = class_counts(counted)
 
     known = sets.filter("set_key is not null and doc_id is not null")
-    reps = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
+    reps = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")))
     short = F.conv(F.substring(F.hex("set_key"), 1, 15), 16, 10).cast("long")
-    nodes = reps.select(short.alias("key"), F.col("rep").alias("node"))
+    nodes = reps.select(short.alias("key"), F.col("rep").alias("node"), "n")
     signed = cut_lineage(signatures(docs.filter("doc_id is not null"), amounts))
-    single = signed.select(F.explode("singles").alias("sig"), "key")
-    lists = single.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(meetings, "sig long, key long")
-    paired = signed.select(F.explode("pairs").alias("sig"), "key")
+    single = signed.select(F.explode("singles").alias("s"), "key").select("s.sig", "s.rest", "key")
+    lists = single.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(meetings, "sig long, rest int, key long")
+    paired = signed.select(F.explode("pairs").alias("s"), "key").select("s.sig", "s.rest", "key")
     met = paired.groupBy("sig").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x < y").select("sig")
-    lists = cut_lineage(lists.unionByName(paired.join(cut_lineage(met), "sig").select("sig", "key")))
+    lists = cut_lineage(lists.unionByName(paired.join(cut_lineage(met), "sig").select("sig", "rest", "key")))
+    group = cut_lineage(lists.join(nodes, "key").groupBy("sig", "node", "n").agg(F.max("rest").alias("rest")))
     wanted = cut_lineage(lists.select("key").distinct())
-    seen_by = cut_lineage(
-        signed.select("key", *marks_of(signed)).join(wanted, "key", "left_semi").dropDuplicates(["key"]).join(nodes, "key").drop("key")
+    marks = cut_lineage(
+        signed.select("key", *marks_of()).join(wanted, "key", "left_semi").dropDuplicates(["key"]).drop("n").join(nodes, "key").drop("key")
     )
-    marks = seen_by.select("node", *[c for c in seen_by.columns if c != "node"])
-    group = cut_lineage(lists.join(nodes, "key").select("sig", "node").distinct())
+    marks = marks.select("node", "n", *[f"p{i}" for i in range(BITS // 64)])
     forget(signed, lists, wanted)
 
     # rows of one id with different texts
@@ -369,7 +404,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = components(links)
     rows = still_open(group, seen, comps)
     if not rows.isEmpty():
-        comps = closed(rows, marks, docs, seen, links)
+        pairs = all_pairs(rows, marks).join(seen, ["a", "b"], "left_anti")
+        more = tested(cut_lineage(pairs), docs, marks)
+        comps = components(cut_lineage(links.union(more.filter("linked").select("a", "b"))))
 
     rep_comp = reps.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("comp", "rep").alias("comp")
@@ -397,72 +434,66 @@ def ordered(a: str, b: str) -> tuple[Column, Column]:
 
 
 def led(group: DataFrame) -> DataFrame:
-    """``group`` with the leader of each signature: the node that meets most others.
+    """``group`` with the leader of each signature, its size and rest: the node that meets most others.
 
     Of noisy copies that is the one nearest to all, since it has most tokens in common.
     """
-    rows = group.select("sig", "node")
-    sizes = cut_lineage(rows.groupBy("sig").agg(F.count("*").alias("size")))
-    meets = cut_lineage(rows.join(sizes, "sig").groupBy("node").agg(F.sum("size").alias("meets")))
-    lead = rows.join(meets, "node").groupBy("sig").agg(F.max(F.struct("meets", -F.col("node"))).alias("top"))
-    lead = cut_lineage(lead.select("sig", (-F.col("top.col2")).alias("leader")))
-    return rows.join(lead, "sig")
+    sizes = cut_lineage(group.groupBy("sig").agg(F.count("*").alias("size")))
+    meets = cut_lineage(group.join(sizes, "sig").groupBy("node").agg(F.sum("size").alias("meets")))
+    top = F.max(F.struct("meets", (-F.col("node")).alias("down"), "n", "rest")).alias("top")
+    lead = group.join(meets, "node").groupBy("sig").agg(top)
+    lead = lead.select("sig", (-F.col("top.down")).alias("leader"), F.col("top.n").alias("ln"), F.col("top.rest").alias("lrest"))
+    return group.join(cut_lineage(lead), "sig")
 
 
 def led_pairs(group: DataFrame) -> DataFrame:
-    """The pairs (a, b) of each signature's leader with its other nodes."""
-    return cut_lineage(group.filter("leader <> node").select(*ordered("leader", "node")).distinct())
+    """The pairs (a, b) of each signature's leader with those of its other nodes that it may be linked to there."""
+    others = group.filter(F.col("leader") != F.col("node")).filter(may_link("n", "rest", "ln", "lrest"))
+    return cut_lineage(others.select(*ordered("leader", "node")).distinct())
 
 
 NEAR, BETWEEN, FAR = 0, 1, 2
 
 
 def still_open(group: DataFrame, seen: DataFrame, comps: DataFrame) -> DataFrame:
-    """(sig, node, comp, kind): what is left to compare once all leaders were.
+    """(sig, node, n, rest, comp, kind): what is left to compare once all leaders were.
 
     A leader is done. ``kind`` is a node's distance from it: linked, further than 0.5,
-    or between. The Jaccard distance is a metric, so a linked node is further than
-    0.25 from every far one. Signatures whose rows are in one component are done.
+    or between, which it also is where nothing is known. The Jaccard distance is a
+    metric, so a linked node is further than 0.25 from every far one. Signatures whose
+    rows are in one component are done.
     """
-    pair = group.filter("leader <> node").select("sig", "node", *ordered("leader", "node")).join(seen, ["a", "b"])
+    pair = group.filter("leader <> node").select("sig", "node", "n", "rest", *ordered("leader", "node")).join(seen, ["a", "b"], "left")
     near, far = F.col("most") <= 1 - PERCENT / 100, F.col("least") > 2 * (1 - PERCENT / 100) + 1e-9
     kind = F.when(near, NEAR).when(far, FAR).otherwise(BETWEEN)
-    marked = pair.select("sig", "node", kind.alias("kind")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    rows = cut_lineage(marked.select("sig", "node", "comp", "kind"))
+    marked = pair.withColumn("kind", kind).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    rows = cut_lineage(marked.select("sig", "node", "n", "rest", "comp", "kind"))
     spans = rows.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.col("kind") == BETWEEN).alias("between"))
     # linked nodes have only those in between left to meet
     done = spans.select("sig", "between", (F.col("x") < F.col("y")).alias("open")).filter("open")
     return cut_lineage(rows.join(done.select("sig", "between"), "sig").filter(f"between or kind <> {NEAR}").drop("between"))
 
 
-def closed(rows: DataFrame, marks: DataFrame, docs: DataFrame, seen: DataFrame, links: DataFrame) -> DataFrame:
-    """The components after what ``still_open`` left was compared, by rounds of leaders.
-
-    A round draws leaders per signature, verifies the signature's other open rows of
-    like size against them, and contracts. A leader is done then; a signature is done
-    when its open rows are in one component. With twice as many leaders in each round,
-    the number of rounds is the logarithm of the largest group.
-    """
-    rows = cut_lineage(rows.join(marks.select("node", "n"), "node"))
-    leaders, comps = 1, None
-    while not rows.isEmpty():
-        draw = W.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(leaders)), "node")
-        lead = rows.withColumn("place", F.row_number().over(draw)).filter(F.col("place") <= leaders)
-        lead = cut_lineage(lead.select("sig", *[F.col(c).alias(f"l{c}") for c in ("node", "comp", "kind", "n")]))
-        apart = ((F.col("kind") == NEAR) & (F.col("lkind") == FAR)) | ((F.col("kind") == FAR) & (F.col("lkind") == NEAR))
-        like = 100 * F.least("n", "ln") >= PERCENT * F.greatest("n", "ln")
-        met = rows.join(lead, "sig").filter((F.col("comp") != F.col("lcomp")) & like & ~apart)
-        pairs = cut_lineage(met.select(*ordered("node", "lnode")).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti"))
-        more = tested(pairs, docs, marks)
-        seen = seen.unionByName(more)
-        links = cut_lineage(links.union(more.filter("linked").select("a", "b")))
-        comps = components(links)
-        rest = rows.drop("comp").join(lead.select("sig", F.col("lnode").alias("node")), ["sig", "node"], "left_anti")
-        rest = cut_lineage(rest.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        spans = rest.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("sig")
-        rows = cut_lineage(rest.join(spans, "sig", "left_semi"))
-        leaders *= 2
-    return comps
+def all_pairs(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are left: of one signature, in different components, of like size, with enough left."""
+    # steps a little wider than the sizes of linked sets can differ: one row meets
+    # its own step, the other its own and the one below
+    step = F.floor(F.log("n") / F.log(F.lit(1.34))).cast("int")
+    sized = cut_lineage(rows.join(folded(marks, JOIN_COLUMNS), "node").withColumn("step", step))
+    below = F.explode(F.array(F.col("step"), F.col("step") - 1))
+    meets = F.when(F.col("kind") == NEAR, F.array(F.lit(BETWEEN))).when(
+        F.col("kind") == BETWEEN, F.array(F.lit(NEAR), F.lit(BETWEEN), F.lit(FAR))
+    ).otherwise(F.array(F.lit(BETWEEN), F.lit(FAR)))
+    own = [c for c in sized.columns if c not in ("sig", "kind")]
+    other = sized.select("sig", "kind", *[F.col(c).alias(f"o{c}") for c in own], below.alias("step"))
+    other = other.withColumn("kind", F.explode(meets))
+    # the bounds are part of the join's condition: pairs that they rule out are never rows
+    most, total = shared_at_most(F.col("n"), F.col("on"), "", "o", JOIN_COLUMNS), F.col("n") + F.col("on")
+    once = (F.col("step") < F.col("ostep")) | (F.col("node") < F.col("onode"))
+    left = may_link("n", "rest", "on", "orest")
+    return sized.join(other, ["sig", "step", "kind"]).filter(
+        once & (F.col("comp") != F.col("ocomp")) & left & ((100 + PERCENT) * most >= PERCENT * total)
+    ).select(*ordered("node", "onode")).distinct()
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
