@@ -115,6 +115,21 @@ def test_top_k_of_awkward_vectors(spark):
     assert exact_topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_repeated_vectors_are_rows_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "ROW_BLOCK", 4)
+    monkeypatch.setattr(exact_topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(exact_topk, "PER_GROUP", 2)
+    data = [(i, [float(i % 7), float(i % 3)]) for i in range(30)] + [(0, [0.0, 0.0]), (10, [3.0, 1.0]), (10, [9.0, 9.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, exact_topk.top_k(df, F.col("vec_id") % 10 == 0, k=3).collect()))
+    want = []
+    for a, (q, v) in enumerate(data):
+        if q % 10 == 0:
+            scores = [(-sum(int(256 * x) * int(256 * y) for x, y in zip(v, u)), i) for b, (i, u) in enumerate(data) if a != b]
+            want += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:3], 1)]
+    assert got == sorted(want)
+
+
 def test_piece_digests_of_awkward_rows(rows):
     got = pieces.digests(rows, queries.vocabulary()).collect()
     assert len(got) == len(ROWS)

@@ -7,9 +7,10 @@ score array of queries by candidates. Each cell keeps the best k of its array by
 partition selection; a window merges the cells.
 
 Queries are a stated subset of the rows, in blocks; every query block meets every
-candidate block once. Blocks meet by an equi-join on (query block, group), with the
-candidate blocks dealt over ``GROUPS`` groups, so no block pair waits on one task
-and a task folds all blocks of a group into k rows per query before they move.
+candidate block once. Blocks meet by an equi-join on (query block, group), with
+``PER_GROUP`` candidate blocks to a group, so the number of groups grows with the
+rows and a task folds a group into k rows per query before they move. A row is told
+apart from its repeats by its place in the written table, not by its id.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import counted_write, cut_lineage
 
-QUERY_BLOCK, ROW_BLOCK, GROUPS, AT_ONCE = 512, 2048, 24, 128
+QUERY_BLOCK, ROW_BLOCK, PER_GROUP, AT_ONCE = 512, 2048, 16, 128
+BLOCK = ["n", "ids", "places", "values", "small"]
 #: Sums of products below this are exact in doubles.
 EXACT = 2.0**53
 
@@ -33,44 +35,40 @@ def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """(vec_id, v) with v = floor(scale * x) as doubles.
 
     Rows with a null id, a null vector or a null or non-finite component take no
-    part. Of repeated ids the least vector counts. Missing dimensions are zeros.
+    part. Repeated ids are separate rows. Missing dimensions are zeros.
     """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
     fit = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.coalesce(fit, F.lit(False)))
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v")).groupBy("vec_id").agg(
-        F.min("v").alias("v")
-    )
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
 
 
 def packed(rows: DataFrame, size: int) -> DataFrame:
-    """Blocks of up to ``size`` rows, ordered by id: (n, ids, values) as raw arrays."""
+    """Blocks of up to ``size`` rows (vec_id, row, v), ordered by id: (n, ids, places, values, small) as raw arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, size):
                 part = batch.slice(start, size)
-                ids = part.column("vec_id").to_numpy(zero_copy_only=False)
+                ids, places = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("vec_id", "row"))
                 v = part.column("v")
                 lengths = np.diff(v.offsets.to_numpy())
                 dims = int(lengths.max(initial=0))
                 values = np.zeros((len(ids), dims))
                 values[np.arange(dims) < lengths[:, None]] = v.flatten().to_numpy(zero_copy_only=False)
-                order = np.argsort(ids, kind="stable")
+                order = np.lexsort((places, ids))
                 small = np.abs(values).max(initial=0.0) < 2**31
                 raw = values[order].astype(np.int32 if small else np.float64).tobytes()
-                out = [[len(ids)], [ids[order].astype(np.int64).tobytes()], [raw], [bool(small)]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.binary(), pa.bool_()))],
-                    ["n", "ids", "values", "small"],
-                )
+                out = [[len(ids)], [ids[order].tobytes()], [places[order].tobytes()], [raw], [bool(small)]]
+                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], BLOCK)
 
-    return rows.mapInArrow(run, "n long, ids binary, values binary, small boolean")
+    return rows.mapInArrow(run, "n long, ids binary, places binary, values binary, small boolean")
 
 
-def unpacked(n: int, ids: bytes, values: bytes, small: bool) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(n: int, ids: bytes, places: bytes, values: bytes, small: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     v = np.frombuffer(values, np.int32 if small else np.float64).reshape(n, -1).astype(np.float64)
-    return np.frombuffer(ids, np.int64), v
+    return np.frombuffer(ids, np.int64), np.frombuffer(places, np.int64), v
 
 
 def accumulate(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -93,9 +91,11 @@ def accumulate(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return scores
 
 
-def select(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, score) of the best k per row; ``ids`` ascend; ties go to the smaller id."""
-    valid = ids[None, :] != own[:, None]
+def select(
+    scores: np.ndarray, ids: np.ndarray, places: np.ndarray, own: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, score) of the best k per row but its ``own`` place; ``ids`` ascend; ties go to the smaller id."""
+    valid = places[None, :] != own[:, None]
     if scores.dtype == object:
         low = -(2**63)
         scores = np.where(valid, scores, low)
@@ -119,13 +119,16 @@ def select(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tupl
 
 def fold(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Best k per query over all candidate blocks that arrive with the same query block."""
-    at, held = None, None
+    at, held, names = None, None, None
 
     def out() -> pa.RecordBatch:
         q, ids, scores = held
+        asked, place = names
+        at = np.searchsorted(place, q)
+        columns = [asked[at], q, ids]
         return pa.RecordBatch.from_arrays(
-            [pa.array(q, pa.int64()), pa.array(ids, pa.int64()), pa.array([int(s) for s in scores], pa.int64())],
-            ["query_id", "vec_id", "score"],
+            [*[pa.array(c, pa.int64()) for c in columns], pa.array([int(s) for s in scores], pa.int64())],
+            ["query_id", "row", "vec_id", "score"],
         )
 
     for batch in batches:
@@ -134,12 +137,14 @@ def fold(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
                 if held is not None:
                     yield out()
                 at, held = (r["q"], r["g"]), None
-            own, queries = unpacked(r["q_n"], r["q_ids"], r["q_values"], r["q_small"])
-            ids, rows = unpacked(r["n"], r["ids"], r["values"], r["small"])
+            asked, own, queries = unpacked(*[r[f"q_{c}"] for c in BLOCK])
+            ids, places, rows = unpacked(*[r[c] for c in BLOCK])
+            by_place = np.argsort(own)
+            names = asked[by_place], own[by_place]
             found = [] if held is None else [held]
             for start in range(0, len(own), AT_ONCE):
                 mine = own[start : start + AT_ONCE]
-                row, cand, score = select(accumulate(queries[start : start + AT_ONCE], rows), ids, mine, k)
+                row, cand, score = select(accumulate(queries[start : start + AT_ONCE], rows), ids, places, mine, k)
                 found.append((mine[row], cand, score))
             q, cand, score = (np.concatenate(x) for x in zip(*found))
             order = np.lexsort((cand, -score, q)) if score.dtype != object else np.array(
@@ -158,21 +163,21 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256) ->
     Ties go to the smaller vec_id; a query with fewer candidates returns all. No
     rows, or no queries, give no rows. Works on (vec_id, embedding) only.
     """
-    rows = cut_lineage(integer_vectors(vectors, scale))
-    blocks = packed(rows, ROW_BLOCK).withColumn("g", F.pmod(F.monotonically_increasing_id(), F.lit(GROUPS)).cast("int"))
-    asked = cut_lineage(
-        packed(rows.filter(queries), QUERY_BLOCK)
-        .select(*[F.col(c).alias(f"q_{c}") for c in ("n", "ids", "values", "small")])
-        .withColumn("q", F.monotonically_increasing_id())
-    )
-    numbers = [r.q for r in asked.select("q").collect()]  # one number per block of queries
-    if not numbers:
+    rows = cut_lineage(integer_vectors(vectors, scale).withColumn("row", F.monotonically_increasing_id()))
+    blocks, n = counted_write(packed(rows, ROW_BLOCK), blocks=F.lit(True))
+    # one row per block of queries, numbered one after the other
+    asked = packed(rows.filter(queries), QUERY_BLOCK).select(*[F.col(c).alias(f"q_{c}") for c in BLOCK])
+    asked, m = counted_write(asked, blocks=F.lit(True))
+    if not m["blocks"]:
         empty = "query_id long, rank int, vec_id long, score long"
         return vectors.sparkSession.createDataFrame([], empty)
-    left = cut_lineage(blocks).withColumn("q", F.explode(F.array(*[F.lit(n) for n in numbers])))
-    right = asked.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
-    met = left.join(right, ["q", "g"]).mapInArrow(lambda it: fold(it, k), "query_id long, vec_id long, score long")
-    best = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    groups = -(-n["blocks"] // PER_GROUP)
+    numbered = asked.withColumn("q", F.row_number().over(W.orderBy(F.monotonically_increasing_id())) - 1)
+    left = blocks.withColumn("g", F.pmod(F.monotonically_increasing_id(), F.lit(groups)).cast("int"))
+    left = left.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(m["blocks"] - 1))))
+    right = numbered.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    met = left.join(right, ["q", "g"]).mapInArrow(lambda it: fold(it, k), "query_id long, row long, vec_id long, score long")
+    best = W.partitionBy("row").orderBy(F.col("score").desc(), F.col("vec_id"))
     return met.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )
