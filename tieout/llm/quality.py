@@ -5,9 +5,10 @@ has a label. Every passage is encoded; gated attention weighs the passages; the
 weighted sum of their representations is scored. All weights are learned from the
 document labels, so what marks a bad passage is found without passage labels.
 
-A passage is 64 words; a document of more than 64 passages has 64 longer ones, so
-a bag is bounded and the whole text is read. Its first encoding is counted from the
-bytes with numpy; nothing but the text enters a score.
+A passage is 64 words, in texts of any length, and every passage of a text is scored.
+Only what training sends to the driver is bounded: of a labelled document with more
+than 64 passages it takes 64, spaced evenly. A passage's first encoding is counted
+from the bytes with numpy; nothing but the text enters a score.
 """
 
 from __future__ import annotations
@@ -50,10 +51,9 @@ def passage_features(text: str) -> np.ndarray:
     n = len(starts)
     if not n:
         return np.zeros((1, FEATURES), np.float32)
-    size = max(WORDS, -(-n // PASSAGES))
-    first = np.arange(0, n, size)
+    first = np.arange(0, n, WORDS)
     bag = len(first)
-    of_word = np.arange(n) // size
+    of_word = np.arange(n) // WORDS
     words = np.diff(np.append(first, n)).astype(np.float64)
     # per passage: bytes of each class
     of_byte = np.repeat(np.arange(bag), np.diff(np.append(starts[first], len(raw)))) if bag else None
@@ -93,6 +93,12 @@ def passage_features(text: str) -> np.ndarray:
     return out.astype(np.float32)
 
 
+def training_bag(text: str) -> np.ndarray:
+    """At most PASSAGES passages of a text, spaced evenly."""
+    bag = passage_features(text)
+    return bag[np.linspace(0, len(bag) - 1, PASSAGES).round().astype(int)] if len(bag) > PASSAGES else bag
+
+
 @dataclass(frozen=True)
 class Model:
     """Encoder, gated attention and score; ``constant`` when there was nothing to learn."""
@@ -187,7 +193,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # sample rows
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bags = [passage_features(t).tobytes() for t in texts_of(batch)]
+        bags = [training_bag(t).tobytes() for t in texts_of(batch)]
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), pa.array(bags, pa.binary())], ["doc_id", "label", "bag"]
         )
