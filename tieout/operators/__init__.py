@@ -17,7 +17,7 @@ from .joins import (
     validate_links,
 )
 from .links import Chains, resolve_chains
-from .ordered import files_in_order, read_ordered, with_position, write_ordered
+from .ordered import files_in_order, in_order, read_ordered, with_position, write_ordered
 from .rollup import TOTAL, rows_where, segment_rollup, total_of, totals_last, totals_last_order, walk, weighted_mean
 
 __all__ = [
@@ -28,6 +28,7 @@ __all__ = [
     "disagree",
     "distinct_counts",
     "files_in_order",
+    "in_order",
     "first_per_key",
     "flag_duplicates",
     "flag_orphans",

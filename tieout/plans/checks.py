@@ -6,6 +6,7 @@ values are the contract of each model.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -225,11 +226,20 @@ def _outcome(check: Check, failures: Column) -> Column:
     )
 
 
-def _outcomes(project: Project, checks: list[Check]) -> list[DataFrame]:
-    """One frame per scan: all row-wise checks of a relation share a single one."""
-    frames = []
+def row_checks(project: Project, relation: str, kinds: tuple[str, ...] = ALL_KINDS) -> dict[str, Column]:
+    """Of a relation's row-wise checks, the count of failures by name, to be taken while it is written."""
+    wanted = [k for k in CHECKS[project.name] if k.relation == relation and k.kind in kinds]
+    return {k.name: F.count(F.when(met, 1)) for k in wanted if (met := _row_condition(k)) is not None}
+
+
+def _outcomes(project: Project, checks: list[Check], counted: Mapping[str, int]) -> list[DataFrame]:
+    """One frame per scan: all row-wise checks of a relation share a single one, and none if they are counted already."""
+    frames, known = [], []
     by_relation: dict[str, list[Check]] = {}
     for check in checks:
+        if check.name in counted:
+            known.append(_outcome(check, F.lit(counted[check.name])))
+            continue
         if _row_condition(check) is not None:
             by_relation.setdefault(check.relation, []).append(check)
             continue
@@ -241,13 +251,22 @@ def _outcomes(project: Project, checks: list[Check]) -> list[DataFrame]:
         counts = [F.count(F.when(_row_condition(check), 1)).alias(f"n{i}") for i, check in enumerate(group)]
         one_row = project.model(relation).agg(*counts)
         frames.append(one_row.select(F.array(*[_outcome(k, F.col(f"n{i}")) for i, k in enumerate(group)]).alias("o")))
+    if known:
+        spark = project.model(checks[0].relation).sparkSession
+        frames.append(spark.range(1).select(F.array(*known).alias("o")))
     return frames
 
 
-def check_outcomes(project: Project, kinds: tuple[str, ...] = ALL_KINDS) -> DataFrame:
-    """Name, kind, severity, failures and status of every check of the given kinds."""
+def check_outcomes(
+    project: Project, kinds: tuple[str, ...] = ALL_KINDS, counted: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Name, kind, severity, failures and status of every check of the given kinds.
+
+    ``counted`` holds the failures of row-wise checks, by name, that were counted
+    while their relation was written; those read nothing again.
+    """
     wanted = [check for check in CHECKS[project.name] if check.kind in kinds]
-    rows = reduce(DataFrame.unionByName, _outcomes(project, wanted)).select(F.explode("o").alias("o"))
+    rows = reduce(DataFrame.unionByName, _outcomes(project, wanted, counted or {})).select(F.explode("o").alias("o"))
     failed = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
     return rows.select(F.lit(project.name).alias("project"), "o.*").withColumn(
         "status", F.when(F.col("failures") > 0, failed).otherwise("pass")

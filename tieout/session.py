@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .files import remove
+
 # Settings the plans were tuned with. The adaptive ones are Spark's defaults,
 # spelled out so that a cluster profile which turns one off is seen.
 SETTINGS = {
@@ -86,11 +88,4 @@ def forget(*tables: DataFrame) -> None:
     for df in tables:
         for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/tieout/cut-" in path:
-                remove_path(df.sparkSession, path)
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder through the file system that its scheme names."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+                remove(df.sparkSession, path)
