@@ -1,12 +1,15 @@
 """Exact duplicates by a tree merge of sorted digest runs, in DataFrame operations only.
 
 Each input partition first reduces its rows to one run: per text digest, the
-winning id and how many rows it stands for. Runs then meet in binomial rounds:
-in round r, run i takes in the runs whose number agrees with its own apart from
-the lowest digits, and merges them per digest. A digest that a third of all rows
-share is one row per run from the first round on, so no round sees a hot key.
-What counts as one text is verified at each level: SHA-256, a second
-independent hash and the length all have to agree.
+winning id and how many rows it stands for. Runs then meet in binomial rounds: in
+round r, run i takes in the runs whose number agrees with its own apart from the
+lowest digits. What meets is exchanged by run and by slice of the digests, so the last
+run, too, lies in many partitions; each partition is sorted by digest, which puts the
+equal digests of the runs side by side, and one pass over the sorted rows (Spark's
+sort-based aggregate) merges them, keeping the winner. A digest that a third of all
+rows share is one row per run from the first round on, so no round sees a hot key.
+What counts as one text is verified at each level: SHA-256, a second independent hash
+and the length all have to agree.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 RUNS, FAN_IN = 64, 4
+#: Slices of the digests that a run is cut into.
+SLICES = 1 << 16
 KEY = ["sha", "check", "length"]
 
 
@@ -29,23 +34,37 @@ def digested(text: Column) -> list[Column]:
     ]
 
 
+def merged(level: DataFrame, largest: bool) -> DataFrame:
+    """Runs sorted by digest, equal digests of one run reduced to the winner and the sum of rows.
+
+    The rows of a partition come sorted by (run, slice, digest). The winner is taken
+    from a struct, which Spark aggregates by sorted rows and not by a hash table, so
+    the order that is there is the one that it merges in.
+    """
+    pick = F.max if largest else F.min
+    # a null id wins only where there is no other
+    ranked = F.struct((F.col("doc_id").isNotNull() if largest else F.col("doc_id").isNull()).alias("known"), "doc_id")
+    rows = level.repartition("run", "slice").sortWithinPartitions("run", "slice", *KEY)
+    won = rows.groupBy("run", "slice", *KEY).agg(pick(ranked).alias("w"), F.sum("n").alias("n"))
+    return won.select("run", "slice", *KEY, F.col("w.doc_id").alias("doc_id"), "n")
+
+
 def merge_runs(rows: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN, largest: bool = True) -> DataFrame:
     """(sha, check, length, keep_id, group_size) per distinct text, from rows with doc_id, sha, check, length.
 
-    Null ids never win against others. Spark's aggregate does the merging of a
-    round; whether it sorts or hashes the runs is left to it.
+    Null ids never win against others.
     """
     winner = F.max("doc_id") if largest else F.min("doc_id")
+    slice_of = F.conv(F.hex(F.substring("sha", 1, 4)), 16, 10).cast("long") % SLICES
+    # reduced by each task before anything moves
     level = (
         rows.withColumn("run", F.pmod(F.spark_partition_id(), F.lit(runs)))
         .groupBy("run", *KEY).agg(winner.alias("doc_id"), F.count("*").alias("n"))
+        .withColumn("slice", slice_of)
     )
     while runs > 1:
         runs = -(-runs // fan_in)
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .groupBy("run", *KEY).agg(winner.alias("doc_id"), F.sum("n").alias("n"))
-        )
+        level = merged(level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")), largest)
     return level.select(*KEY, F.col("doc_id").alias("keep_id"), F.col("n").alias("group_size"))
 
 
