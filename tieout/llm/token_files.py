@@ -33,7 +33,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import compress, islice
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, forget
 from . import rans
-from .pieces import Slots
 
 MAGIC = b"TOKRANS1"
 HEAD = struct.Struct("<8sII")
@@ -106,19 +105,22 @@ class Memo:
     """Ids of strings that were seen before: the ids of number i are flat[start[i] : start[i] + length[i]]."""
 
     def __init__(self, remembered: int):
-        self.remembered, self.known = remembered, Slots()
+        self.remembered = remembered
+        self.known: dict[str, int] = {}
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
         self.flat, self.used = np.empty(1 << 16, np.int32), 0
 
     def __call__(self, keys: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """The numbers of strings; ``encode`` gives lengths and ids of those that are new."""
+        """The numbers of different strings; ``encode`` gives lengths and ids of those that are new."""
         if len(self.known) > self.remembered:
             self.known.clear()
             self.used = 0
-        first = len(self.known)
-        out = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        if len(self.known) > first:
-            length, ids = encode(list(islice(self.known, first, None)))
+        known, first = self.known, len(self.known)
+        new = [k for k in keys if k not in known]
+        known.update(zip(new, range(first, first + len(new))))
+        out = np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+        if new:
+            length, ids = encode(new)
             if len(self.known) > len(self.start):
                 self.start, self.length = (np.concatenate((x, np.empty(len(self.known), np.int64))) for x in (self.start, self.length))
             if self.used + len(ids) > len(self.flat):
@@ -138,7 +140,10 @@ def joined(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.
     """(length, stretches of ``flat`` one after the other)"""
     ends = np.cumsum(length)
     total = int(ends[-1]) if len(ends) else 0
-    return length, flat[np.repeat(start - ends + length, length) + np.arange(total)]
+    kind = np.int32 if max(total, len(flat)) < 2**31 else np.int64
+    at = np.repeat((start - ends + length).astype(kind), length)
+    at += np.arange(total, dtype=kind)
+    return length, flat[at]
 
 
 class Words:
@@ -237,8 +242,8 @@ class Words:
         cut = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)])
         cut = cut.dictionary_encode()
         code = cut.indices.to_numpy()
-        simple = np.empty(len(cut.dictionary), bool)
-        simple[code] = np.diff(np.concatenate(([0], np.cumsum(not_simple(raw))))[bounds]) == 0
+        simple = np.ones(len(cut.dictionary), bool)
+        simple[code[np.searchsorted(bounds, np.flatnonzero(not_simple(raw)), "right") - 1]] = False
         length, flat = self.stretches(cut.dictionary.cast(pa.string()).to_pylist(), simple)
         length, ids = joined(flat, (np.cumsum(length) - length)[code], length[code])
         return ids, np.concatenate(([0], np.cumsum(length)))[np.searchsorted(bounds, at)]
