@@ -206,7 +206,7 @@ def digest_of(s: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
-    """(key, n, bits, singles, pairs): key, size, parities and signatures (sig, rest) of every set, once per task."""
+    """(key, n, bits, singles, pairs): key, size, parities and signatures (sig, fit) of every set, once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(amounts)  # CLASSES numbers
 
     def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -214,10 +214,11 @@ def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
         values = np.concatenate(arrays) if arrays else EMPTY
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
 
-    def signed(made: list[Signed]) -> pa.Array:
-        sig, rest = lists([a for a, _ in made]), np.concatenate([NONE[1], *[b for _, b in made]])
-        both = pa.StructArray.from_arrays([sig.values, pa.array(rest, pa.int32())], ["sig", "rest"])
-        return pa.ListArray.from_arrays(sig.offsets, both)
+    def signed(sets: list[np.ndarray], made: list[Signed]) -> pa.Array:
+        sig = lists([a for a, _ in made])
+        # size and rest in one number
+        fit = np.concatenate([NONE[1], *[(len(s) << 32) + b for s, (_, b) in zip(sets, made)]])
+        return pa.ListArray.from_arrays(sig.offsets, pa.StructArray.from_arrays([sig.values, pa.array(fit, pa.int64())], ["sig", "fit"]))
 
     def work(batch: pa.RecordBatch, own: tuple[Words, Signer, set[int]]) -> pa.RecordBatch:
         words, signer, known = own
@@ -234,14 +235,14 @@ def signatures(docs: DataFrame, amounts: np.ndarray) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(keys, pa.int64()), pa.array(map(len, sets), pa.int64()), lists([parity_bits(s) for s in sets]),
-                signed([a for a, _ in made]), signed([b for _, b in made]),
+                signed(sets, [a for a, _ in made]), signed(sets, [b for _, b in made]),
             ],
             ["key", "n", "bits", "singles", "pairs"],
         )
 
     return by_batch(
         docs.select("doc_id", "text"), work,
-        "key long, n long, bits array<long>, singles array<struct<sig: long, rest: int>>, pairs array<struct<sig: long, rest: int>>",
+        "key long, n long, bits array<long>, singles array<struct<sig: long, fit: long>>, pairs array<struct<sig: long, fit: long>>",
         lambda: (Words(lower=True), Signer(shared.value), set()),
     )
 
@@ -276,18 +277,38 @@ def bounded_pairs(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return both.select("a", "b", (F.col("an") + F.col("bn")).alias("total"), most.alias("most"))
 
 
+def fits(n: np.ndarray, rest: np.ndarray, other_n: np.ndarray, other_rest: np.ndarray) -> np.ndarray:
+    """``may_link`` and like sizes, for arrays."""
+    enough = (100 + PERCENT) * np.minimum(rest, other_rest) >= PERCENT * (n + other_n)
+    return enough & (100 * np.minimum(n, other_n) >= PERCENT * np.maximum(n, other_n))
+
+
+def with_partner(sig: np.ndarray, n: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Which rows may be linked to another row of their signature; rows come by signature.
+
+    A class is rare up to a bound, so the lists that are compared here are short.
+    """
+    out = np.zeros(len(sig), bool)
+    at, gap = np.arange(len(sig)), 1
+    while True:
+        at = at[at + gap < len(sig)]
+        at = at[sig[at] == sig[at + gap]]
+        if not len(at):
+            return out
+        open_ = at[~(out[at] & out[at + gap])]
+        good = open_[fits(n[open_], rest[open_], n[open_ + gap], rest[open_ + gap])]
+        out[good] = out[good + gap] = True
+        gap += 1
+
+
 def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, rest, key) for signatures of two keys or more, from rows sorted by (sig, key)."""
-    names = ["sig", "rest", "key"]
+    """(sig, fit, key) of the rows that may be linked to another one of their signature, from rows sorted by (sig, key)."""
+    names = ["sig", "fit", "key"]
     rest = {c: np.empty(0, np.int64) for c in names}
 
     def found(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-        sig = rows["sig"]
-        start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.empty(0, bool))
-        size = np.diff(np.append(start, len(sig)))
-        many = np.repeat(size > 1, size)
-        kinds = (pa.int64(), pa.int32(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(rows[c][many], k) for c, k in zip(names, kinds)], names)
+        keep = with_partner(rows["sig"], rows["fit"] >> 32, rows["fit"] & 0xFFFFFFFF)
+        return pa.RecordBatch.from_arrays([pa.array(rows[c][keep], pa.int64()) for c in names], names)
 
     for batch in batches:
         rows = {c: np.concatenate((rest[c], batch.column(c).to_numpy())) for c in names}
@@ -381,12 +402,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     short = F.conv(F.substring(F.hex("set_key"), 1, 15), 16, 10).cast("long")
     nodes = reps.select(short.alias("key"), F.col("rep").alias("node"), "n")
     signed = cut_lineage(signatures(docs.filter("doc_id is not null"), amounts))
-    single = signed.select(F.explode("singles").alias("s"), "key").select("s.sig", "s.rest", "key")
-    lists = single.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(meetings, "sig long, rest int, key long")
-    paired = signed.select(F.explode("pairs").alias("s"), "key").select("s.sig", "s.rest", "key")
+    single = signed.select(F.explode("singles").alias("s"), "key").select("s.sig", "s.fit", "key")
+    lists = single.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(meetings, "sig long, fit long, key long")
+    paired = signed.select(F.explode("pairs").alias("s"), "key").select("s.sig", "s.fit", "key")
     met = paired.groupBy("sig").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x < y").select("sig")
-    lists = cut_lineage(lists.unionByName(paired.join(cut_lineage(met), "sig").select("sig", "rest", "key")))
-    group = cut_lineage(lists.join(nodes, "key").groupBy("sig", "node", "n").agg(F.max("rest").alias("rest")))
+    lists = cut_lineage(lists.unionByName(paired.join(cut_lineage(met), "sig").select("sig", "fit", "key")))
+    rest = F.max(F.col("fit").bitwiseAND(F.lit(0xFFFFFFFF))).cast("int").alias("rest")
+    group = cut_lineage(lists.join(nodes, "key").groupBy("sig", "node", "n").agg(rest))
     wanted = cut_lineage(lists.select("key").distinct())
     marks = cut_lineage(
         signed.select("key", *marks_of()).join(wanted, "key", "left_semi").dropDuplicates(["key"]).drop("n").join(nodes, "key").drop("key")
