@@ -28,7 +28,7 @@ def folder(spark):
 @pytest.fixture
 def database(spark, folder):
     name = f"t_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/tables'")
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
 

@@ -24,6 +24,8 @@ STRETCH = 1 << 16
 FILTER_BITS = 1 << 24
 #: Repeated keys above which rows that the filter stops are kept out of the join's shuffle.
 SPLIT_ABOVE = 1_000_000
+#: Bytes above which a pass over hashes pays for itself.
+LARGE = 1 << 36
 
 
 def first_per_key(
@@ -64,6 +66,7 @@ def flag_duplicates(
     subset: Column | None = None,
     filter_bits: int = FILTER_BITS,
     split_above: int = SPLIT_ABOVE,
+    hashes_first: bool | None = None,
 ) -> DataFrame:
     """Add ``flag``: true on every row of a key but its first. No row is dropped.
 
@@ -71,22 +74,32 @@ def flag_duplicates(
     rows share an id or are alike in every column. Null key values form one
     group, as in a window. Rows outside ``subset`` are neither ranked nor flagged.
 
-    A first pass reads the key columns only and moves 8 bytes a row: the hashes
-    that occur more than once. A feed without any is done. Of them a filter of
-    ``filter_bits`` bits is made, and only rows that it lets through - repeated
-    keys, and by chance a few others - are ranked. What a key's first row is, is
-    written once, then joined to the rows: as it is up to ``split_above`` keys, and
-    beyond that only to the rows that the filter lets through, so the others are
-    never shuffled. The filter's size changes how many rows move, not the result.
+    What a key's first row is, is elected on narrow columns, written once for the keys
+    that repeat, and joined to the rows: as it is up to ``split_above`` keys, beyond
+    that only to rows that a broadcast filter of ``filter_bits`` bits lets through -
+    repeated keys, and by chance a few others - so the rest is never shuffled.
+
+    Large feeds (``hashes_first``; by default those that read more than
+    LARGE bytes) are read once more before: a pass over the key columns moves 8 bytes
+    a row, the hashes that occur more than once. A feed without any is done, and only
+    rows that the filter of those lets through are ranked. Neither the pass nor the
+    filter's size changes the result.
     """
     rank = nulls_last(*order, row_id)
     ranked = df if subset is None else df.filter(subset)
-    again = repeated_hashes(ranked, keys)
-    if again is None:
+    candidates, sieve = ranked.select(*keys, rank.alias("_rank")), None
+    if hashes_first is None:
+        hashes_first = estimated_bytes(df) > LARGE
+    if hashes_first:
+        again = repeated_hashes(ranked, keys)
+        if again is None:
+            return df.withColumn(flag, F.lit(False))
+        sieve = key_filter(again, filter_bits)
+        forget(again)
+        candidates = passing(candidates, keys, sieve, filter_bits)
+    first, n = elected(candidates, keys)
+    if not n["keys"]:
         return df.withColumn(flag, F.lit(False))
-    sieve = key_filter(again, filter_bits)
-    forget(again)
-    first, n = elected(passing(ranked.select(*keys, rank.alias("_rank")), keys, sieve, filter_bits), keys)
 
     inside = F.lit(True) if subset is None else F.coalesce(subset, F.lit(False))
     rows = df.withColumns({"_hash": F.xxhash64(*keys), "_mine": F.when(inside, rank)})
@@ -94,6 +107,8 @@ def flag_duplicates(
     alike = F.col("_mine").isNotNull() & leads & (F.col("_copies") > 1)
     lost = F.col("_mine").isNotNull() & F.col("_copies").isNotNull() & ~leads
     if n["keys"] > split_above:
+        if sieve is None:
+            sieve = key_filter(first.select(F.col("_key_hash").alias("hash")), filter_bits)
         seen = passing(rows, keys, sieve, filter_bits, among=F.col("_mine").isNotNull(), keep=True)
         once = seen.filter("_pass").drop("_pass").join(first, _same_key(keys), "left")
         spared = seen.filter("NOT _pass").select(*df.columns, F.lit(False).alias(flag))
@@ -110,6 +125,12 @@ def flag_duplicates(
     return out.unionByName(_all_but_one(many.select(*df.columns), keys, flag))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The bytes that a plan reads, by what Spark knows of its files; estimates of joins would be their product."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """The 64-bit hashes of keys that occur more than once, as a written table; None if there are none."""
     counted = df.select(F.xxhash64(*keys).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
