@@ -55,14 +55,16 @@ TOGETHER = 64
 REMEMBERED = 600_000
 #: Bytes of text that are looked up together.
 TOGETHER_BYTES = 8_000_000
-#: A sign that no simple stretch holds, put between stretches that are cut together.
-BAR = "\ue000"
-# How byte-level vocabularies cut text, for ASCII and the Latin letters U+00C0 to U+024F.
-BLANK = " \t\n\x0b\x0c\r"
-LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-CUT = re.compile(
-    f"{BAR}|'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^{BLANK}{LETTER}0-9{BAR}]+|[{BLANK}]+(?![^{BLANK}{BAR}])|[{BLANK}]+"
-)
+#: A sign that no word of simple characters holds, put between words that are encoded together.
+BAR = "\ue000".encode()
+# Classes of bytes by which byte-level vocabularies cut text (letters, digits, white space, others),
+# and the endings that they cut off with their apostrophe. Bytes above 127 are those of Latin letters here.
+LETTER, DIGIT, BLANK, OTHER = range(4)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = LETTER
+KIND[48:58] = DIGIT
+KIND[[9, 10, 11, 12, 13, 32]] = BLANK
+SHORT, LONG = (b"s", b"t", b"m", b"d"), (b"re", b"ve", b"ll")
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -101,16 +103,51 @@ def not_simple(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def word_starts(raw: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+    """Where words begin in texts of simple characters, as byte-level vocabularies cut them.
+
+    Runs of letters, digits, white space and other signs are words. The last sign of
+    white space before something else stands alone, or, if it is a space, belongs to
+    what follows; an apostrophe that begins a word takes a short ending along.
+    """
+    kind, n = KIND[raw], len(raw)
+    start = np.empty(n, bool)
+    start[0], start[1:] = True, kind[1:] != kind[:-1]
+    start[text_starts] = True
+    first = np.zeros(n + 1, bool)  # a text begins here
+    first[text_starts] = first[n] = True
+    blank = kind == BLANK
+    last = np.flatnonzero(blank[:-1] & ~blank[1:] & ~first[1:-1])
+    start[last] = True
+    joined_on = last[raw[last] == 32] + 1
+    start[joined_on] = False
+    mark = np.flatnonzero((raw[:-1] == 39) & start[:-1] & (kind[1:] == LETTER) & ~first[1:-1])
+    if len(mark):
+        one = np.isin(raw[mark + 1], [x[0] for x in SHORT])
+        start[mark[one] + 1] = False
+        ends = mark[one] + 2
+        start[ends[ends < n]] = True
+        mark = mark[~one & (mark + 2 < n)]
+        mark = mark[~first[mark + 2]]
+        two = np.zeros(len(mark), bool)
+        for a, b in LONG:
+            two |= (raw[mark + 1] == a) & (raw[mark + 2] == b)
+        start[mark[two] + 1] = False
+        ends = mark[two] + 3
+        start[ends[ends < n]] = True
+    return start
+
+
 class Memo:
     """Ids of strings that were seen before: the ids of number i are flat[start[i] : start[i] + length[i]]."""
 
     def __init__(self, remembered: int):
         self.remembered = remembered
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
         self.flat, self.used = np.empty(1 << 16, np.int32), 0
 
-    def __call__(self, keys: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    def __call__(self, keys: list[bytes], encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The numbers of different strings; ``encode`` gives lengths and ids of those that are new."""
         if len(self.known) > self.remembered:
             self.known.clear()
@@ -147,14 +184,14 @@ def joined(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.
 
 
 class Words:
-    """Ids of whole texts, looked up stretch by stretch.
-
-    A byte-level vocabulary cuts texts before white space that follows something
-    else, whatever stands further on. So the stretches between such cuts are found
-    in the bytes of many texts at once. Simple ones are cut into words as the
-    vocabulary cuts them, and each word is encoded once, by the library, and
-    remembered; others are encoded as they are. Vocabularies of any other kind
-    encode whole texts.
+    """Ids of whole texts, looked up word by word.
+
+    Words are cut as a byte-level vocabulary cuts them, in the bytes of many texts at
+    once; each different one is encoded once, by the library, and remembered. A
+    stretch between white space that holds other characters than ASCII and Latin
+    letters, or an added token, is one word, and the library cuts it. (The vocabulary
+    cuts before white space that follows something else, whatever stands further on.)
+    Vocabularies of any other kind encode whole texts.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -162,13 +199,13 @@ class Words:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        self.parts, self.others = Memo(remembered), Memo(remembered // 4)
+        self.memo = Memo(remembered)
         vocabulary, added = self.library.get_vocab(with_added_tokens=True), self.library.get_added_tokens_decoder()
         self.size = max(vocabulary.values(), default=0) + 1
         self.bytes = np.zeros(self.size, np.int64)
         for token, i in vocabulary.items():  # a character of a token stands for a byte
             self.bytes[i] = len(token)
-        self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)").search
+        self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in added.values()) or b"(?!)").finditer
         front, options = repr(self.library.pre_tokenizer), added.values()
         plain = all(not (t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content)) for t in options)
         byte_level = front.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in front
@@ -177,49 +214,44 @@ class Words:
         self.model = Tokenizer(self.library.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.spelled = spelling()
-        self.bar = "".join(self.spelled[b] for b in BAR.encode())
+        self.bar = "".join(self.spelled[b] for b in BAR)
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of texts."""
         made = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(map(len, made), np.int64, len(made)), np.array([i for ids in made for i in ids], np.int32)
 
-    def spelled_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(lengths, ids) of single words."""
-        text = BAR.join(words).encode().decode("latin-1").translate(self.spelled).replace(self.bar, " ")
+    def simple(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of words that are cut already."""
+        text = BAR.join(words).decode("latin-1").translate(self.spelled).replace(self.bar, " ")
         ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
-        ends = np.cumsum(pc.binary_length(pa.array(words)).to_numpy().astype(np.int64))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         reach = np.cumsum(self.bytes[ids])
         at = np.searchsorted(reach, ends)
         if len(at) and (at[-1] != len(ids) - 1 or not np.array_equal(reach[at], ends)):
             raise ValueError("the tokens do not spell the words")
         return np.diff(at, prepend=-1), ids
 
-    def stretches(self, words: list[str], simple: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(lengths, ids) of different stretches; ``simple`` says which hold none but simple characters."""
-        if self.special(BAR.join(words)):
-            simple = simple & ~np.array([self.special(w) is not None for w in words])
-        easy, hard = list(compress(words, simple)), list(compress(words, ~simple))
-        length = np.zeros(len(words), np.int64)
-        if hard:
-            length[~simple], odd = self.others.ids(self.others(hard, self.whole))
-        if not easy:
-            return length, odd
-        cut = pa.array(CUT.findall(BAR.join([*easy, ""]))).dictionary_encode()
-        found, code = cut.dictionary.to_pylist(), cut.indices.to_numpy()
-        bar = found.index(BAR)
-        numbers = self.parts([w for w in found if w != BAR], self.spelled_words)
-        numbers = np.insert(numbers, bar, -1)[code]
-        ends = np.flatnonzero(numbers < 0)
-        inner = numbers[numbers >= 0]
-        each, ids = self.parts.ids(inner)
-        reach = np.concatenate(([0], np.cumsum(each)))[ends - np.arange(len(ends))]
-        length[simple] = np.diff(reach, prepend=0)
-        if not hard:
-            return length, ids
-        own = np.empty(int(length.sum()), np.int32)
-        of_simple = np.repeat(simple, length)
-        own[of_simple], own[~of_simple] = ids, odd
-        return length, own
+    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, ids) of words of both kinds."""
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        hard = np.zeros(len(words), bool)
+        hard[np.searchsorted(ends, self.odd(raw), "right")] = True
+        if not hard.any():
+            return self.simple(words)
+        length = np.empty(len(words), np.int64)
+        length[hard], odd = self.whole([w.decode() for w in compress(words, hard)])
+        easy = list(compress(words, ~hard))
+        length[~hard], plain = self.simple(easy) if easy else (0, np.empty(0, np.int32))
+        ids, of_hard = np.empty(int(length.sum()), np.int32), np.repeat(hard, length)
+        ids[of_hard], ids[~of_hard] = odd, plain
+        return length, ids
+
+    def odd(self, raw: np.ndarray) -> np.ndarray:
+        """Places of bytes that are not simple, or begin an added token."""
+        added = [m.start() for m in self.special(memoryview(np.ascontiguousarray(raw)))]
+        return np.concatenate((np.flatnonzero(not_simple(raw)), np.array(added, np.int64)))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): the ids of text i are those from bounds[i] to bounds[i + 1]; null is empty."""
@@ -233,19 +265,23 @@ class Words:
         at = at - at[0]
         if not len(raw):
             return np.empty(0, np.int32), np.zeros(len(at), np.int64)
-        space = is_space(raw)
-        begins = np.empty(len(raw) + 1, bool)
-        begins[0], begins[1:-1] = True, space[1:] & ~space[:-1]
-        begins[at] = True
-        begins[-1] = True
-        bounds = np.flatnonzero(begins)
+        texts = at[:-1][at[1:] > at[:-1]]
+        start = word_starts(raw, texts)
+        odd = self.odd(raw)
+        if len(odd):
+            space = is_space(raw)
+            border = np.empty(len(raw), bool)  # a stretch begins here
+            border[0], border[1:] = True, space[1:] & ~space[:-1]
+            border[texts] = True
+            stretch = np.flatnonzero(border)
+            hard = np.zeros(len(stretch), bool)
+            hard[np.searchsorted(stretch, odd, "right") - 1] = True
+            inside = np.repeat(hard, np.diff(np.append(stretch, len(raw))))
+            start = np.where(inside, border, start)
+        bounds = np.append(np.flatnonzero(start), len(raw))
         cut = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)])
         cut = cut.dictionary_encode()
-        code = cut.indices.to_numpy()
-        simple = np.ones(len(cut.dictionary), bool)
-        simple[code[np.searchsorted(bounds, np.flatnonzero(not_simple(raw)), "right") - 1]] = False
-        length, flat = self.stretches(cut.dictionary.cast(pa.string()).to_pylist(), simple)
-        length, ids = joined(flat, (np.cumsum(length) - length)[code], length[code])
+        length, ids = self.memo.ids(self.memo(cut.dictionary.to_pylist(), self.words)[cut.indices.to_numpy()])
         return ids, np.concatenate(([0], np.cumsum(length)))[np.searchsorted(bounds, at)]
 
 
