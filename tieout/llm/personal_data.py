@@ -267,7 +267,7 @@ def train(table: list[tuple[list[str], list[str]]], rounds: int = 60, rate: floa
     return Field(params[0], params[1] + banned, params[2] + banned_start)
 
 
-def labelled_table(spark: SparkSession, rows: int = 400, seed: int = 7) -> DataFrame:
+def labelled_table(spark: SparkSession, rows: int = 1_200, seed: int = 7) -> DataFrame:
     """A small labelled table (words, tags) of invented sentences, for callers without their own."""
     return spark.createDataFrame(example_sentences(rows, seed), "words array<string>, tags array<string>")
 
