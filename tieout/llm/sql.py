@@ -56,10 +56,7 @@ target AS (
 shard AS (
   SELECT source, shard, sum(size)::BIGINT AS shard_size, sum(size)::BIGINT * 3 // 16 AS room FROM docs GROUP BY source, shard
 ),
-room AS (
-  SELECT t.source, t.target, least(sum(s.room), any_value(t.source_size) * 3 // 16)::BIGINT AS room
-  FROM target t JOIN shard s ON t.source IS NOT DISTINCT FROM s.source GROUP BY t.source, t.target
-),
+room AS (SELECT source, target, source_size * 3 // 16 AS room FROM target),
 seats AS (
   SELECT source, count(*) AS seats FROM (
     SELECT source, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS LAST) AS place
