@@ -400,7 +400,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = sets.filter("set_key is not null and doc_id is not null")
     reps = cut_lineage(known.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")))
     short = F.conv(F.substring(F.hex("set_key"), 1, 15), 16, 10).cast("long")
-    nodes = reps.select(short.alias("key"), F.col("rep").alias("node"), "n")
+    nodes = cut_lineage(reps.select(short.alias("key"), F.col("rep").alias("node"), "n"))  # read twice, three numbers a row
     signed = cut_lineage(signatures(docs.filter("doc_id is not null"), amounts))
     single = signed.select(F.explode("singles").alias("s"), "key").select("s.sig", "s.fit", "key")
     lists = single.repartition("sig").sortWithinPartitions("sig", "key").mapInArrow(meetings, "sig long, fit long, key long")
