@@ -420,8 +420,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tagged = known.join(reps, "set_key").select("doc_id", "rep")
     versions = cut_lineage(tagged.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("doc_id", "a"))
     several = tagged.join(versions, "doc_id").filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    pairs, group = parted(group)
     group = cut_lineage(led(group))
-    seen = tested(led_pairs(group), docs, marks)
+    seen = tested(cut_lineage(pairs.union(led_pairs(group)).distinct()), docs, marks)
     links = cut_lineage(seen.filter("linked").select("a", "b").union(several))
     comps = components(links)
     rows = still_open(group, seen, comps)
@@ -455,17 +456,26 @@ def ordered(a: str, b: str) -> tuple[Column, Column]:
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def parted(group: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) of signatures with two nodes, and the rows, with ``size``, of those with more."""
+    row = F.struct("node", "n", "rest")
+    sizes = group.groupBy("sig").agg(F.count("*").alias("size"), F.min(row).alias("x"), F.max(row).alias("y"))
+    sizes = cut_lineage(sizes.select("sig", "size", "x.*", F.col("y.node").alias("lnode"), F.col("y.n").alias("ln"), F.col("y.rest").alias("lrest")))
+    two = sizes.filter("size = 2").filter(may_link("n", "rest", "ln", "lrest"))
+    many = group.join(sizes.filter("size > 2").select("sig", "size"), "sig")
+    return cut_lineage(two.select(*ordered("node", "lnode")).distinct()), cut_lineage(many)
+
+
 def led(group: DataFrame) -> DataFrame:
     """``group`` with the leader of each signature, its size and rest: the node that meets most others.
 
     Of noisy copies that is the one nearest to all, since it has most tokens in common.
     """
-    sizes = cut_lineage(group.groupBy("sig").agg(F.count("*").alias("size")))
-    meets = cut_lineage(group.join(sizes, "sig").groupBy("node").agg(F.sum("size").alias("meets")))
+    meets = cut_lineage(group.groupBy("node").agg(F.sum("size").alias("meets")))
     top = F.max(F.struct("meets", (-F.col("node")).alias("down"), "n", "rest")).alias("top")
     lead = group.join(meets, "node").groupBy("sig").agg(top)
     lead = lead.select("sig", (-F.col("top.down")).alias("leader"), F.col("top.n").alias("ln"), F.col("top.rest").alias("lrest"))
-    return group.join(cut_lineage(lead), "sig")
+    return group.drop("size").join(cut_lineage(lead), "sig")
 
 
 def led_pairs(group: DataFrame) -> DataFrame:
