@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tieout.files import create_once, names_in, read_text
 from tieout.plans import publish as publishing
 from tieout.plans.checks import row_checks
-from tieout.plans.publish import build, current_run, ledger, make_current, publish, read_published, reasons
+from tieout.plans.publish import build, checked, current_run, ledger, make_current, publish, read_published, reasons
 from tieout.session import reliable_dir
 from tieout.sources import read_raw, source_freshness
 
@@ -195,3 +195,15 @@ def test_row_checks_are_counted_while_marts_are_written(spark, root):
     read = lambda df: set(re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().executedPlan().toString()))
     left = read(check_outcomes(project, counted=counted))
     assert "true_dpd" in " ".join(read(check_outcomes(project))) and "true_dpd" not in " ".join(left)
+
+
+@pytest.mark.parametrize("kind", ["unique", "not_null"])
+def test_generic_checks_write_no_marts(spark, monkeypatch, kind):
+    found = {r.check_name: r.failures for r in check_outcomes(worse(spark), (kind,)).collect()}
+
+    def no_writes(*args, **kwargs):
+        raise AssertionError("a mart was written for a check of a few columns")
+
+    monkeypatch.setattr(publishing, "build", no_writes)
+    assert {r.check_name: r.failures for r in checked(worse(spark), spark, (kind,)).collect()} == found
+    assert len(found) == sum(check.kind == kind for check in CHECKS["lending"])
