@@ -134,6 +134,21 @@ def test_rows_that_the_filter_stops_are_not_shuffled(spark):
     assert out.filter("dup").count() == 99 and out.count() == 40_000
 
 
+def test_a_feed_of_some_size_shuffles_only_rows_that_the_filter_lets_through(spark, monkeypatch):
+    """From 32 MB on hashes are counted first, and few repeated keys are no reason to shuffle every row."""
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("id") < 100, F.lit("same")).otherwise(F.col("id").cast("string")).alias("k")
+    )
+    monkeypatch.setattr(dedup, "estimated_bytes", lambda df: 1 << 26)
+    out = flag_duplicates(rows, ["k"], [], "id", "dup")
+    assert "Union" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.filter("dup").count() == 99 and out.count() == 40_000
+
+
+def test_the_filter_grows_with_the_keys_between_two_sizes():
+    assert [dedup.bits_for(n) for n in (1, 1 << 20, 1 << 23, 1 << 40)] == [1 << 24, 1 << 24, 1 << 26, 1 << 27]
+
+
 def test_first_per_key(df, rows):
     got = first_per_key(df, ["k"], ["at"], "id", sums={"n": F.count(F.lit(1))}).collect()
     assert {r.id for r in got} == first_ids(rows)
