@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tieout.llm import substring_dedup
+from tieout.llm import ngram_join, substring_dedup
 from tieout.llm.common import Words, sequences
 from tieout.session import SHUFFLE_CLEANUP, cut_lineage, reliable_dir
 
@@ -79,3 +79,38 @@ def test_only_windows_of_a_shared_anchor_move(spark):
     packed = substring_dedup.packed(spark.createDataFrame([(7, text)], "doc_id long, text string"))
     got = substring_dedup.extended(packed.withColumn("ats", F.array(F.lit(place), F.lit(5000))))
     assert sorted(r["at"] for r in got.collect()) == np.flatnonzero(best == place).tolist()
+
+
+def test_near_duplicates_are_the_same_in_any_number_of_parts(docs, monkeypatch):
+    def linked(a, b):
+        return a and b and 100 * len(a & b) >= 75 * len(a | b)
+
+    sets = {i: {tuple(t.split()[at : at + 5]) for at in range(len(t.split()) - 4)} for i, t in docs[0]}
+    want = {i: i for i in sets}
+    for _ in range(8):
+        want = {i: min(want[j] for j in sets if j == i or linked(sets[i], sets[j])) for i in sets}
+    assert sum(want[i] < i for i in want) > 20
+    moved = []
+    real = ngram_join.meeting
+    monkeypatch.setattr(ngram_join, "meeting", lambda single: moved.append(single.count()) or real(single))
+    for parts in (1, 3):
+        monkeypatch.setattr(ngram_join, "PARTS", parts)
+        moved.append(0)
+        assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs[1]).collect()} == want
+    # 0, all, 0, and three parts of about a third each
+    assert sum(moved[3:]) == moved[1] and max(moved[3:]) < 0.5 * moved[1]
+
+
+def test_what_is_left_of_a_set_follows_from_a_tokens_place(docs):
+    """Single tokens are written as numbers only, in the order that tells what is left from there on."""
+    counts = ngram_join.class_counts(cut_lineage(ngram_join.first_pass(docs[1])))
+    signed = ngram_join.signatures(docs[1], counts)
+    assert dict(signed.dtypes)["singles"] == "array<bigint>"
+    words, signer = Words(lower=True), ngram_join.Signer(counts)
+    texts = docs[1].select("text").toArrow().column("text").combine_chunks()
+    want = set()
+    for s in ngram_join.shingle_sets(texts, words):
+        (sig, left), _ = signer(s)
+        want |= {(x, n) for x, n in zip(sig.view(np.int64).tolist(), left.tolist())}
+    got = signed.select(F.posexplode("singles").alias("place", "sig"), "n").select("sig", (F.col("n") - F.col("place")).alias("left"))
+    assert {tuple(r) for r in got.collect()} == want
