@@ -50,7 +50,10 @@ def test_repeated_words_keep_only_the_tables_that_the_result_reads(spark, docs):
     before = tables(spark)
     out = substring_dedup.repeated_words(docs[1])
     read = {f.rsplit("/", 2)[1] for f in out.inputFiles()}
-    assert tables(spark) - before == read and len(read) <= 3
+    top = reliable_dir(spark).removeprefix("file:") + "/tieout"
+    # a table without rows may have no file by which it is found again
+    left = {d for d in tables(spark) - before if any(f.startswith("part-") for f in os.listdir(f"{top}/{d}"))}
+    assert left == read and len(read) <= 3
     assert out.count() == len(docs[0])
 
 
