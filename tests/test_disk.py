@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests import fixtures as fx
 from tieout.operators import checks, dedup
-from tieout.plans import Lending
+from tieout.plans import Lending, Revenue, Workforce
 from tieout.plans import checks as catalogue
 from tieout.plans import publish as publishing
 from tieout.plans.checks import check_outcomes
@@ -183,3 +183,61 @@ def test_published_marts_are_whole(spark, root):
         found = read_published(spark, root, "lending", mart).select(*plain.model(mart).columns)
         assert sorted(map(str, found.collect())) == sorted(map(str, plain.model(mart).collect()))
         assert found.filter(F.lit(True)).count() > 0
+
+
+def over_refunded():
+    """Refunds of no payment, of a payment that comes twice, and beyond their payment."""
+    more = [
+        fx.refund(2, 1, "p1", 60, "2025-02-03"),
+        fx.refund(3, 1, "p1", 60, "2025-02-04"),
+        fx.refund(4, 2, "nobody", 5, "2025-02-03"),
+        fx.refund(5, 2, "nobody", None, "2025-02-03"),
+        fx.refund(6, 2, None, 500, "2025-02-03"),
+        fx.refund(7, 3, "p3", 99, "2025-02-03"),
+        fx.refund(8, 5, "free", 1, "2025-02-03"),
+    ]
+    payments = [*fx.REVENUE["payments"], fx.payment("p3", 3, 60), fx.payment("free", 5, None), fx.payment(None, 5, 1)]
+    return {**fx.REVENUE, "refunds": [*fx.REVENUE["refunds"], *more], "payments": payments}
+
+
+def test_refunds_meet_their_payments_once(spark, root, monkeypatch):
+    plain = Revenue(fx.feeds(spark, "revenue", over_refunded()))
+    book = Revenue(fx.feeds(spark, "revenue", over_refunded()))
+    build(book, root, ["refund_faults"])
+    rows = lambda b: sorted(map(str, b.no_over_refunding.collect()))
+    assert rows(book) == rows(plain) and len(rows(plain)) == 3
+    check = next(c for c in catalogue.CHECKS["revenue"] if c.name == "stg_refunds.payment_id.relationships")
+    unknown = lambda b: [tuple(r) for r in catalogue.violations(b, check).collect()]
+    assert unknown(book) == unknown(plain) == [("nobody", 2)]
+    for relation, column in (("stg_refunds", "order_id"), ("stg_payments", "order_id")):
+        assert book.unknown_references(relation, column) is None
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan(book.no_over_refunding) and "Join" not in plan(catalogue.violations(book, check))
+    assert "refund_faults" in publishing.SHARED["revenue"]
+
+
+def test_records_are_grouped_into_episodes_once(spark, root):
+    record = fx.WORKFORCE["employees"][0]
+    twice = {**fx.WORKFORCE, "employees": [*fx.WORKFORCE["employees"], {**record, "employee_id": "zz"}, {**record, "employee_id": None}]}
+    plain, book = (Workforce(fx.feeds(spark, "workforce", twice)) for _ in range(2))
+    build(book, root, ["episodes"])
+    for name in ("live_ids", "int_employment_records_resolved", "fct_attrition_tenure_reconciliation_bridge"):
+        made = book.model(name).select(*plain.model(name).columns)
+        assert sorted(map(str, made.collect())) == sorted(map(str, plain.model(name).collect()))
+    assert book.live_ids.columns == plain.live_ids.columns
+    assert "Aggregate" not in book.live_ids._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_ranks_are_counted_only_where_rows_may_share_one(spark, monkeypatch, copies):
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("a", None, "z"), (None, 2, "n"), (None, 1, "m"), ("b", 1, "o"), ("c", 3, "p")]
+    rows += [("a", 1, "x"), ("c", 3, "p")] if copies else []
+    df = spark.createDataFrame(rows, "k string, at int, id string")
+    counted = []
+    real = dedup.repeated_hashes
+    monkeypatch.setattr(dedup, "repeated_hashes", lambda d, keys: counted.append(list(keys)) or real(d, keys))
+    out = dedup.flag_duplicates(df, ["k"], ["at"], "id", "lost", hashes_first=True)
+    assert counted == [["k"], ["k", "_rank"]]
+    plain = dedup.flag_duplicates(df, ["k"], ["at"], "id", "lost", hashes_first=False)
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    assert out.filter("lost").count() == (5 if copies else 3)
