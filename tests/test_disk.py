@@ -234,8 +234,8 @@ def test_ranks_are_counted_only_where_rows_may_share_one(spark, monkeypatch, cop
     rows += [("a", 1, "x"), ("c", 3, "p")] if copies else []
     df = spark.createDataFrame(rows, "k string, at int, id string")
     counted = []
-    real = dedup.repeated_hashes
-    monkeypatch.setattr(dedup, "repeated_hashes", lambda d, keys: counted.append(list(keys)) or real(d, keys))
+    real = dedup.hashes_again
+    monkeypatch.setattr(dedup, "hashes_again", lambda d, keys: counted.append(list(keys)) or real(d, keys))
     out = dedup.flag_duplicates(df, ["k"], ["at"], "id", "lost", hashes_first=True)
     assert counted == [["k"], ["k", "_rank"]]
     plain = dedup.flag_duplicates(df, ["k"], ["at"], "id", "lost", hashes_first=False)
